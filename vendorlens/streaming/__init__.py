@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streams: every step is a batch job over a finished
+table ("late" in its vocabulary means late delivery, not late data). No
+streaming operator is built; the batch operators are plain DataFrame
+functions and would run unchanged inside ``foreachBatch`` should the items
+arrive as a stream.
+"""
