@@ -114,3 +114,26 @@ def standard_normal(seed, key, i) -> Column:
     u1 = uniform_open(h)
     u2 = uniform_closed_open(h, 9)
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
+
+
+def round_float(x, digits: int) -> Column:
+    """Round half away from zero on x * 10^digits, for doubles. Written out
+    (rather than ``round``) so the rounding rule is explicit: engines differ
+    in how they round binary fractions such as 2.675."""
+    p = float(10 ** digits)
+    x = col(x)
+    return F.signum(x) * F.floor(F.abs(x) * F.lit(p) + F.lit(0.5)) / F.lit(p)
+
+
+def round_ratio(num_sql: str, den_sql: str, digits: int) -> Column:
+    """Exact half-away-from-zero rounding of num/den for integers (den > 0),
+    as a double: sign(num) * ((2|num| 10^d + den) div 2 den) / 10^d, in
+    decimal(38,0) arithmetic. This is how an exact decimal AVG of integers
+    rounds; a double mean would round 2.675 down. Null when den is 0."""
+    p = 10 ** digits
+    n = f"cast(({num_sql}) as decimal(38,0))"
+    d = f"cast(({den_sql}) as decimal(38,0))"
+    return F.expr(
+        f"case when ({den_sql}) > 0 then signum({n}) * "
+        f"((2 * abs({n}) * {p} + {d}) div (2 * {d})) / {float(p)} end"
+    )

@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from ..functions.columns import (
     counter_hash,
     mean_of,
+    round_float,
     sample_std,
     standard_normal,
     uniform_closed_open,
@@ -197,11 +198,11 @@ def monte_carlo_results(stats: DataFrame, probs: DataFrame) -> DataFrame:
     out = j.select(
         "vendor",
         "category",
-        F.round("market_share", 4).alias("market_share"),
-        F.round("mu", 2).alias("avg_lead_time"),
-        F.round("sigma", 2).alias("lead_time_std"),
-        F.round("threshold", 2).alias("breach_threshold"),
-        F.round("breach_probability", 4).alias("breach_probability"),
+        round_float("market_share", 4).alias("market_share"),
+        round_float("mu", 2).alias("avg_lead_time"),
+        round_float("sigma", 2).alias("lead_time_std"),
+        round_float("threshold", 2).alias("breach_threshold"),
+        round_float("breach_probability", 4).alias("breach_probability"),
         F.round("spend_at_risk", 2).alias("spend_at_risk"),
     )
     return disruption_exposure(out)

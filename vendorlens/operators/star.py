@@ -12,7 +12,8 @@ from ..plans.sizing import join_small
 
 # Order used to keep one row per repeated item id (the test data repeats
 # some (order, line) pairs; the declared primary key forbids that). The
-# first columns follow the survey's rule; the rest make the order total.
+# first columns follow the survey's rule; the remaining columns, by name,
+# make the order total.
 FACT_DEDUP_ORDER = [
     "order_customer_id",
     "product_card_id",
@@ -95,7 +96,7 @@ def dedupe_items(clean: DataFrame, key: str = "order_item_id", order=FACT_DEDUP_
     repeats across a third of the table reduces to one row per task before
     the shuffle - unlike a row_number window, which would sort that key's
     rows in one task."""
-    rest = [c for c in clean.columns if c != key and c not in order]
+    rest = sorted(c for c in clean.columns if c != key and c not in order)
     cols = [c for c in order if c in clean.columns] + rest
     first = clean.groupBy(key).agg(F.min(F.struct(*cols)).alias("r"))
     return first.select(key, *[F.col(f"r.{c}").alias(c) for c in cols]).select(*clean.columns)

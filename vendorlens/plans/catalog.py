@@ -77,13 +77,17 @@ class Catalog:
     def validated(self) -> DataFrame:
         return self._cleaned[1]
 
+    @cached_property
+    def items(self) -> DataFrame:
+        """Filtered items with features, before the tier. Stored, so the
+        tier quantiles and the final join read them instead of re-running
+        the raw joins."""
+        return write_table(self._cleaned[0], "items")
+
     @cached_property
     def clean(self) -> DataFrame:
-        """Clean items with vendor tier. The filtered items are stored first,
-        so the tier quantiles and the final join read them instead of
-        re-running the raw joins."""
-        items = write_table(self._cleaned[0], "items")
-        return write_table(FE.vendor_tier(items), "clean")
+        """Clean items with vendor tier (the staging table)."""
+        return write_table(FE.vendor_tier(self.items), "clean")
 
     # --- star schema -----------------------------------------------------
     @cached_property

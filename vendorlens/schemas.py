@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .functions.columns import round_float
+
 S = T.StringType()
 I = T.IntegerType()
 L = T.LongType()
@@ -92,12 +94,22 @@ TABLES = {
 }
 
 
+def _cast(df: DataFrame, name: str, to: T.DataType):
+    src = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(to, T.DecimalType) and isinstance(src, (T.DoubleType, T.FloatType)):
+        # round the binary value explicitly first (half away from zero), then
+        # store it: the same rule whichever engine loads the file
+        c = round_float(c, to.scale)
+    return c.cast(to)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the declared columns in order, cast to the declared types;
     columns the frame lacks come out as typed nulls."""
     have = set(df.columns)
     return df.select(*[
-        (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+        (_cast(df, f.name, f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields
     ])
 
