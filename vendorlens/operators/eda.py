@@ -98,14 +98,21 @@ def box_stats(df: DataFrame, metrics: list[str] = BOX_METRICS, whisker: float =
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson r for every pair (x < y in column order) of numeric columns,
-    all pairs from one aggregate pass."""
+    """Pearson r for every pair (x before y in column order) of numeric
+    columns. Each row is expanded into its (pair, x, y) values and one
+    ``corr`` runs grouped by pair: a single small aggregate with map-side
+    partial results per pair (one giant row-wide aggregate of every pair
+    costs far more to compile than to run)."""
     from .clean import numeric_columns
 
     cols = columns or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{k}") for k, (a, b) in enumerate(pairs)]
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"c{k}").alias("r"))
-               for k, (a, b) in enumerate(pairs)]
-    return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    idx = {c: i for i, c in enumerate(cols)}
+    base = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    xs = F.array(*[F.col(f"c{idx[a]}") for a, _ in pairs])
+    ys = F.array(*[F.col(f"c{idx[b]}") for _, b in pairs])
+    long = base.select(F.posexplode(F.arrays_zip(xs.alias("a"), ys.alias("b"))).alias("k", "v"))
+    r = long.groupBy("k").agg(F.corr("v.a", "v.b").alias("r"))
+    spark = df.sparkSession
+    labels = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, x string, y string")
+    return r.join(F.broadcast(labels), "k").select("x", "y", "r")
