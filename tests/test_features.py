@@ -21,6 +21,17 @@ def test_floor_days(spark):
     assert got == [0, -1, 90, 91, None]
 
 
+def test_floor_days_ignores_session_zone(spark):
+    T = dt.datetime
+    df = spark.createDataFrame([(T(2021, 3, 13, 12), T(2021, 3, 14, 12))], "o timestamp_ntz, s timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # DST starts 2021-03-14
+        assert df.select(floor_days("o", "s")).first()[0] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_late_flag_text_rule(spark):
     df = spark.createDataFrame([("Late delivery",), ("LATE",), ("Shipping on time",), ("",)], "delivery_status string")
     assert [r[0] for r in FE.late_delivery_flag(df).select("late_delivery_flag").collect()] == [1, 1, 0, 0]

@@ -15,9 +15,10 @@ def col(c) -> Column:
 
 def floor_days(start, end) -> Column:
     """Whole elapsed 24 h periods from ``start`` to ``end`` (floor, so one
-    hour backwards is -1). Uses a second difference, which does not depend
-    on the session time zone for timestamp_ntz inputs."""
-    secs = F.timestamp_diff("SECOND", col(start), col(end))
+    hour backwards is -1). The difference of two timestamps is a day-time
+    interval, taken in seconds - no time zone enters, so a daylight-saving
+    change in the session zone cannot shift a day."""
+    secs = (col(end) - col(start)).cast("interval second").cast("decimal(20,6)")
     return F.floor(secs / F.lit(86400)).cast("int")
 
 

@@ -129,7 +129,8 @@ class Catalog:
 
     @cached_property
     def monte_carlo_results(self) -> DataFrame:
-        return write_table(self._disruption[2], "monte_carlo_results")
+        # fails when no target survives, like the reference's guard
+        return D.require_rows(write_table(self._disruption[2], "monte_carlo_results"))
 
     @cached_property
     def top12(self) -> DataFrame:
@@ -148,6 +149,49 @@ class Catalog:
         return as_imported(self.top12, "top12_dual_sourcing")
 
 
+    # --- SQL access --------------------------------------------------------
+    def register_views(self) -> list[str]:
+        """Name every stored table and every reporting view in the session,
+        so the reference's queries run as ``spark.sql("SELECT ... FROM
+        vw_kpi_summary")``. Views stay lazy DataFrames over the stored
+        tables."""
+        from ..operators import views as V
+
+        hhi = V.vw_category_hhi(self.fact, self.dim_product)
+        by_cat = V.vw_hhi_by_category(hhi)
+        single = V.vw_single_source(hhi, by_cat)
+        master = V.vw_vendor_risk_master(self.fact, self.dim_vendor, self.scores_imported)
+        named = {
+            "staging_orders": self.clean,
+            "dim_vendor": self.dim_vendor,
+            "dim_product": self.dim_product,
+            "dim_region": self.dim_region,
+            "dim_date": self.dim_date,
+            "fact_orders": self.fact,
+            "vendor_risk_scores": self.scores_imported,
+            "monte_carlo_results": self.mc_imported,
+            "top12_dual_sourcing": self.top12_imported,
+            "vw_vendor_spend": V.vw_vendor_spend(self.fact, self.dim_vendor),
+            "vw_vendor_lead_time": V.vw_vendor_lead_time(self.fact, self.dim_vendor),
+            "vw_vendor_late_rate": V.vw_vendor_late_rate(self.fact, self.dim_vendor),
+            "vw_category_hhi": hhi,
+            "vw_hhi_by_category": by_cat,
+            "vw_single_source": single,
+            "vw_disruption_exposure": V.vw_disruption_exposure(single, self.fact, self.dim_vendor, by_cat),
+            "vw_vendor_risk_master": master,
+            "vw_dual_sourcing_recommendations": V.vw_dual_sourcing_recommendations(
+                self.top12_imported, self.dim_vendor),
+            "vw_kpi_summary": V.vw_kpi_summary(self.fact, self.dim_product, self.mc_imported, master,
+                                               self.top12_imported),
+            "vw_category_concentration": V.vw_category_concentration(
+                self.fact, self.dim_product, self.dim_vendor, by_cat, single),
+            "vw_yoy_spend": V.vw_yoy_spend(self.fact, self.dim_vendor, self.dim_date),
+        }
+        for name, df in named.items():
+            df.createOrReplaceTempView(name)
+        return list(named)
+
+
 _CATALOGS: dict = {}
 
 

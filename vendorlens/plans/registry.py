@@ -77,6 +77,29 @@ def _load_typed_csv(cat: Catalog) -> DataFrame:
     return _csv_round_trip(clean, "clean_csv", clean.schema)
 
 
+def _scan_clean_csv(cat: Catalog) -> DataFrame:
+    """Cleaned table written with a header, re-scanned with its schema."""
+    clean = cat.clean
+    path = shared_path(clean.sparkSession, "clean_header_csv")
+    files.write_csv(clean, path)
+    return files.scan_clean_csv(clean.sparkSession, path, clean.schema)
+
+
+def _write_clean(cat: Catalog) -> DataFrame:
+    """Cleaned table written as Parquet partitioned by order year, read back."""
+    clean = cat.clean
+    path = shared_path(clean.sparkSession, "clean_parquet")
+    files.write_parquet(clean, path, partition_by=["order_year"])
+    return clean.sparkSession.read.parquet(path).select(*clean.columns)
+
+
+def _sql_view(name: str) -> Callable[[Catalog], DataFrame]:
+    def run(cat: Catalog) -> DataFrame:
+        cat.register_views()
+        return cat.spark.sql(f"SELECT * FROM {name}")
+    return run
+
+
 def _scan_raw_csv(cat: Catalog) -> DataFrame:
     raw = cat.raw
     path = shared_path(raw.sparkSession, "raw_csv")
@@ -246,6 +269,10 @@ def queries() -> dict[str, Query]:
 
     # readers and writers (round trips through the shared folder)
     q["load_typed_csv"] = _q(_load_typed_csv)
+    q["scan_clean_csv"] = _q(_scan_clean_csv)
+    q["write_clean"] = _q(_write_clean)
+    # the views by name through Spark SQL (temp views over the stored tables)
+    q["register_views"] = _q(_sql_view("vw_kpi_summary"))
     q["scan_raw_csv"] = _q(_scan_raw_csv)
     q["write_report_json"] = _q(_write_report_json)
     q["write_scores"] = _q(lambda c: _csv_round_trip(c.scores_imported, "scores_csv", TABLES["vendor_risk_scores"]))
