@@ -64,3 +64,16 @@ def test_parse_timestamps_bad_rows_null(spark):
 def test_filter_lead_time_inclusive(spark):
     df = spark.createDataFrame([(-1,), (0,), (90,), (91,), (None,)], "lead_time_days int")
     assert sorted(r[0] for r in C.filter_lead_time(df).collect()) == [0, 90]
+
+
+def test_null_free_shortcut_equals_profile(spark):
+    from vendorlens.plans.catalog import clean_order_items
+    from vendorlens.sources.orders import raw_order_items, sources_null_free
+
+    sf = "/root/testdata/sf0.001"
+    assert sources_null_free(spark, sf)
+    raw = raw_order_items(spark, sf)
+    a, _ = clean_order_items(raw, null_free=True)
+    b, _ = clean_order_items(raw, null_free=False)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
