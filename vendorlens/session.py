@@ -80,6 +80,3 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return f"{base}/vendorlens/{uuid.uuid4().hex}/{leaf}"
 
 
-def local_scratch() -> str:
-    """Scratch folder for tests only (never used by library jobs)."""
-    return tempfile.mkdtemp(prefix="vendorlens-", dir=os.environ.get("TMPDIR", "/tmp"))
