@@ -3,7 +3,6 @@ shared folder used to cut lineage (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
