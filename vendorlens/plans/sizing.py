@@ -1,11 +1,17 @@
-"""Size-checked broadcasting.
+"""Size-checked broadcasting and hot-key splitting.
 
 A side is broadcast only after its row count has been measured: the small
 side is first written to the shared checkpoint folder (which also cuts its
 lineage, so the count and the join read the same stored rows instead of
 recomputing an aggregate twice), counted, and broadcast when under the
-limit. Beyond the limit the join is a plain shuffle join, and AQE's skew
-handling splits hot keys on the large side.
+limit.
+
+Beyond the limit the join becomes a shuffle join, split by key heat: one
+partial-aggregated count of the large side's keys finds the hot keys (a key
+holding at least ``HOT_FRACTION`` of the rows - so at most 1/HOT_FRACTION of
+them). Rows with a hot key join a broadcast of the small side's rows for
+those keys; all other rows take the ordinary shuffle join. The result is
+exactly the join's result, and no task receives a hot key's rows whole.
 """
 
 from __future__ import annotations
@@ -17,6 +23,10 @@ from ..session import ensure_checkpoint_dir
 
 # Broadcast limit in rows for derived tables (dimension/category sized).
 DEFAULT_MAX_ROWS = 2_000_000
+# A key is hot when it holds at least this share of the large side's rows.
+HOT_FRACTION = 0.01
+# Joins whose hot/cold split keeps the result exact.
+SPLITTABLE = {"inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti", "leftanti"}
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -38,11 +48,45 @@ def join_small(
     max_rows: int = DEFAULT_MAX_ROWS,
 ) -> DataFrame:
     """Join ``big`` with a side expected to be small; broadcast it only when
-    its measured row count is at most ``max_rows``."""
+    its measured row count is at most ``max_rows``, else split hot keys."""
     small, n = measured(small)
     if n <= max_rows:
         return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    return skew_split_join(big, small, on, how, max_rows)
+
+
+def _key_names(on) -> list[str] | None:
+    if isinstance(on, str):
+        return [on]
+    if isinstance(on, (list, tuple)) and all(isinstance(k, str) for k in on):
+        return list(on)
+    return None
+
+
+def skew_split_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                    max_rows: int = DEFAULT_MAX_ROWS, hot_fraction: float = HOT_FRACTION) -> DataFrame:
+    """Exact join of two large sides with the hot keys of ``big`` split off
+    and joined by broadcast (see module docstring). Falls back to a plain
+    join (AQE's skew splitting) for expression conditions or join types
+    where the split would not be exact."""
+    keys = _key_names(on)
+    if keys is None or how.lower() not in SPLITTABLE:
+        return big.join(small, on, how)
+    total = big.count()
+    threshold = max(1, int(total * hot_fraction))
+    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot, n_hot = measured(counts.where(F.col("__n") >= threshold).select(*keys))
+    if n_hot == 0:
+        return big.join(small, on, how)
+    small_hot, n_small_hot = measured(small.join(F.broadcast(hot), keys, "left_semi"))
+    if n_small_hot > max_rows:  # hot keys repeat on the small side too
+        return big.join(small, on, how)
+    big_hot = big.join(F.broadcast(hot), keys, "left_semi")
+    big_cold = big.join(F.broadcast(hot), keys, "left_anti")
+    small_cold = small.join(F.broadcast(hot), keys, "left_anti")
+    hot_part = big_hot.join(F.broadcast(small_hot), on, how)
+    cold_part = big_cold.join(small_cold, on, how)
+    return hot_part.unionByName(cold_part)
 
 
 def scalars(agg_df: DataFrame):
