@@ -39,28 +39,34 @@ def _x(c: str):
 
 def _resolve(df: DataFrame, jobs: list) -> dict:
     """jobs: [(column, k, lo, hi)] with k the rank inside [lo, hi] (bounds
-    None = unbounded). Collect (value, count) pairs of every bracket in one
-    grouped pass and pick each rank."""
+    None = unbounded). Each distinct (column, bracket) is collected once as
+    (value, count) pairs - one grouped pass for all of them - and every rank
+    in it is picked from that list."""
+    groups: dict = {}
+    for c, _k, lo, hi in jobs:
+        groups.setdefault((c, lo, hi), len(groups))
     parts = []
-    for i, (c, _k, lo, hi) in enumerate(jobs):
+    for (c, lo, hi), g in groups.items():
         cond = _x(c).isNotNull()
         if lo is not None:
             cond = cond & (_x(c) >= F.lit(lo)) & (_x(c) <= F.lit(hi))
-        parts.append(F.when(cond, F.struct(F.lit(i).alias("j"), _x(c).alias("x"))))
+        parts.append(F.when(cond, F.struct(F.lit(g).alias("g"), _x(c).alias("x"))))
     rows = (
         df.select(F.explode(F.array(*parts)).alias("e"))
         .where(F.col("e").isNotNull())
-        .groupBy("e.j", "e.x")
+        .groupBy("e.g", "e.x")
         .count()
         .collect()
     )
-    by_job: dict[int, list] = {}
+    by_group: dict[int, list] = {}
     for r in rows:
-        by_job.setdefault(r["j"], []).append((r["x"], r["count"]))
+        by_group.setdefault(r["g"], []).append((r["x"], r["count"]))
+    for vals in by_group.values():
+        vals.sort()
     out = {}
-    for i, (c, k, _lo, _hi) in enumerate(jobs):
+    for i, (c, k, lo, hi) in enumerate(jobs):
         seen = 0
-        for v, cnt in sorted(by_job.get(i, [])):
+        for v, cnt in by_group.get(groups[(c, lo, hi)], []):
             seen += cnt
             if k < seen:
                 out[i] = v
