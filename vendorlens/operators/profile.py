@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.quantiles import exact_quantiles_many
 from .clean import null_counts, numeric_columns
@@ -67,23 +68,51 @@ def dup_keys(df: DataFrame, key: str) -> DataFrame:
     return g.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_keys"))
 
 
+_SLOTS = [("i", "bigint"), ("d", "double"), ("s", "string")]
+
+
+def _slot_value(c, dt: T.DataType):
+    """(slot, value): an injective encoding of the column's values into one
+    of three typed slots (the column id is part of the key, so columns may
+    share a slot)."""
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "i", c.cast("bigint")
+    if isinstance(dt, T.BooleanType):
+        return "i", c.cast("int").cast("bigint")
+    if isinstance(dt, T.DecimalType) and dt.precision <= 18:
+        # unscaled value: exact and a plain long
+        return "i", (c * F.lit(10 ** dt.scale)).cast("bigint")
+    if isinstance(dt, T.DateType):
+        return "i", F.unix_date(c).cast("bigint")
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return "d", c.cast("double")
+    return "s", c.cast("string")
+
+
 def profile_cardinality(df: DataFrame, approx: bool = False) -> DataFrame:
     """(column, distinct_count) of non-null values, ascending.
 
-    Exact: every row is expanded into (column, value as text) cells, cells
-    are de-duplicated (map-side first, then one shuffle of the distinct
-    cells) and counted per column - one small aggregate instead of one
-    distinct-count expansion per column. ``approx`` uses HyperLogLog
-    sketches in a single pass instead."""
+    Exact: one pass expands every row into (column, value) cells, the value
+    encoded injectively into a long, double or text slot; cells are
+    de-duplicated (map-side first, then one shuffle of the distinct cells)
+    and counted per column. ``approx`` uses HyperLogLog sketches in a single
+    aggregate instead."""
     if approx:
         wide = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).cast("long").alias(c) for c in df.columns])
         long = wide.unpivot([], wide.columns, "column", "distinct_count")
         return long.orderBy("distinct_count", "column")
-    vals = F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns])
-    long = df.select(F.posexplode(vals).alias("k", "v")).where(F.col("v").isNotNull())
+    cells = []
+    for k, f in enumerate(df.schema.fields):
+        v = F.col(f"`{f.name}`")
+        slot, val = _slot_value(v, f.dataType)
+        cells.append(F.when(v.isNotNull(), F.struct(
+            F.lit(k).alias("k"),
+            *[(val if name == slot else F.lit(None).cast(t)).alias(name) for name, t in _SLOTS],
+        )))
+    long = df.select(F.explode(F.array(*cells)).alias("e")).where(F.col("e").isNotNull()).select("e.*")
     counts = long.distinct().groupBy("k").agg(F.count(F.lit(1)).alias("distinct_count"))
     names = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "k int, column string")
-    return names.join(counts, "k", "left").select(
+    return names.join(F.broadcast(counts), "k", "left").select(
         "column", F.coalesce("distinct_count", F.lit(0)).cast("long").alias("distinct_count")
     ).orderBy("distinct_count", "column")
 
