@@ -59,3 +59,15 @@ def test_sql_views_by_name(spark):
     n = spark.sql("SELECT count(*) FROM vw_vendor_risk_master").first()[0]
     assert n == cat.dim_vendor.count()
     assert spark.sql("SELECT total_vendors FROM vw_kpi_summary").first()[0] == n
+
+
+def test_cli_build_writes_every_artifact(spark):
+    from vendorlens.__main__ import build
+
+    out = tempfile.mkdtemp(prefix="vendorlens-test-")
+    counts = build(spark, "/root/testdata/sf0.001", out + "/a", "supplier", "type")
+    assert counts["staging_orders"] == 226 and counts["fact_orders"] == 223
+    for name in ("validation_report", "staging_orders", "fact_orders", "top12_dual_sourcing"):
+        assert os.path.isdir(os.path.join(out, "a", name))
+    back = spark.read.parquet(out + "/a/staging_orders")
+    assert back.count() == 226 and "order_year" in back.columns
