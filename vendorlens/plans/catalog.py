@@ -154,6 +154,27 @@ class Catalog:
         return as_imported(self.top12, "top12_dual_sourcing")
 
 
+    # --- shared views (lazy; their size-checked small sides are measured once)
+    @cached_property
+    def vw_category_hhi(self) -> DataFrame:
+        from ..operators import views as V
+        return V.vw_category_hhi(self.fact, self.dim_product)
+
+    @cached_property
+    def vw_hhi_by_category(self) -> DataFrame:
+        from ..operators import views as V
+        return V.vw_hhi_by_category(self.vw_category_hhi)
+
+    @cached_property
+    def vw_single_source(self) -> DataFrame:
+        from ..operators import views as V
+        return V.vw_single_source(self.vw_category_hhi, self.vw_hhi_by_category)
+
+    @cached_property
+    def vw_vendor_risk_master(self) -> DataFrame:
+        from ..operators import views as V
+        return V.vw_vendor_risk_master(self.fact, self.dim_vendor, self.scores_imported)
+
     # --- SQL access --------------------------------------------------------
     def register_views(self) -> list[str]:
         """Name every stored table and every reporting view in the session,
@@ -162,10 +183,8 @@ class Catalog:
         tables."""
         from ..operators import views as V
 
-        hhi = V.vw_category_hhi(self.fact, self.dim_product)
-        by_cat = V.vw_hhi_by_category(hhi)
-        single = V.vw_single_source(hhi, by_cat)
-        master = V.vw_vendor_risk_master(self.fact, self.dim_vendor, self.scores_imported)
+        hhi, by_cat, single = self.vw_category_hhi, self.vw_hhi_by_category, self.vw_single_source
+        master = self.vw_vendor_risk_master
         named = {
             "staging_orders": self.clean,
             "dim_vendor": self.dim_vendor,

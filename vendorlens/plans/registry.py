@@ -45,14 +45,11 @@ def _with_lead(cat: Catalog) -> DataFrame:
 
 
 def _hhi_views(cat: Catalog):
-    hhi = V.vw_category_hhi(cat.fact, cat.dim_product)
-    by_cat = V.vw_hhi_by_category(hhi)
-    single = V.vw_single_source(hhi, by_cat)
-    return hhi, by_cat, single
+    return cat.vw_category_hhi, cat.vw_hhi_by_category, cat.vw_single_source
 
 
 def _risk_master(cat: Catalog) -> DataFrame:
-    return V.vw_vendor_risk_master(cat.fact, cat.dim_vendor, cat.scores_imported)
+    return cat.vw_vendor_risk_master
 
 
 def _shares(cat: Catalog) -> DataFrame:
