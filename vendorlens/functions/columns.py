@@ -15,11 +15,18 @@ def col(c) -> Column:
 
 def floor_days(start, end) -> Column:
     """Whole elapsed 24 h periods from ``start`` to ``end`` (floor, so one
-    hour backwards is -1). The difference of two timestamps is a day-time
-    interval, taken in seconds - no time zone enters, so a daylight-saving
-    change in the session zone cannot shift a day."""
-    secs = (col(end) - col(start)).cast("interval second").cast("decimal(20,6)")
-    return F.floor(secs / F.lit(86400)).cast("int")
+    hour backwards is -1): the calendar-day difference, less one when the
+    time of day went backwards. Dates and time-of-day intervals of
+    timestamp_ntz values involve no time zone, so a daylight-saving change
+    in the session zone cannot shift a day; all arithmetic stays on longs
+    (microseconds), exact to the microsecond."""
+    s, e = col(start), col(end)
+
+    def time_of_day(t):
+        return t - F.to_date(t).cast("timestamp_ntz")
+
+    back = F.when(time_of_day(e) < time_of_day(s), F.lit(1)).otherwise(F.lit(0))
+    return (F.datediff(F.to_date(e), F.to_date(s)) - back).cast("int")
 
 
 def week_sunday(d) -> Column:
