@@ -1,6 +1,7 @@
 """Benchmark: build the stored tables, then run the headline queries.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENT_LOG (optional folder: Spark event log for stage/task times).
 Prints one JSON line. Each query is forced with a no-op write (every row
 computed, nothing collected to the driver).
 """
@@ -51,7 +52,11 @@ def force(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), driver_memory="12g")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), driver_memory="12g",
+                          extra=extra)
     times: dict[str, float] = {}
 
     t = time.time()
