@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import exact_quantiles_many
-from ..plans.sizing import join_small
+from ..plans.sizing import ensure_parallelism, join_small
 
 # Metrics plotted by the reference (fixed values).
 HIST_METRICS = ["lead_time_days", "sales_per_customer", "order_item_quantity", "delivery_delay_days"]
@@ -108,7 +108,8 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     cols = columns or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     idx = {c: i for i, c in enumerate(cols)}
-    base = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    base = ensure_parallelism(
+        df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)]))
     xs = F.array(*[F.col(f"c{idx[a]}") for a, _ in pairs])
     ys = F.array(*[F.col(f"c{idx[b]}") for _, b in pairs])
     long = base.select(F.posexplode(F.arrays_zip(xs.alias("a"), ys.alias("b"))).alias("k", "v"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quantiles import exact_quantiles_many
+from ..plans.sizing import ensure_parallelism
 from .clean import null_counts, numeric_columns
 
 
@@ -109,7 +110,8 @@ def profile_cardinality(df: DataFrame, approx: bool = False) -> DataFrame:
             F.lit(k).alias("k"),
             *[(val if name == slot else F.lit(None).cast(t)).alias(name) for name, t in _SLOTS],
         )))
-    long = df.select(F.explode(F.array(*cells)).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+    long = ensure_parallelism(df).select(F.explode(F.array(*cells)).alias("e")) \
+        .where(F.col("e").isNotNull()).select("e.*")
     counts = long.distinct().groupBy("k").agg(F.count(F.lit(1)).alias("distinct_count"))
     names = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "k int, column string")
     return names.join(F.broadcast(counts), "k", "left").select(

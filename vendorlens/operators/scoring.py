@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import mean_of, minmax, risk_band as band_expr, safe_ratio, sample_std
-from ..plans.sizing import join_small, scalars
+from ..plans.sizing import join_small, materialize
 from .features import CATEGORY, SPEND, VENDOR
 
 LEAD = "lead_time_days"
@@ -73,9 +73,13 @@ def vendor_lead_stats(df: DataFrame, vendor=VENDOR) -> DataFrame:
 
 def minmax_score(df: DataFrame, col: str, out: str, eps: float = 1e-9) -> DataFrame:
     """(x - min) / (max - min + eps) over the whole frame. The extremes come
-    from a one-row scalar subquery, not from an unpartitioned window."""
-    ext = scalars(df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")))
-    return df.withColumn(out, minmax(col, ext.getField("lo"), ext.getField("hi"), eps))
+    from one global aggregate (partial per task, one row at the end) and
+    enter the projection as constants - no unpartitioned window, and no
+    scalar subqueries nesting when normalisations are chained."""
+    ext = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    lo = F.lit(ext["lo"]).cast("double")
+    hi = F.lit(ext["hi"]).cast("double")
+    return df.withColumn(out, minmax(col, lo, hi, eps))
 
 
 def vendor_late_rate_py(df: DataFrame, vendor=VENDOR) -> DataFrame:
@@ -89,12 +93,14 @@ def composite_risk(df: DataFrame, vendor=VENDOR, w_lead: float = W_LEAD, w_late:
     composite score, min-max normalised again. One aggregate over the items
     feeds all of it (the reference's two group-bys and merge are fused)."""
     st = vendor_item_stats(df, vendor)
-    base = st.select(
+    # vendor-sized; stored once so both normalisations (scalar subqueries
+    # over it) read it instead of re-aggregating the items each time
+    base = materialize(st.select(
         "vendor",
         mean_of("s", "n").alias("avg_lead_time"),
         F.coalesce(sample_std("n", "s", "ss"), F.lit(0.0)).alias("lead_time_std"),
         mean_of("late", "n").alias("late_delivery_rate"),
-    )
+    ))
     scored = minmax_score(base, "lead_time_std", "lead_time_variance_score")
     raw = scored.withColumn(
         "raw_score",

@@ -21,6 +21,7 @@ from ..operators import star as ST
 from ..operators import views as V
 from ..schemas import TABLES
 from ..session import shared_path
+from .sizing import materialize
 from ..sources import files
 from .catalog import Catalog, catalog_for
 from .oracle import CLEAN_COLUMNS, NUMERIC_CLEAN, RAW_NORMALISED
@@ -218,7 +219,7 @@ def queries() -> dict[str, Query]:
     q["hhi_exact"] = _q(lambda c: rounded(S.hhi_exact(_shares(c)), {"hhi_score": 9}))
     q["vendor_lead_stats"] = _q(lambda c: S.vendor_lead_stats(c.clean))
     q["minmax_score"] = _q(lambda c: S.minmax_score(
-        S.vendor_lead_stats(c.clean), "lead_time_std", "lead_time_variance_score"
+        materialize(S.vendor_lead_stats(c.clean)), "lead_time_std", "lead_time_variance_score"
     ).select("vendor", "lead_time_std", "lead_time_variance_score"))
     q["vendor_late_rate_py"] = _q(lambda c: S.vendor_late_rate_py(c.clean))
     q["composite_risk"] = _q(lambda c: S.composite_risk(c.clean))

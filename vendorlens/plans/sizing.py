@@ -95,3 +95,15 @@ def scalars(agg_df: DataFrame):
     once and uses the value as a constant, so nothing is joined or
     broadcast."""
     return agg_df.select(F.struct(*agg_df.columns).alias("s")).scalar()
+
+
+def ensure_parallelism(df: DataFrame, factor: int = 1) -> DataFrame:
+    """Spread ``df`` over at least ``factor`` x the default parallelism when
+    it arrives in fewer partitions (a small file with few row groups). On
+    large inputs, which already have many more splits than cores, this adds
+    nothing - no shuffle; it only keeps CPU-heavy per-row work (joins in one
+    stage, row expansions) from running in one or two tasks."""
+    want = max(1, df.sparkSession.sparkContext.defaultParallelism * factor)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

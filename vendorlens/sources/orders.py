@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import floor_days
-from ..plans.sizing import join_small
+from ..plans.sizing import ensure_parallelism, join_small
 from .tables import read_table
 
 # Raw header names of the order-item file (fixed values of the source data
@@ -100,13 +100,13 @@ def raw_order_items(
     category: str = "type",
 ) -> DataFrame:
     """One row per line item with the raw file's columns."""
-    li = read_table(
+    li = ensure_parallelism(read_table(
         spark,
         sf_dir,
         "lineitem",
         ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
          "l_extendedprice", "l_discount", "l_shipdate"],
-    )
+    ))
     orders = read_table(
         spark, sf_dir, "orders",
         ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"],
