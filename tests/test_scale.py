@@ -109,3 +109,13 @@ def test_skew_split_join_is_exact(spark):
         # forced through join_small's fallback (tiny broadcast limit)
         got2 = sorted(map(tuple, join_small(big, small, "order_customer_id", how, max_rows=5).collect()))
         assert got2 == want, how
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    from vendorlens.plans.sizing import fits_broadcast, measured
+
+    wide = spark.range(1000).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("s"))
+    stored, n = measured(wide)
+    assert fits_broadcast(stored, n, max_rows=10_000, max_bytes=10 * 1024 * 1024)
+    assert not fits_broadcast(stored, n, max_rows=10_000, max_bytes=512 * 1024)   # ~1 MB of text
+    assert not fits_broadcast(stored, n, max_rows=999)

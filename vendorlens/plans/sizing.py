@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# Broadcast limit in rows for derived tables (dimension/category sized).
+# Broadcast limits for derived tables (dimension/category sized): rows, and
+# estimated bytes (rows x per-row width from the schema; strings counted at
+# their measured mean length).
 DEFAULT_MAX_ROWS = 2_000_000
+DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds at least this share of the large side's rows.
 HOT_FRACTION = 0.01
 # Joins whose hot/cold split keeps the result exact.
@@ -40,6 +43,40 @@ def measured(df: DataFrame) -> tuple[DataFrame, int]:
     return stored, stored.count()
 
 
+def _row_bytes(df: DataFrame) -> float:
+    """Mean row width: fixed-width fields by type, strings and binaries by
+    their measured mean length (one pass over the stored small side)."""
+    from pyspark.sql import types as T
+
+    def width(t) -> int:
+        if isinstance(t, (T.ByteType, T.BooleanType)):
+            return 1
+        if isinstance(t, T.ShortType):
+            return 2
+        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+            return 4
+        if isinstance(t, T.DecimalType):
+            return 8 if t.precision <= 18 else 16
+        if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+            return 8
+        return 64  # nested values: a generous flat guess
+
+    var = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = sum(width(f.dataType) for f in df.schema.fields if f.name not in var)
+    if not var:
+        return float(fixed + 8)
+    means = df.agg(*[F.avg(F.length(F.col(f"`{c}`"))).alias(c) for c in var]).first()
+    return float(fixed + 8 + sum((means[c] or 0.0) + 8 for c in var))
+
+
+def fits_broadcast(df: DataFrame, n: int, max_rows: int = DEFAULT_MAX_ROWS,
+                   max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    """Row count within ``max_rows`` and estimated size within ``max_bytes``."""
+    if n > max_rows:
+        return False
+    return n * _row_bytes(df) <= max_bytes
+
+
 def join_small(
     big: DataFrame,
     small: DataFrame,
@@ -50,7 +87,7 @@ def join_small(
     """Join ``big`` with a side expected to be small; broadcast it only when
     its measured row count is at most ``max_rows``, else split hot keys."""
     small, n = measured(small)
-    if n <= max_rows:
+    if fits_broadcast(small, n, max_rows):
         return big.join(F.broadcast(small), on, how)
     return skew_split_join(big, small, on, how, max_rows)
 
@@ -79,7 +116,7 @@ def skew_split_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
     if n_hot == 0:
         return big.join(small, on, how)
     small_hot, n_small_hot = measured(small.join(F.broadcast(hot), keys, "left_semi"))
-    if n_small_hot > max_rows:  # hot keys repeat on the small side too
+    if not fits_broadcast(small_hot, n_small_hot, max_rows):  # hot keys repeat on the small side too
         return big.join(small, on, how)
     big_hot = big.join(F.broadcast(hot), keys, "left_semi")
     big_cold = big.join(F.broadcast(hot), keys, "left_anti")
