@@ -28,9 +28,13 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Rows resolved on the driver per call, across all brackets; each bracket
+# gets an equal share (at least MIN_SHARE). Brackets above their share are
+# narrowed by another sketch round first.
 MAX_CANDIDATES = 100_000
+MIN_SHARE = 1_000
 ACCURACY = 10_000
-MAX_ROUNDS = 6
+MAX_ROUNDS = 8
 
 
 def _x(c: str):
@@ -78,8 +82,9 @@ def _order_stats(df: DataFrame, wanted: dict, counts: dict) -> dict:
     """wanted: {column: set of ranks}; counts: {column: n}."""
     # state per job: column, global rank, rank inside bracket, bracket, size
     jobs = [[c, k, k, None, None, counts[c]] for c, ks in wanted.items() for k in sorted(ks)]
+    share = max(MIN_SHARE, MAX_CANDIDATES // max(1, len(jobs)))
     for _ in range(MAX_ROUNDS):
-        big = [j for j in jobs if j[5] > MAX_CANDIDATES]
+        big = [j for j in jobs if j[5] > share]
         if not big:
             break
         probs_aggs = []
