@@ -13,8 +13,10 @@ afford. Here each wanted order statistic is found by narrowing:
    count) pairs; larger ones repeat steps 2-4 inside the bracket, which
    shrinks the population by about ``ACCURACY / 4`` per round.
 
-All columns are handled together, so the number of passes does not grow
-with the number of columns. Every pass is a distributed aggregate; only
+All columns are handled together in a "melted" form - (column id, value)
+rows from one ``posexplode`` - so every pass is one small grouped aggregate
+whatever the number of columns, and brackets travel as a tiny broadcast
+table keyed by column id (no wide expression lists to compile). Only
 bounded (value, count) lists reach the driver.
 
 Interpolation is "linear": with h = (n - 1) * p,
@@ -37,31 +39,31 @@ ACCURACY = 10_000
 MAX_ROUNDS = 8
 
 
-def _x(c: str):
-    return F.col(f"`{c}`").cast("double")
+def _melt(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(c, x): column position and value as double, nulls dropped."""
+    vals = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+    return df.select(F.posexplode(vals).alias("c", "x")).where(F.col("x").isNotNull())
 
 
-def _resolve(df: DataFrame, jobs: list) -> dict:
-    """jobs: [(column, k, lo, hi)] with k the rank inside [lo, hi] (bounds
-    None = unbounded). Each distinct (column, bracket) is collected once as
-    (value, count) pairs - one grouped pass for all of them - and every rank
-    in it is picked from that list."""
+def _table(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A tiny driver-built table of brackets (one row per wanted rank)."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
+def _in_range():
+    return F.col("lo").isNull() | ((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
+
+
+def _resolve(long: DataFrame, jobs: list) -> dict:
+    """jobs: [(col position, k, lo, hi)], k the rank inside [lo, hi] (None =
+    unbounded). Each distinct (column, range) is collected once as (value,
+    count) pairs - one grouped pass - and every rank in it is picked."""
     groups: dict = {}
     for c, _k, lo, hi in jobs:
         groups.setdefault((c, lo, hi), len(groups))
-    parts = []
-    for (c, lo, hi), g in groups.items():
-        cond = _x(c).isNotNull()
-        if lo is not None:
-            cond = cond & (_x(c) >= F.lit(lo)) & (_x(c) <= F.lit(hi))
-        parts.append(F.when(cond, F.struct(F.lit(g).alias("g"), _x(c).alias("x"))))
-    rows = (
-        df.select(F.explode(F.array(*parts)).alias("e"))
-        .where(F.col("e").isNotNull())
-        .groupBy("e.g", "e.x")
-        .count()
-        .collect()
-    )
+    ranges = _table(long.sparkSession, [(c, g, lo, hi) for (c, lo, hi), g in groups.items()],
+                    "c int, g int, lo double, hi double")
+    rows = long.join(ranges, "c").where(_in_range()).groupBy("g", "x").count().collect()
     by_group: dict[int, list] = {}
     for r in rows:
         by_group.setdefault(r["g"], []).append((r["x"], r["count"]))
@@ -78,8 +80,33 @@ def _resolve(df: DataFrame, jobs: list) -> dict:
     return out
 
 
-def _order_stats(df: DataFrame, wanted: dict, counts: dict) -> dict:
-    """wanted: {column: set of ranks}; counts: {column: n}."""
+def _sketch(long: DataFrame, big: list) -> dict:
+    """Approximate brackets for the jobs above their share: one sketch per
+    (column, range) group, evaluated at the union of the percentages."""
+    groups: dict = {}
+    for i, (c, _k, kin, lo, hi, n) in enumerate(big):
+        slack = 2.0 * n / ACCURACY + 1
+        pl = max(0.0, (kin - slack) / n)
+        ph = min(1.0, (kin + 1 + slack) / n)
+        groups.setdefault((c, lo, hi), []).append((i, pl, ph))
+    probs = sorted({p for members in groups.values() for _, pl, ph in members for p in (pl, ph)})
+    ranges = _table(long.sparkSession, [(c, g, lo, hi) for g, (c, lo, hi) in enumerate(groups)],
+                    "c int, g int, lo double, hi double")
+    res = (
+        long.join(ranges, "c").where(_in_range())
+        .groupBy("g").agg(F.percentile_approx("x", probs, ACCURACY).alias("q"))
+        .collect()
+    )
+    at = {r["g"]: dict(zip(probs, r["q"])) for r in res}
+    out = {}
+    for g, members in enumerate(groups.values()):
+        for i, pl, ph in members:
+            out[i] = (at[g][pl], at[g][ph])
+    return out
+
+
+def _order_stats(long: DataFrame, wanted: dict, counts: dict) -> dict:
+    """wanted: {col position: set of ranks}; counts: {col position: n}."""
     # state per job: column, global rank, rank inside bracket, bracket, size
     jobs = [[c, k, k, None, None, counts[c]] for c, ks in wanted.items() for k in sorted(ks)]
     share = max(MIN_SHARE, MAX_CANDIDATES // max(1, len(jobs)))
@@ -87,33 +114,25 @@ def _order_stats(df: DataFrame, wanted: dict, counts: dict) -> dict:
         big = [j for j in jobs if j[5] > share]
         if not big:
             break
-        probs_aggs = []
-        for i, (c, _k, kin, lo, hi, n) in enumerate(big):
-            slack = 2.0 * n / ACCURACY + 1
-            pl = max(0.0, (kin - slack) / n)
-            ph = min(1.0, (kin + 1 + slack) / n)
-            x = _x(c)
-            if lo is not None:
-                x = F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), x)
-            probs_aggs.append(F.percentile_approx(x, [pl, ph], ACCURACY).alias(f"p{i}"))
-        approx = df.agg(*probs_aggs).first()
-        count_aggs = []
-        brackets = []
-        for i, (c, _k, _kin, lo, hi, _n) in enumerate(big):
-            a, b = approx[f"p{i}"]
-            brackets.append((a, b))
-            x = _x(c)
-            inside = F.lit(True) if lo is None else (x >= F.lit(lo)) & (x <= F.lit(hi))
-            count_aggs.append(F.count_if(inside & (x < F.lit(a))).alias(f"lt{i}"))
-            count_aggs.append(F.count_if(inside & (x <= F.lit(b))).alias(f"le{i}"))
-        cnt = df.agg(*count_aggs).first()
+        brackets = _sketch(long, big)
+        tab = _table(long.sparkSession,
+                     [(c, i, lo, hi, brackets[i][0], brackets[i][1])
+                      for i, (c, _k, _kin, lo, hi, _n) in enumerate(big)],
+                     "c int, j int, lo double, hi double, a double, b double")
+        cnt = {
+            r["j"]: (r["lt"], r["le"])
+            for r in long.join(tab, "c").where(_in_range())
+            .groupBy("j").agg(F.count_if(F.col("x") < F.col("a")).alias("lt"),
+                              F.count_if(F.col("x") <= F.col("b")).alias("le"))
+            .collect()
+        }
         for i, j in enumerate(big):
             a, b = brackets[i]
-            lt, le = cnt[f"lt{i}"], cnt[f"le{i}"]
+            lt, le = cnt.get(i, (0, 0))
             if lt <= j[2] < le and le - lt < j[5]:
                 j[2], j[3], j[4], j[5] = j[2] - lt, a, b, le - lt
             # else: the sketch gave no proven progress; the next round retries
-    resolved = _resolve(df, [(c, kin, lo, hi) for c, _k, kin, lo, hi, _n in jobs])
+    resolved = _resolve(long, [(c, kin, lo, hi) for c, _k, kin, lo, hi, _n in jobs])
     return {(j[0], j[1]): resolved.get(i) for i, j in enumerate(jobs)}
 
 
@@ -122,12 +141,12 @@ def exact_quantiles_many(df: DataFrame, spec: dict) -> dict:
     if not spec:
         return {}
     cols = list(spec)
-    row = df.agg(*[F.count(_x(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    long = _melt(df, cols)
+    n_by_pos = {r["c"]: r["n"] for r in long.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
     plans: dict = {}
     wanted: dict = {}
-    for c in cols:
-        n = counts[c]
+    for pos, c in enumerate(cols):
+        n = n_by_pos.get(pos, 0)
         plans[c] = []
         for p in spec[c]:
             if n == 0:
@@ -137,17 +156,17 @@ def exact_quantiles_many(df: DataFrame, spec: dict) -> dict:
             k = int(math.floor(h))
             k2 = min(k + 1, n - 1)
             plans[c].append((k, k2, h - k))
-            wanted.setdefault(c, set()).update([k, k2])
-    stats = _order_stats(df, wanted, counts) if wanted else {}
+            wanted.setdefault(pos, set()).update([k, k2])
+    stats = _order_stats(long, wanted, n_by_pos) if wanted else {}
     out = {}
-    for c in cols:
+    for pos, c in enumerate(cols):
         vals = []
         for pl in plans[c]:
             if pl is None:
                 vals.append(None)
                 continue
             k, k2, frac = pl
-            a, b = stats[(c, k)], stats[(c, k2)]
+            a, b = stats[(pos, k)], stats[(pos, k2)]
             vals.append(a if frac == 0 or a == b else a + (b - a) * frac)
         out[c] = vals
     return out

@@ -34,27 +34,24 @@ def profile_nulls(df: DataFrame) -> DataFrame:
 
 def profile_describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, q25, q50, q75, max per numeric column.
-    Moments from one aggregate pass; quantiles exact (a few passes for all
-    columns together)."""
+    Moments from one grouped aggregate over (column, value) cells;
+    quantiles exact (a few passes for all columns together)."""
     cols = columns or numeric_columns(df)
     qs = exact_quantiles_many(df, {c: [0.25, 0.5, 0.75] for c in cols})
-    structs = []
-    for c in cols:
-        x = F.col(f"`{c}`").cast("double")
-        q = qs[c]
-        structs.append(F.struct(
-            F.lit(c).alias("column"),
-            F.count(x).alias("count"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"),
-            F.lit(q[0]).cast("double").alias("q25"),
-            F.lit(q[1]).cast("double").alias("q50"),
-            F.lit(q[2]).cast("double").alias("q75"),
-            F.max(x).alias("max"),
-        ).alias(c))
-    wide = df.agg(*structs)
-    return wide.select(F.explode(F.array(*[F.col(f"`{c}`") for c in cols])).alias("s")).select("s.*")
+    vals = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+    long = df.select(F.posexplode(vals).alias("k", "x"))
+    moments = long.groupBy("k").agg(
+        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"), F.max("x").alias("max"),
+    )
+    names = df.sparkSession.createDataFrame(
+        [(k, c, *qs[c]) for k, c in enumerate(cols)],
+        "k int, column string, q25 double, q50 double, q75 double",
+    )
+    return names.join(F.broadcast(moments), "k", "left").select(
+        "column", F.coalesce("count", F.lit(0)).cast("long").alias("count"), "mean", "std", "min",
+        "q25", "q50", "q75", "max",
+    )
 
 
 def dup_rows(df: DataFrame) -> DataFrame:
