@@ -48,3 +48,20 @@ def test_yoy_gap_zero_and_single_year(spark):
     assert out[(1, 2018)]["prev_year_spend"] is None            # gap, not 2016
     assert out[(2, 2016)]["yoy_growth_pct"] is None             # zero guard
     assert out[(3, 2016)]["prev_year_spend"] is None
+
+
+def test_number_rows_matches_row_number(spark):
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from vendorlens.plans.sizing import number_rows
+
+    rnd = random.Random(2)
+    rows = [(rnd.choice("abcde"), rnd.randint(0, 50), rnd.random()) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "a string, b int, c double").repartition(13)
+    want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b", "c")))
+    got = number_rows(df, ["a", "b"], "rid")
+    assert sorted(map(tuple, got.select("rid", "a", "b", "c").collect())) == \
+        sorted(map(tuple, want.select("rid", "a", "b", "c").collect()))

@@ -5,10 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.columns import week_sunday
-from ..plans.sizing import join_small
+from ..plans.sizing import join_small, number_rows
 
 # Order used to keep one row per repeated item id (the test data repeats
 # some (order, line) pairs; the declared primary key forbids that). The
@@ -60,17 +59,15 @@ def dim_product(clean: DataFrame) -> DataFrame:
 
 def dim_region(clean: DataFrame) -> DataFrame:
     """Distinct (region, country, market) numbered by region, country (market
-    breaks ties). The distinct set is geography-sized - regions times
-    countries - so numbering it in one ordered window is bounded work; the
-    item rows are reduced map-side before the shuffle."""
+    breaks ties). The item rows are reduced map-side to distinct tuples, and
+    the numbering is distributed (``number_rows``) - no global window."""
     geo = clean.select(
         F.col("order_region").alias("region_name"),
         F.col("order_country").alias("country"),
         "market",
     ).distinct()
-    w = Window.orderBy("region_name", "country", "market")
-    return geo.select(
-        F.row_number().over(w).cast("int").alias("region_id"), "region_name", "country", "market"
+    return number_rows(geo, ["region_name", "country", "market"], "region_id").select(
+        F.col("region_id").cast("int").alias("region_id"), "region_name", "country", "market"
     )
 
 

@@ -144,3 +144,31 @@ def ensure_parallelism(df: DataFrame, factor: int = 1) -> DataFrame:
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
+
+
+def number_rows(df: DataFrame, order: list[str], name: str = "row_id", start: int = 1) -> DataFrame:
+    """Consecutive numbers in the total order of ``order`` (ties broken by
+    the remaining columns), computed without a global window.
+
+    The rows are range-partitioned and sorted within partitions, then
+    stored (checkpoint), which fixes each partition's contents and order.
+    One small aggregate counts rows per partition (one row per partition
+    reaches the driver) to get each partition's offset; a row's number is
+    its partition's offset plus its position inside the partition, read
+    from ``monotonically_increasing_id`` (partition id in the upper bits,
+    position in the lower 33)."""
+    cols = list(order) + [c for c in df.columns if c not in order]
+    parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    stored = materialize(df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols))
+    tagged = stored.withColumn("__pid", F.spark_partition_id()).withColumn(
+        "__pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+    sizes = sorted((r["__pid"], r["n"]) for r in
+                   tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, run = [], start
+    for pid, n in sizes:
+        offsets.append((pid, run))
+        run += n
+    off = F.broadcast(df.sparkSession.createDataFrame(offsets, "__pid int, __off long"))
+    return tagged.join(off, "__pid").select(
+        (F.col("__off") + F.col("__pos")).alias(name), *[F.col(f"`{c}`") for c in df.columns]
+    )
