@@ -1,7 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from vendorlens.functions.columns import floor_days, week_sunday
 from vendorlens.operators import features as FE

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from vendorlens.operators import scoring as S
 
