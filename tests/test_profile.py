@@ -68,3 +68,11 @@ def test_correlation_pairs(spark):
     got = {(r["x"], r["y"]): r["r"] for r in E.correlation_matrix(df).collect()}
     assert set(got) == {("a", "b"), ("a", "c"), ("b", "c")}
     assert abs(got[("a", "b")] - 1.0) < 1e-12
+
+
+def test_density_binned_close_to_exact(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(float(v),) for v in rng.normal(size=2000)], "m double")
+    exact = {r["i"]: r["density"] for r in E.density_curve(df, ["m"], points=50).collect()}
+    binned = {r["i"]: r["density"] for r in E.density_curve(df, ["m"], points=50, bins=400).collect()}
+    assert max(abs(exact[i] - binned[i]) for i in exact) < 2e-3
