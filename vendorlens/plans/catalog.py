@@ -74,13 +74,26 @@ class Catalog:
     def raw(self) -> DataFrame:
         return raw_order_items(self.spark, self.sf_dir, self.vendor, self.category)
 
+    @cached_property
+    def raw_stored(self) -> DataFrame:
+        """The raw items written once - the counterpart of the raw file the
+        profiling steps read. Only profiling uses it; the clean build keeps
+        the lead-time filter inside the join instead."""
+        return write_table(self.raw, "raw_items")
+
+    @cached_property
+    def _null_free(self) -> bool:
+        return sources_null_free(self.spark, self.sf_dir)
+
     @cached_property
     def _cleaned(self):
-        return clean_order_items(self.raw, null_free=sources_null_free(self.spark, self.sf_dir))
+        return clean_order_items(self.raw, null_free=self._null_free)
 
-    @property
+    @cached_property
     def validated(self) -> DataFrame:
-        return self._cleaned[1]
+        """Items after null handling, before the lead-time filter: what the
+        validation counters are taken on (from the stored raw items)."""
+        return clean_order_items(self.raw_stored, null_free=self._null_free)[1]
 
     @cached_property
     def items(self) -> DataFrame:

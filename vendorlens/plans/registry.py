@@ -38,7 +38,7 @@ def rounded(df: DataFrame, digits: dict) -> DataFrame:
 
 
 def _normalised(cat: Catalog) -> DataFrame:
-    return C.normalise_columns(cat.raw)
+    return C.normalise_columns(cat.raw_stored)
 
 
 def _with_lead(cat: Catalog) -> DataFrame:
@@ -99,7 +99,7 @@ def _sql_view(name: str) -> Callable[[Catalog], DataFrame]:
 
 
 def _scan_raw_csv(cat: Catalog) -> DataFrame:
-    raw = cat.raw
+    raw = cat.raw_stored
     path = shared_path(raw.sparkSession, "raw_csv")
     files.write_csv(raw, path, encoding=files.RAW_ENCODING)
     back = files.scan_raw_csv(raw.sparkSession, path, schema=raw.schema)
