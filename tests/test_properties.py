@@ -52,3 +52,21 @@ def test_breach_probabilities_estimate_upper_tail(cat):
     se = math.sqrt(0.02275 * (1 - 0.02275) / D.N_SIMULATIONS)
     assert all(abs(p - 0.02275) < 5 * se for p in probs)
     assert abs(sum(probs) / len(probs) - 0.02275) < 5 * se / math.sqrt(len(probs)) + 1e-4
+
+
+def test_skipped_targets_brute_force(spark):
+    """customer x brand at sf0.001 (many thin targets): targets, skips and
+    record counts against a pandas computation on the collected items."""
+    c2 = catalog_for(spark, SF, vendor="customer", category="brand")
+    items = c2.clean.select("category_name", "order_customer_id", "spend_per_order").toPandas()
+    items["spend"] = items["spend_per_order"].astype(float)
+    per = items.groupby(["category_name", "order_customer_id"]).agg(n=("spend", "size"), s=("spend", "sum")).reset_index()
+    per = per.sort_values(["category_name", "s", "order_customer_id"], ascending=[True, False, True])
+    top = per.groupby("category_name").head(1)
+    want_skipped = {(r.category_name, r.order_customer_id, r.n) for r in top.itertuples() if r.n < 2}
+    got = {(r["category"], r["vendor"], r["record_count"]) for r in D.skipped_targets(c2.target_stats).collect()}
+    assert got == want_skipped and len(got) > 0
+    wide = items.groupby("order_customer_id").size()
+    got_counts = {(r["category"], r["vendor"]): r["record_count"]
+                  for r in D.target_record_counts(c2.clean, c2.targets).collect()}
+    assert got_counts == {(r.category_name, r.order_customer_id): int(wide[r.order_customer_id]) for r in top.itertuples()}
