@@ -93,8 +93,8 @@ def composite_risk(df: DataFrame, vendor=VENDOR, w_lead: float = W_LEAD, w_late:
     composite score, min-max normalised again. One aggregate over the items
     feeds all of it (the reference's two group-bys and merge are fused)."""
     st = vendor_item_stats(df, vendor)
-    # vendor-sized; stored once so both normalisations (scalar subqueries
-    # over it) read it instead of re-aggregating the items each time
+    # vendor-sized; stored once so both normalisations (a one-row aggregate
+    # each) read it instead of re-aggregating the items each time
     base = materialize(st.select(
         "vendor",
         mean_of("s", "n").alias("avg_lead_time"),
