@@ -112,10 +112,11 @@ def test_skew_split_join_is_exact(spark):
 
 
 def test_broadcast_bound_counts_bytes(spark):
-    from vendorlens.plans.sizing import fits_broadcast, measured
+    from vendorlens.plans.sizing import fits_broadcast, measure
 
     wide = spark.range(1000).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("s"))
-    stored, n = measured(wide)
-    assert fits_broadcast(stored, n, max_rows=10_000, max_bytes=10 * 1024 * 1024)
-    assert not fits_broadcast(stored, n, max_rows=10_000, max_bytes=512 * 1024)   # ~1 MB of text
-    assert not fits_broadcast(stored, n, max_rows=999)
+    _, n, width = measure(wide)
+    assert n == 1000 and width > 1000
+    assert fits_broadcast(n, width, max_rows=10_000, max_bytes=10 * 1024 * 1024)
+    assert not fits_broadcast(n, width, max_rows=10_000, max_bytes=512 * 1024)   # ~1 MB of text
+    assert not fits_broadcast(n, width, max_rows=999)

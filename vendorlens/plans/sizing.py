@@ -39,42 +39,45 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def measured(df: DataFrame) -> tuple[DataFrame, int]:
-    stored = materialize(df)
-    return stored, stored.count()
+    stored, n, _ = measure(df)
+    return stored, n
+
 
+def _width(t) -> int:
+    from pyspark.sql import types as T
 
-def _row_bytes(df: DataFrame) -> float:
-    """Mean row width: fixed-width fields by type, strings and binaries by
-    their measured mean length (one pass over the stored small side)."""
+    if isinstance(t, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    return 64  # nested values: a generous flat guess
+
+
+def measure(df: DataFrame) -> tuple[DataFrame, int, float]:
+    """Store ``df`` in the shared folder, then one aggregate over the stored
+    rows gives the row count and the mean row width (fixed-width fields by
+    type, strings and binaries by their measured mean length)."""
     from pyspark.sql import types as T
 
-    def width(t) -> int:
-        if isinstance(t, (T.ByteType, T.BooleanType)):
-            return 1
-        if isinstance(t, T.ShortType):
-            return 2
-        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-            return 4
-        if isinstance(t, T.DecimalType):
-            return 8 if t.precision <= 18 else 16
-        if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-            return 8
-        return 64  # nested values: a generous flat guess
-
-    var = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    fixed = sum(width(f.dataType) for f in df.schema.fields if f.name not in var)
-    if not var:
-        return float(fixed + 8)
-    means = df.agg(*[F.avg(F.length(F.col(f"`{c}`"))).alias(c) for c in var]).first()
-    return float(fixed + 8 + sum((means[c] or 0.0) + 8 for c in var))
-
-
-def fits_broadcast(df: DataFrame, n: int, max_rows: int = DEFAULT_MAX_ROWS,
+    stored = materialize(df)
+    var = [f.name for f in stored.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = sum(_width(f.dataType) for f in stored.schema.fields if f.name not in var)
+    row = stored.agg(F.count(F.lit(1)).alias("__n"),
+                     *[F.avg(F.length(F.col(f"`{c}`"))).alias(f"__l{i}") for i, c in enumerate(var)]).first()
+    width = float(fixed + 8 + sum((row[f"__l{i}"] or 0.0) + 8 for i in range(len(var))))
+    return stored, row["__n"], width
+
+
+def fits_broadcast(n: int, row_bytes: float, max_rows: int = DEFAULT_MAX_ROWS,
                    max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
     """Row count within ``max_rows`` and estimated size within ``max_bytes``."""
-    if n > max_rows:
-        return False
-    return n * _row_bytes(df) <= max_bytes
+    return n <= max_rows and n * row_bytes <= max_bytes
 
 
 def join_small(
@@ -86,8 +89,8 @@ def join_small(
 ) -> DataFrame:
     """Join ``big`` with a side expected to be small; broadcast it only when
     its measured row count is at most ``max_rows``, else split hot keys."""
-    small, n = measured(small)
-    if fits_broadcast(small, n, max_rows):
+    small, n, width = measure(small)
+    if fits_broadcast(n, width, max_rows):
         return big.join(F.broadcast(small), on, how)
     return skew_split_join(big, small, on, how, max_rows)
 
@@ -115,8 +118,8 @@ def skew_split_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
     hot, n_hot = measured(counts.where(F.col("__n") >= threshold).select(*keys))
     if n_hot == 0:
         return big.join(small, on, how)
-    small_hot, n_small_hot = measured(small.join(F.broadcast(hot), keys, "left_semi"))
-    if not fits_broadcast(small_hot, n_small_hot, max_rows):  # hot keys repeat on the small side too
+    small_hot, n_small_hot, w_hot = measure(small.join(F.broadcast(hot), keys, "left_semi"))
+    if not fits_broadcast(n_small_hot, w_hot, max_rows):  # hot keys repeat on the small side too
         return big.join(small, on, how)
     big_hot = big.join(F.broadcast(hot), keys, "left_semi")
     big_cold = big.join(F.broadcast(hot), keys, "left_anti")
