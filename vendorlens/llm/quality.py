@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendorlens.llm.common import spare_name, stored, words
+from vendorlens.llm.common import join_measured, read, spare_name, stored, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -89,32 +89,34 @@ def host_verdicts(measured: DataFrame, host: str = "source") -> DataFrame:
     return hosts.select("*", rate.alias("rate"), (rate <= MAX_HOST_RATE).alias("host_kept"))
 
 
-def judge(df: DataFrame, text: str = "text", host: str = "source", only_rules: bool = False,
-          measured: DataFrame | None = None) -> DataFrame:
-    """``df`` with its measures and ``kept``: the document's own rules hold
-    and its host is kept. ``measured``: its measures, where they are stored
-    already."""
-    measured = measure(df, text, only_rules) if measured is None else measured
+def judge(measured: DataFrame, host: str = "source") -> DataFrame:
+    """A stored table of measures with ``kept``: the document's own rules hold
+    and its host is kept. (Stored, because a later filter on the verdict would
+    otherwise be pushed into the measuring, once for each use of a step.)"""
     key, ok = spare_name(measured, "__host"), spare_name(measured, "__host_kept")
     hosts = host_verdicts(measured, host).select(F.col("host").alias(key), F.col("host_kept").alias(ok))
     joined = measured.join(hosts, measured[host].eqNullSafe(hosts[key]), "left")
     return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col(ok), F.lit(True))).drop(key, ok)
 
 
-def keep_good(df: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The rows of ``df`` that ``judge`` keeps, with the columns of ``df``."""
-    tag = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-                    F.col(f"`{text}`").alias("text"), F.col(f"`{host}`").alias("host"))
-    return judge(tag, "text", "host", only_rules=True).where("kept").select("row.*")
+def keep_good(df: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+    """The rows of ``df`` (same columns) that their own rules and their host
+    keep. Texts are measured once; the verdicts come back by doc_id and a
+    hash of text and host, which equal rows share."""
+    col = lambda c: F.col(f"`{c}`")
+    key = [F.coalesce(col(doc_id).cast("string"), F.lit("null")).alias("id"),
+           F.xxhash64(F.coalesce(col(text), F.lit("")), F.coalesce(F.concat(F.lit("s"), col(host)), F.lit("n"))).alias("th")]
+    body = df.select(*key, col(text).alias("text"), col(host).alias("source"))
+    measured = stored(measure(body, only_rules=True).select("id", "th", "source", "base_failed"))
+    rejected = stored(judge(measured).where(~F.col("kept")).select("id", "th").distinct())
+    rows = df.select(F.struct(*map(col, df.columns)).alias("row"), *key)
+    return join_measured(rows, rejected, ["id", "th"], "left_anti", F.length("id") + 24).select("row.*")
 
 
 def op6_host_rules(spark, sf_dir: str) -> DataFrame:
-    from vendorlens.llm.common import read
-
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    measured = stored(measure(docs).select(*columns, "source"))  # numbers only: read twice, measured once
-    return judge(docs, measured=measured).select(*columns, "kept")
+    return judge(stored(measure(docs).select(*columns, "source"))).select(*columns, "kept")
 
 
 ORACLE = r"""
