@@ -53,12 +53,20 @@ def anchors(words: list[bytes], window: int, period: int, cover: tuple) -> tuple
     return places, [h(body[a:b]) for a, b in zip(starts[places].tolist(), ends[places + width - 1].tolist())]
 
 
-def removed_words(starts: np.ndarray, n: int, window: int) -> np.ndarray:
-    """True for every word that a window from ``starts`` covers."""
-    step = np.zeros(n + 1, np.int64)
-    np.add.at(step, starts, 1)
-    np.add.at(step, starts + window, -1)
-    return np.cumsum(step)[:n] > 0
+def covered(starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs [start, end) of words that windows from ``starts`` cover."""
+    starts = np.sort(starts.astype(np.int64))
+    cuts = np.flatnonzero(np.diff(starts) > window) + 1
+    return starts[np.append(0, cuts)], starts[np.append(cuts, len(starts)) - 1] + window
+
+
+def _as_runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """(doc, alt, start, end): window starts as the few runs they cover."""
+    for batch in batches:
+        start, end = zip(*[covered(np.asarray(p.values), window) for p in batch.column("positions")])
+        lists = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("alt"), pa.array(start, lists),
+                                          pa.array(end, lists)], ["doc", "alt", "start", "end"])
 
 
 def _place(doc: int, alt: int, positions: np.ndarray) -> dict[str, np.ndarray]:
@@ -117,17 +125,22 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
                 yield _place(doc.as_py(), alt.as_py(), places) | {"route": high, "low": low}
 
     again = held.mapInArrow(lambda b: combined(b, window_rows, ["route", "low"]), f"route bigint, low bigint, {kinds}")
-    again = stored(met(again, ["route", "low"], later_only=True))
-    changed = join_measured(single, again, ["doc", "alt"], "inner", wide)
+    again = stored(met(again, ["route", "low"], later_only=True).mapInArrow(
+        lambda b: _as_runs(b, window), "doc bigint, alt bigint, start array<bigint>, end array<bigint>"))
+    changed = join_measured(single, again, ["doc", "alt"], "inner", F.size("start") * 16 + 72)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             gone, texts = [], []
-            for body, positions in zip(batch.column("text"), batch.column("positions")):
+            for body, start, end in zip(*(batch.column(c) for c in ("text", "start", "end"))):
                 words = body.as_py().encode().split()
-                out = removed_words(np.asarray(positions.values).astype(np.int64), len(words), window)
-                gone.append(int(out.sum()))
-                texts.append(b" ".join([w for w, x in zip(words, out.tolist()) if not x]))
+                kept, at = [], 0
+                for a, b in zip(start.as_py(), end.as_py()):
+                    kept += words[at:a]
+                    at = b
+                kept += words[at:]
+                gone.append(len(words) - len(kept))
+                texts.append(b" ".join(kept))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), batch.column("alt"), pa.array(gone, pa.int64()),
                  pa.array([hashlib.sha256(t).hexdigest() for t in texts]), pa.array([t.decode() for t in texts])],
