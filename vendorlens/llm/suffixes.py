@@ -82,6 +82,16 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], reach[np.append(new[1:], True)]
 
 
+def _merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, alt, start, end): a document's repeated bytes as maximal runs."""
+    for batch in batches:
+        runs = [merged(*(np.asarray(p.values.field(c)) for c in ("start", "end"))) for p in batch.column("spans")]
+        start, end = zip(*runs)
+        lists = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("alt"), pa.array(start, lists),
+                                          pa.array(end, lists)], ["doc", "alt", "start", "end"])
+
+
 KINDS = "route bigint, body binary, doc bigint, loc bigint, size bigint, known boolean"
 
 
@@ -187,17 +197,17 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     pieces = held.mapInArrow(lambda b: _segment_rows(b, length), KINDS)
     dealt = pieces.repartition("route").sortWithinPartitions("route")
     found = dealt.mapInArrow(lambda b: _sorted_shards(b, length), "doc bigint, alt bigint, start bigint, end bigint")
-    again = stored(found.groupBy("doc", "alt").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
-    changed = join_measured(single, again, ["doc", "alt"], "inner", F.size("spans") * 32 + 56)
-    changed = changed.select("doc", "alt", "text", "spans.start", "spans.end")
+    again = found.groupBy("doc", "alt").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    again = stored(again.mapInArrow(_merged_spans, "doc bigint, alt bigint, start array<bigint>, end array<bigint>"))
+    changed = join_measured(single, again, ["doc", "alt"], "inner", F.size("start") * 16 + 72)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for body, start, end in zip(*(batch.column(c) for c in ("text", "start", "end"))):
                 body = body.as_py().encode()
-                a, b = merged(np.asarray(start.values), np.asarray(end.values))
-                kept = b"".join([body[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(body)])])
+                a, b = start.as_py(), end.as_py()
+                kept = b"".join([body[x:y] for x, y in zip([0, *b], [*a, len(body)])])
                 out.append((len(body) - len(kept), len(a), hashlib.sha256(kept).hexdigest(), kept))
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays(
