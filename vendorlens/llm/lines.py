@@ -36,7 +36,11 @@ from vendorlens.llm.texts import LAST, combined, documents, met
 
 MIN_CHARS = 20
 EDITS = 2
+# Lines that one task compares under one key, rows that it settles together,
+# and pairs that it looks at together.
 BLOCK = 2048
+GROUP_ROWS = 8192
+PAIRS = 1 << 18
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -137,52 +141,72 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(run["key"][out]), pa.array(run["line"][out])], ["key", "line"])
 
 
-def later_near(lines: list[str], order: list, edits: int) -> np.ndarray:
-    """True for every line with an earlier one within ``edits``. All lines not
-    yet settled are compared with the earliest, then with the second, and so
-    on; lines of one group are mostly near its earliest."""
-    rank = sorted(range(len(lines)), key=lambda i: order[i])
-    near = np.zeros(len(lines), bool)
-    size = np.fromiter(map(len, lines), np.int64, len(lines))
-    open_ = np.array(rank[1:], np.int64)
-    for k in range(len(rank) - 1):
-        if not len(open_):
-            break
-        first = rank[k]
-        if open_[0] == first:
-            open_ = open_[1:]
-        fit = open_[np.abs(size[open_] - size[first]) <= edits]
-        hit = fit[within([lines[i] for i in fit], [lines[first]] * len(fit), edits)]
-        near[hit] = True
-        if len(hit):
-            open_ = open_[~near[open_]]
-    return near
+def _too_different(counts: np.ndarray, a: np.ndarray, b: np.ndarray, edits: int) -> np.ndarray:
+    """True where the letters of two lines alone show more than ``edits``."""
+    out = np.empty(len(a), bool)
+    for i in range(0, len(a), 1 << 16):
+        gap = counts[a[i:i + (1 << 16)]] - counts[b[i:i + (1 << 16)]]
+        more, fewer = np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1)
+        out[i:i + (1 << 16)] = np.maximum(more, fewer) > edits
+    return out
+
+
+def later_near(lines: list[str], group: np.ndarray, edits: int) -> np.ndarray:
+    """True for every line with an earlier one of its group within ``edits``.
+    Lines come by group, in order. All lines not yet settled are compared with
+    the first of their group, then with the next two, the next four and so on:
+    lines of one group are mostly near its first ones."""
+    n = len(lines)
+    near = np.zeros(n, bool)
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    start = starts[np.searchsorted(starts, np.arange(n), "right") - 1]
+    size = np.fromiter(map(len, lines), np.int64, n)
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+    counts = np.bincount(np.repeat(np.arange(n) * 32, size) + codes % 32, minlength=32 * n).reshape(n, 32).astype(np.int32)
+    low, high = 0, 1
+    while True:
+        waiting = np.flatnonzero(~near & (np.arange(n) - start > low))
+        if not len(waiting):
+            return near
+        for i in range(0, len(waiting), max(1, PAIRS // (high - low))):  # bounded, however large the groups
+            part = waiting[i:i + max(1, PAIRS // (high - low))]
+            many = np.minimum(part - start[part], high) - low
+            a = np.repeat(part, many)
+            b = np.arange(len(a)) - np.repeat(np.cumsum(many) - many, many) + start[a] + low
+            fit = np.abs(size[a] - size[b]) <= edits
+            a, b = a[fit], b[fit]
+            fit = ~_too_different(counts, a, b, edits)
+            a, b = a[fit], b[fit]
+            near[a[within([lines[x] for x in a], [lines[x] for x in b], edits)]] = True
+        low, high = high, 2 * high + 1
 
 
 def _verified(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
     """Places of first occurrences that have an earlier near line. Rows come
-    sorted by (key, sub)."""
-    group, rows = None, []
+    sorted by (key, sub, doc, loc); groups are settled many at a time."""
+    held: list[pa.RecordBatch] = []
 
-    def settle() -> list[tuple]:
-        near = later_near([r["body"] for r in rows], [(r["doc"], r["loc"]) for r in rows], edits)
-        return [(rows[i]["doc"], rows[i]["loc"]) for i in np.flatnonzero(near)]
+    def settle(table: pa.Table) -> pa.RecordBatch:
+        key, sub = table["key"].to_numpy(), table["sub"].to_numpy()
+        group = np.cumsum(np.append(False, (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])))
+        near = later_near(table["body"].to_pylist(), group, edits)
+        return pa.RecordBatch.from_arrays([pa.array(table[c].to_numpy()[near]) for c in ("doc", "loc")], ["doc", "loc"])
 
     for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            if (row["key"], row["sub"]) != group:
-                if len(rows) > 1:
-                    out += settle()
-                group, rows = (row["key"], row["sub"]), []
-            rows.append(row)
-        yield _places(out)
-    yield _places(settle() if len(rows) > 1 else [])
-
-
-def _places(rows: list[tuple]) -> pa.RecordBatch:
-    doc, loc = np.array(rows, np.int64).reshape(-1, 2).T
-    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(loc)], ["doc", "loc"])
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        if table.num_rows < GROUP_ROWS:
+            continue
+        key, sub = table["key"].to_numpy(), table["sub"].to_numpy()
+        last = np.flatnonzero((key != key[-1]) | (sub != sub[-1]))  # the last group may go on
+        cut_at = int(last[-1]) + 1 if len(last) else 0
+        if cut_at:
+            yield settle(table.slice(0, cut_at))
+            held = table.slice(cut_at).to_batches()
+    if held:
+        yield settle(pa.Table.from_batches(held))
 
 
 def removed_lines(rows: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS, block: int = BLOCK) -> DataFrame:
@@ -225,7 +249,7 @@ def removed_lines(rows: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDIT
         met_lines = met_lines.select("key", "line", F.explode(pairs).alias("sub"))
     grouped = join_measured(met_lines, texts, ["line"], "inner", F.octet_length("body") + 40)
     near = grouped.select("key", "sub", "doc", "loc", "body").repartition("key", "sub").sortWithinPartitions(
-        "key", "sub").mapInArrow(lambda b: _verified(b, edits), "doc bigint, loc bigint")
+        "key", "sub", "doc", "loc").mapInArrow(lambda b: _verified(b, edits), "doc bigint, loc bigint")
     near = near.groupBy("doc", F.col("loc").bitwiseAND(F.lit(0xFFFFFFFF)).alias("alt")).agg(
         F.collect_set(F.shiftright("loc", 32).cast("int")).alias("positions"))
     both = repeats.unionByName(near).groupBy("doc", "alt").agg(
