@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -34,6 +35,8 @@ END_ID = 1
 GROUP_DOCS = 4096
 # Distinct words whose ids a worker remembers.
 CACHE_WORDS = 400_000
+# Texts whose new words are encoded in one go, and words in one call.
+TEXTS, TOGETHER = 512, 500
 
 
 def default_tokenizer() -> str:
@@ -47,28 +50,51 @@ class WordIds(dict):
 
     This tokenizer lower-cases, drops white space and merges within runs of
     letters only, so a text's ids are those of its words in order. A word that
-    ends in a full stop or comma after a letter is two words."""
+    ends in a full stop or comma after a letter is two words. New words of
+    several texts are encoded together, and told apart by their offsets. When
+    full, the words of the time before last are forgotten."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.path, self.tokenizer = path, Tokenizer.from_file(path)
+        self.path, self.tokenizer, self.old = path, Tokenizer.from_file(path), {}
 
-    def __missing__(self, word: bytes) -> bytes:
+    def _encode(self, words: list[bytes]) -> None:
+        for i in range(0, len(words), TOGETHER):
+            part = [w.decode() for w in words[i:i + TOGETHER]]
+            starts = np.cumsum([0, *[len(w) + 1 for w in part[:-1]]])
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(found.ids, "<u4").tobytes()
+            cuts = np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), starts)
+            cuts = [*(4 * cuts).tolist(), len(ids)]
+            for w, a, b in zip(words[i:i + TOGETHER], cuts, cuts[1:]):
+                self[w] = ids[a:b]
+
+    def of_texts(self, texts: list[str]) -> list[bytes]:
         if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
             self.clear()
-        if len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122:
-            ids = self[word[:-1]] + self[word[-1:]]
-        else:
-            found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            ids = np.array(found, "<u4").tobytes()
-        self[word] = ids
-        return ids
-
-    def of_text(self, text: str) -> bytes:
-        if "<|" in text:  # may hold a special token, which only exact case makes one
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.encode().lower().split()))
+        # a text that may hold a special token, which only exact case makes one, is encoded as it is
+        split = [None if "<|" in t else t.encode().lower().split() for t in texts]
+        here = {w: self.get(w) for w in set(chain.from_iterable(filter(None, split)))}  # small, so quickly found in
+        stems, tails, old = {}, [], self.old
+        new = [w for w, ids in here.items() if ids is None]
+        for w in new:
+            if w in old:
+                self[w] = old[w]
+            elif len(w) > 1 and w[-1] in b".," and w.decode()[-2].isalpha():
+                tails.append(w)
+                stems[w[:-1]] = stems[w[-1:]] = None
+            else:
+                stems[w] = None
+        self._encode([w for w in stems if w not in self])
+        for w in tails:
+            self[w] = self[w[:-1]] + self[w[-1:]]
+        for w in new:
+            here[w] = self[w]
+        get = here.__getitem__
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if ws is None
+                else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
 
 
 _ids: WordIds | None = None
@@ -188,9 +214,11 @@ def measured(docs: DataFrame, doc_id: str, text: str, path: str, length: int, en
         cache = word_ids(path)
         for batch in batches:
             rows = []
-            for body in batch.column("text"):
-                ids = cache.of_text(body.as_py() or "") + end
-                rows.append((len(ids) // 4, *pieces_of(ids, length)))
+            for i in range(0, batch.num_rows, TEXTS):
+                texts = [t or "" for t in batch.column("text").slice(i, TEXTS).to_pylist()]
+                for ids in cache.of_texts(texts):
+                    ids += end
+                    rows.append((len(ids) // 4, *pieces_of(ids, length)))
             tokens, full, rest, cuts = zip(*rows) if rows else ((), (), (), ())
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
