@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -34,9 +33,9 @@ END_ID = 1
 # Documents in a group on average: what one packing task holds in memory.
 GROUP_DOCS = 4096
 # Distinct words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 # Texts whose new words are encoded in one go, and words in one call.
-TEXTS, TOGETHER = 512, 500
+TEXTS, TOGETHER = 256, 500
 
 
 def default_tokenizer() -> str:
@@ -76,9 +75,9 @@ class WordIds(dict):
             self.clear()
         # a text that may hold a special token, which only exact case makes one, is encoded as it is
         split = [None if "<|" in t else t.encode().lower().split() for t in texts]
-        here = {w: self.get(w) for w in set(chain.from_iterable(filter(None, split)))}  # small, so quickly found in
+        found = [None if ws is None else list(map(self.get, ws)) for ws in split]
+        new = {w for ws, ids in zip(split, found) if ids and None in ids for w, x in zip(ws, ids) if x is None}
         stems, tails, old = {}, [], self.old
-        new = [w for w, ids in here.items() if ids is None]
         for w in new:
             if w in old:
                 self[w] = old[w]
@@ -90,11 +89,13 @@ class WordIds(dict):
         self._encode([w for w in stems if w not in self])
         for w in tails:
             self[w] = self[w[:-1]] + self[w[-1:]]
-        for w in new:
-            here[w] = self[w]
-        get = here.__getitem__
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if ws is None
-                else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
+        out = []
+        for text, ws, ids in zip(texts, split, found):
+            if ids is None:
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                out.append(b"".join([self[w] if x is None else x for w, x in zip(ws, ids)] if None in ids else ids))
+        return out
 
 
 _ids: WordIds | None = None
