@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from math import ceil
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +82,7 @@ class WordIds(dict):
         for w in new:
             if w in old:
                 self[w] = old[w]
-            elif len(w) > 1 and w[-1] in b".," and w.decode()[-2].isalpha():
+            elif len(w) > 1 and w[-1] in b".," and normalize("NFC", w.decode()[-2]).lower()[-1].isalpha():
                 tails.append(w)
                 stems[w[:-1]] = stems[w[-1:]] = None
             else:
