@@ -35,7 +35,7 @@ PATTERNS = {
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", shuffle_partitions=16)
+    spark = build_session("local[8]", shuffle_partitions=16, driver_memory="8g")
     print(f"# Executed plans ({sf_dir}, local[8], AQE final plans)\n")
     print("Generated by `scripts/plan_report.py`. Counts are of operators in the final")
     print("physical plan; windows appear only over bounded row sets (see README).\n")

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 
 from vendorlens.operators import clean as C
 
@@ -51,12 +52,30 @@ def test_drop_pii_ignores_missing(spark):
     assert C.drop_pii(df).columns == ["id"]
 
 
-def test_parse_timestamps_bad_rows_null(spark):
-    df = spark.createDataFrame([("2017-01-31 22:56:00",), ("not a date",)], "order_date_dateorders string")
-    out = C.parse_timestamps(df, columns=("order_date_dateorders",))
-    assert dict(out.dtypes)["order_date_dateorders"] == "timestamp_ntz"
-    vals = [r[0] for r in out.collect()]
-    assert vals[0] == dt.datetime(2017, 1, 31, 22, 56) and vals[1] is None
+def test_parse_timestamps_formats(spark):
+    df = spark.createDataFrame([("2017-01-31 22:56:00",), ("1/31/2017 22:56",), ("12/1/2017 0:05:09",), (None,)], "d string")
+    out = C.parse_timestamps(df, columns=("d",))
+    assert dict(out.dtypes)["d"] == "timestamp_ntz"
+    assert [r[0] for r in out.collect()] == [dt.datetime(2017, 1, 31, 22, 56), dt.datetime(2017, 1, 31, 22, 56),
+                                             dt.datetime(2017, 12, 1, 0, 5, 9), None]
+
+
+def test_parse_timestamps_bad_text_raises_or_is_counted(spark):
+    df = spark.createDataFrame([("2017-01-31 22:56:00",), ("not a date",), (None,)], "d string")
+    with pytest.raises(Exception, match="not a timestamp: not a date"):
+        C.parse_timestamps(df, columns=("d",)).collect()
+    assert [r[0] for r in C.parse_timestamps(df, columns=("d",), on_error="null").collect()] == [
+        dt.datetime(2017, 1, 31, 22, 56), None, None]
+    assert C.unparsed_timestamps(df, columns=("d",)).first()[0] == 1
+
+
+def test_text_dates_keep_their_rows(spark):
+    from vendorlens.operators import features as FE
+
+    df = spark.createDataFrame([("1/2/2018 9:00", "1/5/2018 10:00"), ("2018-01-02 09:00:00", "2018-01-05 10:00:00")],
+                               "order_date_dateorders string, shipping_date_dateorders string")
+    out = C.filter_lead_time(FE.lead_time_days(C.parse_timestamps(df)))
+    assert [r.lead_time_days for r in out.collect()] == [3, 3]
 
 
 def test_filter_lead_time_inclusive(spark):

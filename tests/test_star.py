@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from vendorlens.operators import star as ST
 from vendorlens.operators import views as V
 
@@ -65,3 +67,13 @@ def test_number_rows_matches_row_number(spark):
     got = number_rows(df, ["a", "b"], "rid")
     assert sorted(map(tuple, got.select("rid", "a", "b", "c").collect())) == \
         sorted(map(tuple, want.select("rid", "a", "b", "c").collect()))
+
+
+def test_yoy_negative_base(spark):
+    fact = spark.createDataFrame([(1, dt.date(2016, 1, 1), -100), (1, dt.date(2017, 1, 1), 150)],
+                                 "vendor_id long, order_date date, spend_per_order int").withColumn(
+        "spend_per_order", F.col("spend_per_order").cast("decimal(12,2)"))
+    dv = spark.createDataFrame([(1, "v")], "vendor_id long, vendor_name string")
+    dd = spark.createDataFrame([(dt.date(2016, 1, 1), 2016), (dt.date(2017, 1, 1), 2017)], "date_id date, year int")
+    out = {r["year"]: r for r in V.vw_yoy_spend(fact, dv, dd).collect()}
+    assert out[2017]["yoy_spend_change"] == 250 and out[2017]["yoy_growth_pct"] == -250.0

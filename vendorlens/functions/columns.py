@@ -134,14 +134,14 @@ def round_float(x, digits: int) -> Column:
 
 
 def round_ratio(num_sql: str, den_sql: str, digits: int) -> Column:
-    """Exact half-away-from-zero rounding of num/den for integers (den > 0),
-    as a double: sign(num) * ((2|num| 10^d + den) div 2 den) / 10^d, in
+    """Exact half-away-from-zero rounding of num/den for integers, as a
+    double: sign(num den) * ((2 |num| 10^d + |den|) div 2 |den|) / 10^d, in
     decimal(38,0) arithmetic. This is how an exact decimal AVG of integers
     rounds; a double mean would round 2.675 down. Null when den is 0."""
     p = 10 ** digits
     n = f"cast(({num_sql}) as decimal(38,0))"
     d = f"cast(({den_sql}) as decimal(38,0))"
     return F.expr(
-        f"case when ({den_sql}) > 0 then signum({n}) * "
-        f"((2 * abs({n}) * {p} + {d}) div (2 * {d})) / {float(p)} end"
+        f"case when ({den_sql}) <> 0 then signum({n}) * signum({d}) * "
+        f"((2 * abs({n}) * {p} + abs({d})) div (2 * abs({d}))) / {float(p)} end"
     )

@@ -136,26 +136,49 @@ def drop_pii(df: DataFrame, columns: list[str] = PII_COLUMNS) -> DataFrame:
     return df.drop(*[c for c in columns if c in df.columns])
 
 
-def parse_timestamps(df: DataFrame, columns=("order_date_dateorders", "shipping_date_dateorders"), fmt: str | None = None) -> DataFrame:
-    """String (or timestamp) -> timestamp without time zone. Unparseable
-    strings become null instead of failing the job."""
+# Text dates are read by the first of these formats that fits; "iso" is Spark's
+# own cast. Months and days may have one digit.
+TIMESTAMP_FORMATS = ("iso", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy")
+
+
+def parse_timestamps(df: DataFrame, columns=("order_date_dateorders", "shipping_date_dateorders"),
+                     fmt: str | list[str] | tuple[str, ...] = TIMESTAMP_FORMATS, on_error: str = "raise") -> DataFrame:
+    """String (or timestamp) -> timestamp without time zone. A string that no
+    format fits fails the job; ``on_error="null"`` makes it null instead, to
+    be counted (``unparsed_timestamps``) before rows with nulls go."""
+    if on_error not in ("raise", "null"):
+        raise ValueError(f"on_error is 'raise' or 'null', not {on_error!r}")
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in df.columns:
-        if c in columns:
-            t = types[c]
-            if isinstance(t, T.StringType):
-                e = F.try_to_timestamp(F.col(c), F.lit(fmt)) if fmt else F.expr(f"try_cast(`{c}` as timestamp_ntz)")
-                out.append(e.cast("timestamp_ntz").alias(c))
-            elif isinstance(t, T.TimestampType):
-                out.append(F.col(c).cast("timestamp_ntz").alias(c))
-            else:
-                out.append(F.col(c))
+        col = F.col(f"`{c}`")
+        if c in columns and isinstance(types[c], T.StringType):
+            e = _parsed(col, fmt)
+            if on_error == "raise":
+                e = F.when(col.isNull() | e.isNotNull(), e).otherwise(
+                    F.raise_error(F.concat(F.lit(f"{c}: not a timestamp: "), col)).cast("timestamp_ntz"))
+            out.append(e.alias(c))
+        elif c in columns and isinstance(types[c], T.TimestampType):
+            out.append(col.cast("timestamp_ntz").alias(c))
         else:
-            out.append(F.col(f"`{c}`"))
+            out.append(col)
     return df.select(*out)
 
 
+def _parsed(col, fmt):
+    formats = [fmt] if isinstance(fmt, str) else list(fmt)
+    return F.coalesce(*[
+        col.try_cast("timestamp_ntz") if f == "iso" else F.try_to_timestamp(col, F.lit(f)).cast("timestamp_ntz")
+        for f in formats])
+
+
+def unparsed_timestamps(df: DataFrame, columns=("order_date_dateorders", "shipping_date_dateorders"),
+                        fmt: str | list[str] | tuple[str, ...] = TIMESTAMP_FORMATS) -> DataFrame:
+    """One row: for each text column, the strings that no format fits."""
+    return df.agg(*[F.count_if(F.col(f"`{c}`").isNotNull() & _parsed(F.col(f"`{c}`").cast("string"), fmt).isNull())
+                    .alias(c) for c in columns])
+
+
 def filter_lead_time(df: DataFrame, col: str = "lead_time_days", lo: int = LEAD_TIME_MIN, hi: int = LEAD_TIME_MAX) -> DataFrame:
     """Keep lo <= lead_time_days <= hi, inclusive; null fails."""
     return df.where(F.col(col).between(lo, hi))

@@ -88,11 +88,11 @@ def dim_date(clean: DataFrame) -> DataFrame:
 def dedupe_items(clean: DataFrame, key: str = "order_item_id", order=FACT_DEDUP_ORDER) -> DataFrame:
     """Keep the first row of each key under a total order.
 
-    A min over a struct (order columns first, then the remaining payload)
-    is a hash aggregate with a map-side partial step, so even a key that
-    repeats across a third of the table reduces to one row per task before
-    the shuffle - unlike a row_number window, which would sort that key's
-    rows in one task."""
+    A min over a struct (order columns first, then the remaining payload) has
+    a map-side partial step, so a key that repeats across a third of the table
+    reduces to one row per task before the shuffle - unlike a row_number
+    window, which would sort that key's rows in one task. The buffer holds
+    strings, so Spark aggregates by sorting each task's rows."""
     rest = sorted(c for c in clean.columns if c != key and c not in order)
     cols = [c for c in order if c in clean.columns] + rest
     first = clean.groupBy(key).agg(F.min(F.struct(*cols)).alias("r"))
@@ -134,9 +134,9 @@ def fact_orders(clean: DataFrame, regions: DataFrame, with_shipping_mode: bool =
 
 def fact_add_shipping_mode(fact: DataFrame, clean: DataFrame) -> DataFrame:
     """Add shipping_mode by joining back on item id (left join, so fact rows
-    without a match keep null). A repeated item id contributes one value
-    (the smallest), so the join cannot multiply fact rows."""
-    modes = clean.groupBy("order_item_id").agg(F.min("shipping_mode").alias("shipping_mode"))
+    without a match keep null). A repeated item id contributes the mode of the
+    row that the fact keeps, so the join cannot multiply fact rows."""
+    modes = dedupe_items(clean).select("order_item_id", "shipping_mode")
     base = fact.drop("shipping_mode") if "shipping_mode" in fact.columns else fact
     return base.join(modes, "order_item_id", "left").select(*base.columns, "shipping_mode")
 
@@ -160,13 +160,15 @@ def pk_check(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def fk_check(fact: DataFrame, refs: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Per declared foreign key of the fact: rows whose key has no match."""
+    """Per declared foreign key of the fact: rows whose key has no match. The
+    fact is reduced to one counted row per key first, so no fact row is
+    shuffled by a key that many rows hold."""
     parts = []
     for fk, (dim, pk) in refs.items():
         keys = dim.select(F.col(pk).alias(fk)).distinct()
-        orphans = fact.select(fk).join(keys, fk, "left_anti")
+        orphans = fact.groupBy(fk).agg(F.count(F.lit(1)).alias("n")).join(keys, fk, "left_anti")
         parts.append(
-            orphans.agg(F.count(F.lit(1)).cast("long").alias("orphan_rows")).select(
+            orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("orphan_rows")).select(
                 F.lit(fk).alias("fk_column"), "orphan_rows"
             )
         )

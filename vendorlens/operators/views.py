@@ -8,7 +8,7 @@ dimension key this equals joining first and grouping after.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import concentration_band, mean_of, pop_std, round_float, round_ratio, safe_ratio
@@ -265,15 +265,16 @@ def vw_yoy_spend(fact: DataFrame, dim_vendor: DataFrame, dim_date: DataFrame) ->
     """Yearly spend per vendor against the previous calendar year (null when
     the vendor had no spend that year); growth guarded against zero.
 
-    The year table has one row per vendor and year, so a self join on
-    (vendor, year - 1) is a join of two small, vendor-partitioned sides;
-    a hot vendor adds only a handful of year rows."""
+    One pass over the fact: the year table has one row per vendor and year,
+    so a window over a vendor's years holds a handful of rows, however many
+    items the vendor has."""
     ys = yearly_vendor_spend(fact, dim_vendor, dim_date)
-    prev = ys.select("vendor_id", (F.col("year") + 1).alias("year"), F.col("annual_spend").alias("prev"))
-    j = ys.join(prev, ["vendor_id", "year"], "left")
+    years = Window.partitionBy("vendor_id").orderBy("year")
+    before = F.when(F.lag("year").over(years) == F.col("year") - 1, F.lag("annual_spend").over(years))
+    j = ys.withColumn("prev", before)
     change = F.col("annual_spend") - F.col("prev")
     # exact on cents: (cur - prev) * 100 / prev, rounded half away from zero
-    growth = round_ratio("(annual_spend - prev) * 10000", "nullif(prev, 0) * 100", 2)
+    growth = round_ratio("(annual_spend - prev) * 10000", "prev * 100", 2)
     return j.select(
         "vendor_id", "vendor_name", "year",
         F.round("annual_spend", 2).alias("current_year_spend"),

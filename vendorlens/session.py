@@ -25,17 +25,20 @@ BASE_CONF = {
 def build_session(
     master: str | None = None,
     app: str = "vendorlens",
-    shuffle_partitions: int = 8,
-    driver_memory: str = "8g",
+    shuffle_partitions: int | None = None,
+    driver_memory: str | None = None,
     extra: dict | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the library's defaults."""
+    """Create (or reuse) a session with the library's defaults. The number of
+    shuffle partitions and the driver's memory are the site's unless given."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = driver_memory
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory is not None:
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
