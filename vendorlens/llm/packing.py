@@ -33,8 +33,9 @@ LENGTH = 2048
 END_ID = 1
 # Documents in a group on average: what one packing task holds in memory.
 GROUP_DOCS = 4096
-# Distinct words whose ids a worker remembers.
-CACHE_WORDS = 1_000_000
+# Distinct words whose ids a worker remembers, twice over; it keeps them for its
+# next task, so they count against the memory of whatever that is.
+CACHE_WORDS = 150_000
 # Texts whose new words are encoded in one go, and words in one call.
 TEXTS, TOGETHER = 256, 500
 
