@@ -105,6 +105,12 @@ def crowded_keys(fps: DataFrame, max_bits: int, block: int) -> DataFrame | None:
     return stored(keys.groupBy("key").agg(F.ceil((F.sum("count") + block // 2) / block).cast("int").alias("parts")))
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which signed fingerprints differ (a count of a signed number's
+    bits would be that of its absolute value)."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def forest(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among distinct fingerprints, breadth
     first over those not reached yet."""
@@ -113,7 +119,7 @@ def forest(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
         queue, waiting = [waiting[0]], waiting[1:]
         while queue and len(waiting):
             one = queue.pop()
-            near = np.bitwise_count(waiting ^ one) <= max_bits
+            near = differing(waiting, one) <= max_bits
             if near.any():
                 reached = waiting[near]
                 edges += [(int(one), x) for x in reached.tolist()]
@@ -141,7 +147,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
         for run in whole_runs(batches, ["key", "sub"]):
             fp = run["fp"]
             same = run.same_as_last()
-            near = np.bitwise_count(fp[1:] ^ fp[:-1]) <= max_bits
+            near = differing(fp[1:], fp[:-1]) <= max_bits
             chained = same[1:] & near
             a, b = [fp[:-1][chained]], [fp[1:][chained]]
             # groups of three or more that neighbours in order don't link throughout
