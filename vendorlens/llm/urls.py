@@ -26,11 +26,11 @@ RULES = [
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 ]
-STRICT = ["bestiality", "camgirls", "casino", "escorts", "gambling", "hardcore", "hentai", "milf", "nsfw",
+STRICT = ["adult-x", "bestiality", "camgirls", "casino", "escorts", "gambling", "hardcore", "hentai", "milf", "nsfw",
           "porn", "porno", "pornhub", "spam", "viagra", "xvideos", "xxx"]
 SOFT = ["ads", "adult", "bet", "bets", "bonus", "cheap", "cialis", "dating", "drugs", "free", "girls", "hot",
         "jackpot", "loan", "loans", "lottery", "meds", "naked", "nude", "pharmacy", "pills", "poker", "replica",
-        "sex", "sexy", "slots", "track", "tracker", "win", "x"]
+        "sex", "sexy", "slots", "track", "tracker", "win"]
 # A strict term alone reaches the limit; soft terms do from this many.
 SOFT_LIMIT = 2
 
