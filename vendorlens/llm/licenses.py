@@ -129,7 +129,7 @@ GATE = (r"licen[sc]e|licensed|copyright|rights reserved|reserved|permission|redi
         r"|eclipse|cddl|distribution|eupl|european union public|osl|afl|academic free|artistic|boost|open font|python"
         r"|wtfpl|beerware|microsoft|cecill|public domain|cc0|cc by|creative commons|share alike|non commercial|no deriv"
         r"|proprietary|unauthorized|documentation|zope|educational|spdx|asl|lesser general|library general|php|clause"
-        r"|development and|unlicense|zlib")
+        r"|development and|unlicense|zlib|use this file|under the mit")
 
 
 def rules() -> list[tuple[int, str, str, str, float]]:
