@@ -60,10 +60,14 @@ def covered(starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.append(0, cuts)], starts[np.append(cuts, len(starts)) - 1] + window
 
 
-def _as_runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """(doc, alt, start, end): window starts as the few runs they cover."""
+RUNS = "doc bigint, alt bigint, start array<bigint>, end array<bigint>"
+
+
+def _as_runs(batches: Iterator[pa.RecordBatch], width: int, before: int = 0) -> Iterator[pa.RecordBatch]:
+    """(doc, alt, start, end): the few runs that the ``width`` places from
+    ``before`` each position on cover."""
     for batch in batches:
-        start, end = zip(*[covered(np.asarray(p.values), window) for p in batch.column("positions")])
+        start, end = zip(*[covered(np.asarray(p.values) - before, width) for p in batch.column("positions")])
         lists = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("alt"), pa.array(start, lists),
                                           pa.array(end, lists)], ["doc", "alt", "start", "end"])
@@ -77,7 +81,7 @@ def _place(doc: int, alt: int, positions: np.ndarray) -> dict[str, np.ndarray]:
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
           period: int = PERIOD, cover: tuple = COVER) -> DataFrame:
     """(doc, alt, n_words, n_removed, kept_sha256, kept) for every row; kept
-    is the remaining text, or null where it is the whole one or empty."""
+    is the remaining text, or null where nothing is removed."""
     rows = documents(docs, doc_id, text)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,21 +106,18 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
 
     kinds = "doc bigint, loc bigint, first boolean, known boolean"
     shared = single.mapInArrow(lambda b: combined(b, anchor_rows, ["route"]), f"route bigint, {kinds}")
-    shared = stored(met(shared, ["route"], later_only=False))
-    wide = F.size("positions") * 4 + 56
+    # starts of all windows with a shared anchor at a shift below the period
+    shared = stored(met(shared, ["route"], later_only=False).mapInArrow(
+        lambda b: _as_runs(b, period, period - 1), RUNS))
+    wide = F.size("start") * 16 + 72
     held = join_measured(single, shared, ["doc", "alt"], "inner", wide)
 
     def window_rows(batch: pa.RecordBatch):
         digest = xxhash.xxh3_128_digest
-        for doc, alt, body, positions in zip(*(batch.column(c) for c in ("doc", "alt", "text", "positions"))):
+        for doc, alt, body, start, end in zip(*(batch.column(c) for c in ("doc", "alt", "text", "start", "end"))):
             words = body.as_py().encode().split()
-            at = np.asarray(positions.values)
-            last = len(words) - window
-            # every window with one of the shared anchors at a shift below the period
-            near = np.zeros(len(words) + 1, np.int64)
-            np.add.at(near, np.maximum(at - (period - 1), 0), 1)
-            np.add.at(near, at + 1, -1)
-            places = np.flatnonzero(np.cumsum(near)[:last + 1] > 0)
+            stop = len(words) - window + 1
+            places = np.concatenate([np.arange(max(a, 0), min(b, stop)) for a, b in zip(start.as_py(), end.as_py())])
             if len(places):
                 text, (starts, ends) = b" ".join(words), spans(words)
                 hashes = b"".join([digest(text[a:b]) for a, b in zip(
@@ -126,37 +127,28 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
 
     again = held.mapInArrow(lambda b: combined(b, window_rows, ["route", "low"]), f"route bigint, low bigint, {kinds}")
     again = stored(met(again, ["route", "low"], later_only=True).mapInArrow(
-        lambda b: _as_runs(b, window), "doc bigint, alt bigint, start array<bigint>, end array<bigint>"))
-    changed = join_measured(single, again, ["doc", "alt"], "inner", F.size("start") * 16 + 72)
+        lambda b: _as_runs(b, window), RUNS))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone, texts = [], []
-            for body, start, end in zip(*(batch.column(c) for c in ("text", "start", "end"))):
-                words = body.as_py().encode().split()
+            out = []
+            for body, start, end, copy in zip(*(batch.column(c).to_pylist() for c in ("text", "start", "end", "copy"))):
+                words = body.encode().split()
                 kept, at = [], 0
-                for a, b in zip(start.as_py(), end.as_py()):
+                for a, b in zip(start or (), end or ()):
                     kept += words[at:a]
                     at = b
-                kept += words[at:]
-                gone.append(len(words) - len(kept))
-                texts.append(b" ".join(kept))
+                kept = b"" if copy else b" ".join(kept + words[at:])
+                gone = len(words) if copy else sum(end or ()) - sum(start or ())
+                out.append((len(words), gone, hashlib.sha256(kept).hexdigest(), kept.decode() if gone else None))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("alt"), pa.array(gone, pa.int64()),
-                 pa.array([hashlib.sha256(t).hexdigest() for t in texts]), pa.array([t.decode() for t in texts])],
-                ["doc", "alt", "cut_words", "cut_sha", "kept"])
-
-    cuts = changed.mapInArrow(cut, "doc bigint, alt bigint, cut_words bigint, cut_sha string, kept string")
-    # rows of one document that repeat have one answer
-    cuts = stored(cuts.dropDuplicates(["doc", "alt"]))
-    out = join_measured(table, cuts, ["doc", "alt"], "left", F.length("kept") + 120)
+                [batch.column("doc"), batch.column("alt"), *[pa.array(c, k) for c, k in zip(zip(*out), kinds)]],
+                ["doc", "alt", "n_words", "n_removed", "kept_sha256", "kept"])
+
+    out = join_measured(rows, again, ["doc", "alt"], "left", wide)
     out = join_measured(out, later.withColumn("copy", F.lit(True)), ["doc", "alt"], "left", 32)
-    whole = F.coalesce("copy", F.lit(False))
-    return out.select(
-        "doc", "alt", "n_words",
-        F.when(whole, F.col("n_words")).otherwise(F.coalesce("cut_words", F.lit(0))).alias("n_removed"),
-        F.when(whole, F.lit(EMPTY_SHA256)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"),
-        F.when(whole, F.lit("")).otherwise(F.col("kept")).alias("kept"))
+    return out.mapInArrow(cut, "doc bigint, alt bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
