@@ -199,33 +199,31 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     found = dealt.mapInArrow(lambda b: _sorted_shards(b, length), "doc bigint, alt bigint, start bigint, end bigint")
     again = found.groupBy("doc", "alt").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     again = stored(again.mapInArrow(_merged_spans, "doc bigint, alt bigint, start array<bigint>, end array<bigint>"))
-    changed = join_measured(single, again, ["doc", "alt"], "inner", F.size("start") * 16 + 72)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for body, start, end in zip(*(batch.column(c) for c in ("text", "start", "end"))):
-                body = body.as_py().encode()
-                a, b = start.as_py(), end.as_py()
-                kept = b"".join([body[x:y] for x, y in zip([0, *b], [*a, len(body)])])
-                out.append((len(body) - len(kept), len(a), hashlib.sha256(kept).hexdigest(), kept))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.binary())
+            for text, start, end, copy in zip(*(batch.column(c) for c in ("text", "start", "end", "copy"))):
+                body, a, b = text.as_buffer(), start.as_py(), end.as_py()
+                n = body.size
+                if copy.as_py():
+                    out.append((n, n, 1, EMPTY_SHA256, None))
+                elif a is None:
+                    out.append((n, 0, 0, hashlib.sha256(body).hexdigest(), None))
+                else:
+                    view = memoryview(body)
+                    kept = b"".join([view[x:y] for x, y in zip([0, *b], [*a, n])])
+                    out.append((n, n - len(kept), len(a), hashlib.sha256(kept).hexdigest(), kept or None))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("alt"), *[pa.array(c, k) for c, k in zip(zip(*out), kinds)]],
-                ["doc", "alt", "cut", "n", "cut_sha", "kept"])
+                [batch.column("doc"), *[pa.array(c, k) for c, k in zip(zip(*out), kinds)]],
+                ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    cuts = changed.mapInArrow(cut, "doc bigint, alt bigint, cut bigint, n bigint, cut_sha string, kept binary")
-    cuts = stored(cuts.dropDuplicates(["doc", "alt"]))
-    out = join_measured(table, cuts, ["doc", "alt"], "left", F.length("kept") + 120)
+    out = join_measured(rows, again, ["doc", "alt"], "left", F.size("start") * 16 + 72)
     whole = stored(member.select("doc", "alt", F.lit(True).alias("copy")).distinct())
     out = join_measured(out, whole, ["doc", "alt"], "left", 32)
-    copy = F.coalesce("copy", F.lit(False))
-    return out.select(
-        "doc", "n_bytes",
-        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("cut", F.lit(0))).alias("n_removed"),
-        F.when(copy, F.lit(1)).otherwise(F.coalesce("n", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copy, F.lit(EMPTY_SHA256)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"),
-        F.when(~copy, F.col("kept")).alias("kept"))
+    return out.mapInArrow(
+        cut, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
 
 
 def op1_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
