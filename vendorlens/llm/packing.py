@@ -17,6 +17,7 @@ token; doc_ids may be null or repeat, each row is packed; no rows give no rows.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from math import ceil
@@ -46,30 +47,55 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def letters_only(word: bytes) -> bool:
+    """Whether the tokenizer sees one run of letters in the word."""
+    return word.isalpha() or not word.isascii() and normalize("NFC", word.decode()).lower().isalpha()
+
+
 class WordIds(dict):
     """ids (little-endian bytes) of ASCII-lower-cased words, remembered.
 
     This tokenizer lower-cases, drops white space and merges within runs of
     letters only, so a text's ids are those of its words in order. A word that
     ends in a full stop or comma after a letter is two words. New words of
-    several texts are encoded together, and told apart by their offsets. When
-    full, the words of the time before last are forgotten."""
+    several texts are encoded together. Those of letters only are told apart by
+    the token that closes each, which spares the offsets; others by offsets.
+    When full, the words of the time before last are forgotten."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task on every core
         from tokenizers import Tokenizer
 
         self.path, self.tokenizer, self.old = path, Tokenizer.from_file(path), {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _keep(self, words: list[bytes], ids: list[int], cuts: np.ndarray) -> None:
+        ids, cuts = np.array(ids, "<u4").tobytes(), (4 * cuts).tolist()
+        for w, a, b in zip(words, cuts, cuts[1:]):
+            self[w] = ids[a:b]
 
     def _encode(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), TOGETHER):
-            part = [w.decode() for w in words[i:i + TOGETHER]]
-            starts = np.cumsum([0, *[len(w) + 1 for w in part[:-1]]])
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4").tobytes()
+        plain, mixed = [], []
+        for w in words:
+            (plain if letters_only(w) else mixed).append(w)
+        parts = [plain[i:i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(
+                [b" ".join(p).decode() for p in parts], add_special_tokens=False)):
+            ids = found.ids
+            cuts = np.append(0, np.flatnonzero(self.closing[ids]) + 1)
+            if len(cuts) == len(part) + 1:
+                self._keep(part, ids, cuts)
+            else:
+                mixed += part
+        for i in range(0, len(mixed), TOGETHER):
+            part = mixed[i:i + TOGETHER]
+            texts = [w.decode() for w in part]
+            starts = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             cuts = np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), starts)
-            cuts = [*(4 * cuts).tolist(), len(ids)]
-            for w, a, b in zip(words[i:i + TOGETHER], cuts, cuts[1:]):
-                self[w] = ids[a:b]
+            self._keep(part, found.ids, np.append(cuts, len(found.ids)))
 
     def of_texts(self, texts: list[str]) -> list[bytes]:
         if len(self) >= CACHE_WORDS:
