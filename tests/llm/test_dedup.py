@@ -76,6 +76,22 @@ def test_substring_dedup_repeated_rows_have_one_answer(make_docs):
     assert [r[1] for r in out] == [0, 0, 40, 40]
 
 
+def test_texts_without_ids_stay_apart_where_half_their_hash_is_equal(spark, make_docs):
+    word = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: F.concat(F.lit("n"), F.col("id"), F.lit("x"), i))
+    texts = spark.range(400_000).select(F.array_join(word, " ").alias("text"))
+    half = F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)).alias("half")
+    pairs = texts.select("text", half).groupBy("half").agg(F.sort_array(F.collect_list("text")).alias("t"))
+    alone, copied = pairs.where(F.size("t") == 2).first()["t"]
+    docs = [(5, copied), (None, alone), (None, copied)]
+    out = suffixes.dedup(make_docs(docs)).withColumn("doc", F.nullif("doc", F.lit(LAST)))
+    assert rows_of(out, "doc", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(
+        brute.repeated_bytes(docs), key=key)
+    out = substrings.dedup(make_docs(docs)).withColumn("doc", F.nullif("doc", F.lit(LAST)))
+    assert rows_of(out, "doc", "n_words", "n_removed", "kept_sha256") == sorted(brute.repeated_windows(docs), key=key)
+    left = sorted((r.text, r.n_removed_lines) for r in lines.dedup(make_docs(docs)).collect())
+    assert left == sorted([(copied, 0), (alone, 0), ("", 1)])
+
+
 def test_difference_cover_meets_every_shift():
     cover, period = set(substrings.COVER), substrings.PERIOD
     for i in range(period):

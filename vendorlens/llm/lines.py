@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from vendorlens.llm.common import join_measured, read, stored
 from vendorlens.llm.edits import within
 from vendorlens.llm.runs import whole_runs
-from vendorlens.llm.texts import LAST, combined, documents, met
+from vendorlens.llm.texts import LAST, PLACE, PLACE_KINDS, combined, documents, met, place, positions_of
 
 MIN_CHARS = 20
 EDITS = 2
@@ -101,8 +101,7 @@ def _occurrences(batch: pa.RecordBatch, min_chars: int) -> Iterator[dict]:
         if found:
             high, low = np.frombuffer(b"".join([digest(line) for _, line in found]), "<i8").reshape(-1, 2).T
             number = np.array([i for i, _ in found], np.int64)
-            yield {"doc": np.full(len(found), doc.as_py(), np.int64), "loc": number << 32 | alt.as_py(),
-                   "route": high, "low": low}
+            yield place(doc.as_py(), alt.as_py(), number) | {"route": high, "low": low}
 
 
 def _keyed(batches: Iterator[pa.RecordBatch], min_chars: int, edits: int) -> Iterator[pa.RecordBatch]:
@@ -183,14 +182,14 @@ def later_near(lines: list[str], group: np.ndarray, edits: int) -> np.ndarray:
 
 def _verified(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
     """Places of first occurrences that have an earlier near line. Rows come
-    sorted by (key, sub, doc, loc); groups are settled many at a time."""
+    sorted by (key, sub, doc, pos, alt); groups are settled many at a time."""
     held: list[pa.RecordBatch] = []
 
     def settle(table: pa.Table) -> pa.RecordBatch:
         key, sub = table["key"].to_numpy(), table["sub"].to_numpy()
         group = np.cumsum(np.append(False, (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])))
         near = later_near(table["body"].to_pylist(), group, edits)
-        return pa.RecordBatch.from_arrays([pa.array(table[c].to_numpy()[near]) for c in ("doc", "loc")], ["doc", "loc"])
+        return pa.RecordBatch.from_arrays([pa.array(table[c].to_numpy()[near]) for c in PLACE], list(PLACE))
 
     for batch in batches:
         if not batch.num_rows:
@@ -212,7 +211,7 @@ def _verified(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.Reco
 def removed_lines(rows: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS, block: int = BLOCK) -> DataFrame:
     """(doc, alt, positions): numbers of the lines to remove, for documents
     (doc, alt, text) that lose any."""
-    kinds = "route bigint, low bigint, doc bigint, loc bigint, first boolean, known boolean"
+    kinds = f"route bigint, low bigint, {PLACE_KINDS}, first boolean, known boolean"
     places = stored(rows.mapInArrow(lambda b: combined(
         b, lambda batch: _occurrences(batch, min_chars), ["route", "low"]), kinds))
     repeats = met(places, ["route", "low"], later_only=True)
@@ -223,18 +222,17 @@ def removed_lines(rows: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDIT
     wanted = stored(meetings.select("line").distinct())
     # a line's first place, and that document's line as its text
     first = places.where("first").withColumnRenamed("route", "line").groupBy("line", "low").agg(
-        F.min(F.struct("doc", "loc")).alias("place"))
-    first = join_measured(first, wanted, ["line"], "left_semi", 8).select("line", "low", "place.doc", "place.loc")
-    first = stored(first.withColumn("alt", F.col("loc").bitwiseAND(F.lit(0xFFFFFFFF))))
+        F.min(F.struct(*PLACE)).alias("place"))
+    first = join_measured(first, wanted, ["line"], "left_semi", 8).select("line", "low", "place.*")
+    first = stored(first)
     of_doc = stored(first.groupBy("doc", "alt").agg(
-        F.collect_list(F.struct("line", "loc")).alias("lines")))
+        F.collect_list(F.struct("line", "pos")).alias("lines")))
     texts = join_measured(rows, of_doc, ["doc", "alt"], "inner", F.size("lines") * 40 + 56).dropDuplicates(["doc", "alt"])
     texts = texts.withColumn("all", F.split("text", "\n"))
-    number = lambda x: F.shiftright(x["loc"], 32).cast("int")
-    body = lambda x: F.when(number(x) < F.size("all"), F.get("all", number(x)))
-    texts = texts.select("doc", F.explode(F.transform("lines", lambda x: F.struct(
-        x["line"].alias("line"), x["loc"].alias("loc"), F.trim(body(x), F.lit(WHITE)).alias("body")))).alias("l")).select(
-        "l.line", "doc", "l.loc", "l.body")
+    body = lambda x: F.when(x["pos"] < F.size("all"), F.get("all", x["pos"]))
+    texts = texts.select("doc", "alt", F.explode(F.transform("lines", lambda x: F.struct(
+        x["line"].alias("line"), x["pos"].alias("pos"), F.trim(body(x), F.lit(WHITE)).alias("body")))).alias("l")).select(
+        "l.line", "doc", "l.pos", "alt", "l.body")
     texts = stored(texts)
 
     many = stored(meetings.groupBy("key").count().where(F.col("count") > block).select(
@@ -247,11 +245,10 @@ def removed_lines(rows: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDIT
         pairs = F.transform(F.filter(F.sequence(F.lit(0), parts - 1), lambda j: (j != own) | (parts == 1)),
                             lambda j: F.least(own, j) * parts + F.greatest(own, j))
         met_lines = met_lines.select("key", "line", F.explode(pairs).alias("sub"))
-    grouped = join_measured(met_lines, texts, ["line"], "inner", F.octet_length("body") + 40)
-    near = grouped.select("key", "sub", "doc", "loc", "body").repartition("key", "sub").sortWithinPartitions(
-        "key", "sub", "doc", "loc").mapInArrow(lambda b: _verified(b, edits), "doc bigint, loc bigint")
-    near = near.groupBy("doc", F.col("loc").bitwiseAND(F.lit(0xFFFFFFFF)).alias("alt")).agg(
-        F.collect_set(F.shiftright("loc", 32).cast("int")).alias("positions"))
+    grouped = join_measured(met_lines, texts, ["line"], "inner", F.octet_length("body") + 48)
+    near = grouped.select("key", "sub", *PLACE, "body").repartition("key", "sub").sortWithinPartitions(
+        "key", "sub", *PLACE).mapInArrow(lambda b: _verified(b, edits), PLACE_KINDS)
+    near = positions_of(near)
     both = repeats.unionByName(near).groupBy("doc", "alt").agg(
         F.array_distinct(F.flatten(F.collect_list("positions"))).alias("positions"))
     return stored(both)

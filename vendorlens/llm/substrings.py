@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendorlens.llm.common import join_measured, read, stored
-from vendorlens.llm.texts import EMPTY_SHA256, LAST, combined, copies, documents, met
+from vendorlens.llm.texts import EMPTY_SHA256, LAST, PLACE_KINDS, combined, copies, documents, met, place
 
 WINDOW = 20
 PERIOD = 13
@@ -73,11 +73,6 @@ def _as_runs(batches: Iterator[pa.RecordBatch], width: int, before: int = 0) ->
                                           pa.array(end, lists)], ["doc", "alt", "start", "end"])
 
 
-def _place(doc: int, alt: int, positions: np.ndarray) -> dict[str, np.ndarray]:
-    positions = positions.astype(np.int64)
-    return {"doc": np.full(len(positions), doc, np.int64), "loc": positions << 32 | alt}
-
-
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
           period: int = PERIOD, cover: tuple = COVER) -> DataFrame:
     """(doc, alt, n_words, n_removed, kept_sha256, kept) for every row; kept
@@ -102,9 +97,9 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
             words = body.as_py().encode().split()
             if len(words) >= window:
                 places, hashes = anchors(words, window, period, cover)
-                yield _place(doc.as_py(), alt.as_py(), places) | {"route": np.array(hashes, np.uint64).view(np.int64)}
+                yield place(doc.as_py(), alt.as_py(), places) | {"route": np.array(hashes, np.uint64).view(np.int64)}
 
-    kinds = "doc bigint, loc bigint, first boolean, known boolean"
+    kinds = f"{PLACE_KINDS}, first boolean, known boolean"
     shared = single.mapInArrow(lambda b: combined(b, anchor_rows, ["route"]), f"route bigint, {kinds}")
     # starts of all windows with a shared anchor at a shift below the period
     shared = stored(met(shared, ["route"], later_only=False).mapInArrow(
@@ -123,7 +118,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
                 hashes = b"".join([digest(text[a:b]) for a, b in zip(
                     starts[places].tolist(), ends[places + window - 1].tolist())])
                 high, low = np.frombuffer(hashes, "<i8").reshape(-1, 2).T
-                yield _place(doc.as_py(), alt.as_py(), places) | {"route": high, "low": low}
+                yield place(doc.as_py(), alt.as_py(), places) | {"route": high, "low": low}
 
     again = held.mapInArrow(lambda b: combined(b, window_rows, ["route", "low"]), f"route bigint, low bigint, {kinds}")
     again = stored(met(again, ["route", "low"], later_only=True).mapInArrow(

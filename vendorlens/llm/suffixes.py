@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from vendorlens.llm.common import join_measured, read, stored
 from vendorlens.llm.induce import Suffixes
-from vendorlens.llm.texts import EMPTY_SHA256, LAST, combined, copies, documents, met
+from vendorlens.llm.texts import EMPTY_SHA256, LAST, PLACE_KINDS, combined, copies, documents, met, place
 
 LENGTH = 400
 GRAM = 32
@@ -92,7 +92,7 @@ def _merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                           pa.array(end, lists)], ["doc", "alt", "start", "end"])
 
 
-KINDS = "route bigint, body binary, doc bigint, loc bigint, size bigint, known boolean"
+KINDS = "route bigint, body binary, doc bigint, pos bigint, alt bigint, size bigint, known boolean"
 
 
 def _segment_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -104,11 +104,11 @@ def _segment_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
     def flush() -> pa.RecordBatch:
         rows = []
         for (h, body), places in found.items():
-            for i, (doc, loc) in enumerate(places):
-                route = h if not i else hash((doc, loc, h))
-                rows.append((route, b"" if i else body, doc, loc, len(body), len(places) > 1))
+            for i, (doc, pos, alt) in enumerate(places):
+                route = h if not i else hash((doc, pos, alt, h))
+                rows.append((route, b"" if i else body, doc, pos, alt, len(body), len(places) > 1))
         columns = zip(*rows)
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                           [k.split()[0] for k in KINDS.split(", ")])
 
@@ -120,8 +120,8 @@ def _segment_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
             for a, b, key in zip(first[mine].tolist(), last[mine].tolist(), h[mine].view(np.int64).tolist()):
                 piece = body[a:b + length]
                 places = found.setdefault((key, piece), [])
-                if (doc, a << 32 | alt) not in places[-1:]:  # a repeated row is handled as a copy
-                    places.append((doc, a << 32 | alt))
+                if (doc, a, alt) not in places[-1:]:  # a repeated row is handled as a copy
+                    places.append((doc, a, alt))
                 held += len(piece)
             if held > COMBINE_BYTES:
                 yield flush()
@@ -140,16 +140,15 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
         rows = list(known)
         strings = list(places)
         for body, at in zip(strings, Suffixes(strings, length).repeated() if strings else ()):
-            if len({p[:2] for p in places[body]}) > 1 or places[body][0][2]:
-                rows += [(doc, loc, 0, len(body)) for doc, loc, _ in places[body]]
+            if len({p[:3] for p in places[body]}) > 1 or places[body][0][3]:
+                rows += [(doc, alt, pos, pos + len(body)) for doc, pos, alt, _ in places[body]]
             elif len(at):
                 a, b = merged(at, at + length)
-                doc, loc, _ = places[body][0]
-                rows += [(doc, loc, x, y) for x, y in zip(a.tolist(), b.tolist())]
-        doc, loc, a, b = np.array(rows, np.int64).reshape(-1, 4).T
-        start = loc >> 32
+                doc, pos, alt, _ = places[body][0]
+                rows += [(doc, alt, pos + x, pos + y) for x, y in zip(a.tolist(), b.tolist())]
+        doc, alt, start, end = np.array(rows, np.int64).reshape(-1, 4).T
         return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (doc, loc & 0xFFFFFFFF, start + a, start + b)], ["doc", "alt", "start", "end"])
+            [pa.array(x) for x in (doc, alt, start, end)], ["doc", "alt", "start", "end"])
 
     for batch in batches:
         for row in batch.to_pylist():
@@ -158,10 +157,10 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
                 places, known, held = {}, [], 0
             anchor = row["route"]
             if row["body"]:
-                places.setdefault(row["body"], []).append((row["doc"], row["loc"], row["known"]))
+                places.setdefault(row["body"], []).append((row["doc"], row["pos"], row["alt"], row["known"]))
                 held += len(row["body"])
             else:
-                known.append((row["doc"], row["loc"], 0, row["size"]))
+                known.append((row["doc"], row["alt"], row["pos"], row["pos"] + row["size"]))
     yield flush()
 
 
@@ -187,11 +186,10 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     def anchor_rows(batch: pa.RecordBatch):
         for doc, alt, body in zip(*(batch.column(c) for c in ("doc", "alt", "text"))):
             first, _, h = segments(body.as_py().encode(), length)
-            yield {"doc": np.full(len(h), doc.as_py(), np.int64), "loc": first.astype(np.int64) << 32 | alt.as_py(),
-                   "route": h.view(np.int64)}
+            yield place(doc.as_py(), alt.as_py(), first) | {"route": h.view(np.int64)}
 
     shared = single.mapInArrow(lambda b: combined(b, anchor_rows, ["route"]),
-                               "route bigint, doc bigint, loc bigint, first boolean, known boolean")
+                               f"route bigint, {PLACE_KINDS}, first boolean, known boolean")
     shared = stored(met(shared, ["route"], later_only=False))
     held = join_measured(single, shared, ["doc", "alt"], "inner", F.size("positions") * 4 + 56)
     pieces = held.mapInArrow(lambda b: _segment_rows(b, length), KINDS)

@@ -2,9 +2,10 @@
 that meet by a hash after local combining.
 
 A document is (doc, alt): its doc_id (null: the largest long, which is last)
-and a short hash of its text, so rows that repeat a doc_id stay apart. Rows
-that are equal in both are the same document. A place is (doc, loc), where
-loc is position << 32 | alt."""
+and a 64-bit hash of its text, so rows that repeat a doc_id stay apart (of n
+different texts under one doc_id, or under none, about n * n / 2**65 pairs
+meet). Rows that are equal in both are the same document. A place is
+(doc, pos, alt), in this order, with the position in a column of its own."""
 
 from __future__ import annotations
 
@@ -22,6 +23,19 @@ LAST = (1 << 63) - 1
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 # Rows that a task combines before they are shuffled.
 CHUNK_ROWS = 1 << 20
+PLACE = ("doc", "pos", "alt")
+PLACE_KINDS = "doc bigint, pos int, alt bigint"
+
+
+def place(doc: int, alt: int, positions: np.ndarray) -> dict[str, np.ndarray]:
+    """Columns of places in one document."""
+    n = len(positions)
+    return {"doc": np.full(n, doc, np.int64), "pos": positions.astype(np.int32), "alt": np.full(n, alt, np.int64)}
+
+
+def positions_of(places: DataFrame) -> DataFrame:
+    """(doc, alt, positions) of the different places of each document."""
+    return places.groupBy("doc", "alt").agg(F.collect_set("pos").alias("positions"))
 
 
 def documents(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
@@ -29,7 +43,7 @@ def documents(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
     with_workers(docs.sparkSession)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST)).alias("doc"),
-                       F.xxhash64(body).bitwiseAND(F.lit(0xFFFFFFFF)).alias("alt"), body.alias("text"), *more)
+                       F.xxhash64(body).alias("alt"), body.alias("text"), *more)
 
 
 def copies(table: DataFrame) -> DataFrame:
@@ -42,11 +56,11 @@ def copies(table: DataFrame) -> DataFrame:
 def local_firsts(columns: dict[str, np.ndarray], keys: list[str]) -> dict[str, np.ndarray]:
     """Sort rows by keys and place; add ``first`` (of its key here) and
     ``known`` (another row here has its key)."""
-    order = np.lexsort([columns["loc"], columns["doc"], *[columns[k] for k in reversed(keys)]])
+    order = np.lexsort([columns["alt"], columns["pos"], columns["doc"], *[columns[k] for k in reversed(keys)]])
     out = {c: v[order] for c, v in columns.items()}
     if len(order) > 1:  # one place once, also of a document whose row repeats
         again = np.zeros(len(order), bool)
-        again[1:] = np.logical_and.reduce([out[k][1:] == out[k][:-1] for k in (*keys, "doc", "loc")])
+        again[1:] = np.logical_and.reduce([out[k][1:] == out[k][:-1] for k in (*keys, *PLACE)])
         out = {c: v[~again] for c, v in out.items()}
     n = len(out["doc"])
     first = np.ones(n, bool)
@@ -67,8 +81,9 @@ def combined(batches: Iterator[pa.RecordBatch], rows_of: Callable, keys: list[st
     def flush() -> pa.RecordBatch:
         columns = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
         columns = local_firsts(columns, keys)
-        route = np.where(columns["first"], columns[keys[0]], columns["loc"] * np.int64(-7046029254386353131) ^ columns["doc"])
-        names = ["route", *keys[1:], "doc", "loc", "first", "known"]
+        own = columns["pos"].astype(np.int64) * np.int64(-7046029254386353131) ^ columns["doc"] ^ columns["alt"]
+        route = np.where(columns["first"], columns[keys[0]], own)
+        names = ["route", *keys[1:], *PLACE, "first", "known"]
         columns["route"] = route
         return pa.RecordBatch.from_arrays([pa.array(columns[c]) for c in names], names)
 
@@ -95,13 +110,11 @@ def met(rows: DataFrame, keys: list[str], later_only: bool) -> DataFrame:
                 # rows that are the same place as the first (equal documents) aren't later
                 starts = np.flatnonzero(~same)
                 head = starts[np.searchsorted(starts, np.arange(len(same)), "right") - 1]
-                later = (run["doc"] != run["doc"][head]) | (run["loc"] != run["loc"][head])
+                later = np.logical_or.reduce([run[c] != run[c][head] for c in PLACE])
                 out = np.where(run["first"], later, run["known"])
             else:
                 out = run["known"] | same | np.append(same[1:], False)
-            yield pa.RecordBatch.from_arrays([pa.array(run["doc"][out]), pa.array(run["loc"][out])], ["doc", "loc"])
+            yield pa.RecordBatch.from_arrays([pa.array(run[c][out]) for c in PLACE], list(PLACE))
 
-    dealt = rows.repartition(*keys).sortWithinPartitions("first", *keys, "doc", "loc")
-    places = dealt.mapInArrow(pick, "doc bigint, loc bigint")
-    return places.groupBy("doc", F.col("loc").bitwiseAND(F.lit(0xFFFFFFFF)).alias("alt")).agg(
-        F.collect_set(F.shiftright("loc", 32).cast("int")).alias("positions"))
+    dealt = rows.repartition(*keys).sortWithinPartitions("first", *keys, *PLACE)
+    return positions_of(dealt.mapInArrow(pick, PLACE_KINDS))
