@@ -55,6 +55,45 @@ def test_suffix_dedup(make_docs, prose):
     assert sum(r[2] > 0 for r in got) > 10
 
 
+@pytest.fixture
+def passages():
+    """Passages of 32 to 700 bytes, each in many documents with different text around it."""
+    rng = random.Random(6)
+    some = lambda n: "".join(rng.choice("abcdefghij klmn") for _ in range(n))
+    rows = []
+    for size in (40, 200, 390, 399, 400, 401, 700):
+        passage = some(size)
+        rows += [(size * 100 + i, some(rng.randint(300, 500)) + passage + some(rng.randint(300, 500))) for i in range(14)]
+    rows += [(None, rows[0][1][:-1]), (None, rows[80][1][90:]), (1, rows[3][1]), (2, rows[3][1])]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_suffix_dedup_of_crowded_anchors(make_docs, passages):
+    out = suffixes.dedup(make_docs(passages), crowd=1500).withColumn("doc", F.nullif("doc", F.lit(LAST)))
+    got = rows_of(out, "doc", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == sorted(brute.repeated_bytes(passages), key=key)
+    assert sum(r[2] > 0 for r in got) > 50
+
+
+def test_no_key_of_crowded_anchors_has_much_text(spark, passages):
+    pieces = []
+    for doc, text in passages:
+        body = text.encode()
+        for a, b, h in zip(*(x.tolist() for x in suffixes.segments(body))):
+            pieces.append((h - (1 << 63), body[a:b + 400], doc or 0, a, 0, b + 400 - a, False))
+    table = spark.createDataFrame(pieces, suffixes.KINDS)
+    most = lambda df: max(r.n for r in df.groupBy("route").agg(
+        F.sum(F.octet_length("body")).alias("n")).collect())
+    whole = lambda df: {r.doc << 20 | r.pos + i for r in df.collect() for i in range(r.size - 399)}
+    out = suffixes.stored(suffixes.uncrowded(suffixes.stored(table), 400, 1500))
+    assert most(table) > 5000
+    # a key may only go on having more if it is one window (of every task)
+    assert most(out.where("size > 400")) <= 1500
+    assert out.where("length(body) = 400").groupBy("route").agg(F.count_distinct("body").alias("n")).where("n > 3").isEmpty()
+    assert whole(out) == whole(table)
+
+
 def test_suffix_dedup_null_and_repeated_ids(make_docs):
     a, b = "x y z " * 100, "".join(chr(97 + i % 26) + str(i) for i in range(300))
     docs = [(None, a), (None, a + "q"), (7, b), (7, b), (7, b[:410] + "tail"), (8, None)]

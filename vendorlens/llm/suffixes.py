@@ -8,6 +8,12 @@ anchor's hash, equal segments of one task as one, and each shard sorts all
 its suffixes with their common-prefix lengths by induction: a window is
 repeated if its suffix shares 400 bytes with a neighbour.
 
+An anchor with more text than a shard takes (a passage with many different
+surroundings) is dealt again, by what equal windows also share: the distance
+from their start to the anchor, in classes, and the bytes that all windows of
+a class have around it. Classes get narrower until each key's text fits; in
+the last one a key is one whole window.
+
 Whole texts that repeat are found first, by their checksum.
 
 Defined cases: a null text is empty and has no windows; doc_ids may be null or
@@ -22,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +39,15 @@ from vendorlens.llm.texts import EMPTY_SHA256, LAST, PLACE_KINDS, combined, copi
 LENGTH = 400
 GRAM = 32
 # Windows of one text that are anchored together, bytes of text that a task
-# combines before it sends them, and bytes that one shard sorts at once (more,
-# if a single anchor has more).
+# combines before it sends them, and bytes that one shard sorts at once (and
+# one more key's).
 BLOCK = 1 << 22
 COMBINE_BYTES = 32 << 20
 SHARD_BYTES = 8 << 20
+# Text that one key may have, and widths of the classes of distances by which
+# the keys that have more are dealt again.
+CROWD_BYTES = 8 << 20
+CLASSES = (93, 24, 6, 1)
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -95,41 +106,97 @@ def _merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 KINDS = "route bigint, body binary, doc bigint, pos bigint, alt bigint, size bigint, known boolean"
 
 
-def _segment_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Segments whose anchor repeats; of those with equal bytes, the first
-    goes to its anchor's shard and the others are known to repeat whole."""
+def _combined_pieces(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Pieces (key, body, doc, pos, alt, known); of those with equal key and
+    bytes, the first goes to its key's shard and the others are known to
+    repeat whole."""
     found: dict[tuple, list] = {}
     held = 0
 
     def flush() -> pa.RecordBatch:
         rows = []
         for (h, body), places in found.items():
-            for i, (doc, pos, alt) in enumerate(places):
+            for i, (doc, pos, alt, known) in enumerate(places):
                 route = h if not i else hash((doc, pos, alt, h))
-                rows.append((route, b"" if i else body, doc, pos, alt, len(body), len(places) > 1))
+                rows.append((route, b"" if i else body, doc, pos, alt, len(body), known or len(places) > 1))
         columns = zip(*rows)
         kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                           [k.split()[0] for k in KINDS.split(", ")])
 
-    for batch in batches:
-        for doc, alt, body, positions in zip(*(batch.column(c) for c in ("doc", "alt", "text", "positions"))):
-            doc, alt, body = doc.as_py(), alt.as_py(), body.as_py().encode()
-            first, last, h = segments(body, length)
-            mine = np.flatnonzero(np.isin(first, np.asarray(positions.values)))
-            for a, b, key in zip(first[mine].tolist(), last[mine].tolist(), h[mine].view(np.int64).tolist()):
-                piece = body[a:b + length]
-                places = found.setdefault((key, piece), [])
-                if (doc, a, alt) not in places[-1:]:  # a repeated row is handled as a copy
-                    places.append((doc, a, alt))
-                held += len(piece)
-            if held > COMBINE_BYTES:
-                yield flush()
-                found, held = {}, 0
+    for key, body, doc, pos, alt, known in pieces:
+        places = found.setdefault((key, body), [])
+        if (doc, pos, alt, known) not in places[-1:]:  # a repeated row is handled as a copy
+            places.append((doc, pos, alt, known))
+        held += len(body)
+        if held > COMBINE_BYTES:
+            yield flush()
+            found, held = {}, 0
     if found:
         yield flush()
 
 
+def _segment_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Segments whose anchor repeats."""
+
+    def pieces() -> Iterator[tuple]:
+        for batch in batches:
+            for doc, alt, body, positions in zip(*(batch.column(c) for c in ("doc", "alt", "text", "positions"))):
+                doc, alt, body = doc.as_py(), alt.as_py(), body.as_py().encode()
+                first, last, h = segments(body, length)
+                mine = np.flatnonzero(np.isin(first, np.asarray(positions.values)))
+                for a, b, key in zip(first[mine].tolist(), last[mine].tolist(), h[mine].view(np.int64).tolist()):
+                    yield key, body[a:b + length], doc, a, alt, False
+
+    return _combined_pieces(pieces())
+
+
+def by_distance(body: bytes, width: int, length: int, gram: int = GRAM) -> Iterator[tuple[int, int, bytes]]:
+    """(first, last, key): the windows of a segment by classes of ``width``
+    distances from their start to their anchor; the key is the class and the
+    bytes that every window of it has, also where this segment has only some."""
+    far = length - gram
+    # the windows have one anchor: that of the first, by the order of ``segments``
+    anchor = int(np.argmin(gram_hashes(np.frombuffer(body[:length], np.uint8), gram) >> np.uint64(23)))
+    for n in range(max(0, anchor - (len(body) - length)) // width, anchor // width + 1):
+        near, most = n * width, min(n * width + width - 1, far)
+        yield (max(0, anchor - most), min(len(body) - length, anchor - near),
+               b"%d " % n + body[anchor - near:anchor - most + length])
+
+
+def _split_rows(batches: Iterator[pa.RecordBatch], width: int, length: int) -> Iterator[pa.RecordBatch]:
+    """Crowded segments in pieces by class of distance."""
+
+    def pieces() -> Iterator[tuple]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                body = row["body"]
+                for a, b, key in by_distance(body, width, length):
+                    route = xxhash.xxh3_64_intdigest(key) - (1 << 63)
+                    yield route, body[a:b + length], row["doc"], row["pos"] + a, row["alt"], row["known"]
+
+    return _combined_pieces(pieces())
+
+
+def uncrowded(pieces: DataFrame, length: int = LENGTH, crowd: int = CROWD_BYTES) -> DataFrame:
+    """The stored rows of segments, dealt again as long as the different texts
+    of a key have over ``crowd`` bytes. Rows without a body (known to repeat)
+    are routed by place, each alone."""
+    done = []
+    for width in CLASSES:
+        crowded = stored(pieces.groupBy("route").agg(F.sum("size").alias("n")).where(F.col("n") > crowd).select("route"))
+        if crowded.isEmpty():
+            break
+        marked = join_measured(pieces, crowded.withColumn("crowded", F.lit(True)), ["route"], "left", 16)
+        again = F.col("crowded").isNotNull() & (F.octet_length("body") > 0)
+        done.append(marked.where(~again).select(*pieces.columns))
+        pieces = stored(marked.where(again).select(*pieces.columns).mapInArrow(
+            lambda b, w=width: _split_rows(b, w, length), KINDS))
+    for part in done:
+        pieces = pieces.unionByName(part)
+    return pieces
+
+
 def _sorted_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """(doc, alt, start, end) of all repeated bytes of the shards' segments."""
     places: dict[bytes, list] = {}
@@ -164,7 +231,8 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
     yield flush()
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
+          crowd: int = CROWD_BYTES) -> DataFrame:
     """(doc, n_bytes, n_removed, n_spans, kept_sha256, kept) for every row;
     kept holds the remaining bytes, or null where they are all or none."""
     rows = documents(docs, doc_id, text)
@@ -192,7 +260,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
                                f"route bigint, {PLACE_KINDS}, first boolean, known boolean")
     shared = stored(met(shared, ["route"], later_only=False))
     held = join_measured(single, shared, ["doc", "alt"], "inner", F.size("positions") * 4 + 56)
-    pieces = held.mapInArrow(lambda b: _segment_rows(b, length), KINDS)
+    pieces = uncrowded(stored(held.mapInArrow(lambda b: _segment_rows(b, length), KINDS)), length, crowd)
     dealt = pieces.repartition("route").sortWithinPartitions("route")
     found = dealt.mapInArrow(lambda b: _sorted_shards(b, length), "doc bigint, alt bigint, start bigint, end bigint")
     again = found.groupBy("doc", "alt").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
