@@ -122,6 +122,63 @@ def test_license_gate_lets_every_rule_through():
         assert re.search(licenses.GATE, word), word
 
 
+def matched_by(pattern, rng):
+    """A random text that a rule's pattern matches."""
+    from re import _constants as op, _parser
+
+    def some(items):
+        out = ""
+        for kind, value in items:
+            if kind is op.LITERAL:
+                out += chr(value)
+            elif kind is op.NOT_LITERAL:
+                out += "q"
+            elif kind is op.IN:
+                what, c = rng.choice(value)
+                out += chr(c if what is op.LITERAL else rng.randint(*c))
+            elif kind is op.BRANCH:
+                out += some(rng.choice(value[1]))
+            elif kind is op.SUBPATTERN:
+                out += some(value[3])
+            elif kind is op.MAX_REPEAT:
+                out += "".join(some(value[2]) for _ in range(rng.randint(value[0], min(value[1], 3))))
+            else:
+                assert kind in (op.ASSERT, op.ASSERT_NOT), kind
+        return out
+
+    return some(_parser.parse(pattern))
+
+
+def test_license_keywords_and_gate_drop_no_match():
+    import re
+
+    rng = random.Random(7)
+    for _, _, word, pattern, _ in licenses.rules():
+        for _ in range(20):
+            s = f" {matched_by(pattern, rng)} "
+            assert re.search(pattern, s), (pattern, s)
+            assert word in s and re.search(licenses.GATE, s), (word, s)
+
+
+def test_licenses_equal_matching_without_keyword_and_gate(make_docs, monkeypatch):
+    named = {"Creative Commons Attribution-ShareAlike": "cc-by-sa", "Creative Commons Attribution-NonCommercial": "cc-by-nc",
+             "Creative Commons Attribution-NoDerivatives": "cc-by-nd", "Creative Commons Attribution Share Alike": "cc-by-sa",
+             "Creative Commons Attribution-NonCommercial-ShareAlike": "cc-by-nc-sa", "under GPLv3.": "gpl-3.0",
+             "Creative Commons Attribution-NonCommercial-NoDerivs": "cc-by-nc-nd", "the GPLv2 or": "gpl-2.0",
+             "LGPLv2.1": "lgpl-2.1", "AGPLv3": "agpl-3.0", "GNU LGPL": "lgpl", "the AGPL": "agpl", "GPL": "gpl",
+             "GFDL 1.3": "fdl-1.3", "MPL 2.0": "mpl-2.0", "Apache2": "apache-2.0", "a simple example": ""}
+    full = [f"{w} under the {t}MIT license" for w in ("licensed", "distributed", "available", "released")
+            for t in ("", "terms of the ")]
+    rng = random.Random(8)
+    texts = [*named, *full, *[matched_by(r[3], rng) for r in licenses.rules()]]
+    got = sorted(map(tuple, licenses.scan(make_docs(list(enumerate(texts)))).collect()))
+    assert [r[6] for r in got[:len(named)]] == list(named.values())
+    assert {(r[6], r[7]) for r in got[len(named):len(named) + len(full)]} == {("mit", 1.0)}
+    everywhere = [(p, label, "", pattern, c) for p, label, _, pattern, c in licenses.rules()]
+    monkeypatch.setattr(licenses, "rules", lambda: everywhere)
+    assert got == [(i, *license_brute(t)) for i, t in enumerate(texts)]
+
+
 # --- packing ------------------------------------------------------------
 
 @pytest.fixture(scope="module")

@@ -25,7 +25,8 @@ BASE_CONFIDENCE = 0.5
 
 # Signature rules: (priority, label, keyword, pattern over the joined words,
 # confidence). Priority 1 is a full licence statement or identifier, 2 a
-# licence named with a version, 3 a bare name, 4 a hint. {v} and {d} stand for
+# licence named with a version, 3 a bare name, 4 a hint. Every match of a
+# pattern contains the keyword and passes the gate below. {v} and {d} stand for
 # a version, spelled as words ("2 0") and as an identifier's tail.
 FULL, VERSIONED, NAMED, HINT = 1, 2, 3, 4
 CONFIDENCE = {FULL: 1.0, VERSIONED: 0.9, NAMED: 0.7, HINT: 0.3}
@@ -45,13 +46,18 @@ WORDING = [
     (FULL, "zlib", "provided as is", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
     (FULL, "mpl-2.0", "mozilla public", r"this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?2 0"),
     (FULL, "wtfpl", "you just do", r"you just do what the fuck you want to"),
-    (FULL, "mit", "released under the mit", r"(?:released|licensed|distributed|available) under the (?:terms of the )?mit license"),
+    (FULL, "mit", "mit license", r"(?:released|licensed|distributed|available) under the (?:terms of the )?mit license"),
     (NAMED, "mit", "mit license", r"(?:the )?(?:expat )?mit license"),
     (NAMED, "mit", "spdx", r"spdx license identifier mit"),
     (NAMED, "isc", "isc license", r"(?:the )?isc license"),
     (NAMED, "apache", "apache", r"apache (?:software )?licen[sc]e"),
     (NAMED, "apache", "asl", r"apache asl"),
-    (NAMED, "gpl", "gnu gpl", r"gnu gpl"),
+    (NAMED, "gpl", "gpl", r"(?:gnu )?gpl"),
+    (NAMED, "lgpl", "lgpl", r"(?:gnu )?lgpl"),
+    (NAMED, "agpl", "agpl", r"(?:gnu )?agpl"),
+    (NAMED, "fdl", "gfdl", r"(?:gnu )?gfdl"),
+    (NAMED, "cddl", "cddl", r"cddl"),
+    (NAMED, "eupl", "eupl", r"eupl"),
     (NAMED, "gpl", "general public", r"(?:gnu )?general public licen[sc]e"),
     (NAMED, "lgpl", "lesser general", r"(?:gnu )?lesser general public licen[sc]e"),
     (NAMED, "lgpl", "library general", r"(?:gnu )?library general public licen[sc]e"),
@@ -78,10 +84,6 @@ WORDING = [
     (NAMED, "odbl", "open database license", r"open database license"),
     (NAMED, "pddl", "public domain dedication", r"public domain dedication and license"),
     (NAMED, "cc0", "cc0", r"cc0"),
-    (NAMED, "cc-by", "creative commons", r"creative commons attribution"),
-    (NAMED, "cc-by-sa", "share alike", r"creative commons attribution share ?alike"),
-    (NAMED, "cc-by-nc", "non commercial", r"creative commons attribution non ?commercial"),
-    (NAMED, "cc-by-nd", "no deriv", r"creative commons attribution no ?deriv(?:s|atives)"),
     (NAMED, "cc", "creative commons", r"creative commons"),
     (NAMED, "public-domain", "public domain", r"(?:released|dedicated) (?:in)?to the public domain"),
     (HINT, "public-domain", "public domain", r"public domain"),
@@ -99,9 +101,11 @@ FAMILIES = [
     ("lgpl", "lesser general", r"(?:gnu )?lesser general public licen[sc]e", "lgpl", "2.0 2.1 3.0"),
     ("agpl", "agpl", r"(?:gnu )?agpl", "agpl", "1.0 3.0"),
     ("agpl", "affero", r"(?:gnu )?affero general public licen[sc]e", "agpl", "1.0 3.0"),
+    ("fdl", "gfdl", r"(?:gnu )?gfdl", "gfdl", "1.1 1.2 1.3"),
     ("fdl", "documentation licen", r"(?:gnu )?free documentation licen[sc]e", "gfdl", "1.1 1.2 1.3"),
     ("apache", "apache", r"apache(?: software)?(?: licen[sc]e)?", "apache", "1.0 1.1 2.0"),
     ("mpl", "mozilla", r"mozilla public licen[sc]e", "mpl", "1.0 1.1 2.0"),
+    ("mpl", " mpl", r"mpl", "mpl", "1.0 1.1 2.0"),
     ("epl", "eclipse", r"eclipse public licen[sc]e", "epl", "1.0 2.0"),
     ("cddl", "cddl", r"cddl", "cddl", "1.0 1.1"),
     ("eupl", "eupl", r"eupl", "eupl", "1.0 1.1 1.2"),
@@ -118,10 +122,10 @@ CC_VERSIONS = "1.0 2.0 2.5 3.0 4.0"
 CC_KINDS = [
     ("cc-by", r"by", r"attribution"),
     ("cc-by-sa", r"by sa", r"attribution share ?alike"),
-    ("cc-by-nd", r"by nd", r"attribution no ?deriv(?:s|atives)"),
+    ("cc-by-nd", r"by nd", r"attribution no ?deriv(?:s|atives|ative works)"),
     ("cc-by-nc", r"by nc", r"attribution non ?commercial"),
     ("cc-by-nc-sa", r"by nc sa", r"attribution non ?commercial share ?alike"),
-    ("cc-by-nc-nd", r"by nc nd", r"attribution non ?commercial no ?deriv(?:s|atives)"),
+    ("cc-by-nc-nd", r"by nc nd", r"attribution non ?commercial no ?deriv(?:s|atives|ative works)"),
 ]
 # A text without any of these holds no keyword of a rule.
 GATE = (r"licen[sc]e|licensed|copyright|rights reserved|reserved|permission|redistribution|neither the name|advertising"
@@ -129,12 +133,13 @@ GATE = (r"licen[sc]e|licensed|copyright|rights reserved|reserved|permission|redi
         r"|eclipse|cddl|distribution|eupl|european union public|osl|afl|academic free|artistic|boost|open font|python"
         r"|wtfpl|beerware|microsoft|cecill|public domain|cc0|cc by|creative commons|share alike|non commercial|no deriv"
         r"|proprietary|unauthorized|documentation|zope|educational|spdx|asl|lesser general|library general|php|clause"
-        r"|development and|unlicense|zlib|use this file|under the mit")
+        r"|gfdl| mpl|development and|unlicense|zlib|use this file|under the mit")
 
 
 def rules() -> list[tuple[int, str, str, str, float]]:
-    """All signature rules: the wordings, and two for every version of every
-    family (name with its version, and identifier with its version)."""
+    """All signature rules: the wordings, two for every version of every
+    family (name with its version, and identifier with its version), and the
+    Creative Commons licences by both names with and without a version."""
     out = [(p, label, word, f"(?<= )(?:{pattern})(?= )", CONFIDENCE[p]) for p, label, word, pattern in WORDING]
 
     def versioned(label: str, word: str, name: str, version: str) -> None:
@@ -142,13 +147,15 @@ def rules() -> list[tuple[int, str, str, str, float]]:
         tail = f"(?:v(?:ersion)? ?)?{major}" + (f"(?: {minor})?" if minor == "0" else f" {minor}")
         # a version without its zero must not be the start of another one
         out.append((VERSIONED, f"{label}-{version}", word,
-                    f"(?<= )(?:{name}) {tail}(?= )(?! [0-9] )", CONFIDENCE[VERSIONED]))
+                    f"(?<= )(?:{name}) ?{tail}(?= )(?! [0-9] )", CONFIDENCE[VERSIONED]))
 
     for label, word, name, short, versions in FAMILIES:
         for version in versions.split():
             versioned(label, word, name, version)
             versioned(label, "spdx", f"spdx license identifier {short}", version)
     for label, short, name in CC_KINDS:
+        for word, named in ((f"cc {short}", f"cc {short}"), ("creative commons attribution", f"creative commons {name}")):
+            out.append((NAMED, label, word, f"(?<= )(?:{named})(?= )", CONFIDENCE[NAMED]))
         for version in CC_VERSIONS.split():
             versioned(label, f"cc {short}", f"cc {short}", version)
             versioned(label, "creative commons", f"creative commons {name}(?: licen[sc]e)?", version)
