@@ -160,6 +160,12 @@ def test_license_keywords_and_gate_drop_no_match():
             assert word in s and re.search(licenses.GATE, s), (word, s)
 
 
+def test_no_license_rule_repeats_another():
+    found = [(label, pattern) for _, label, _, pattern, _ in licenses.rules()]
+    assert len(set(found)) == len(found)
+    assert not any("licensed under cc" in pattern for _, pattern in found)
+
+
 def test_licenses_equal_matching_without_keyword_and_gate(make_docs, monkeypatch):
     named = {"Creative Commons Attribution-ShareAlike": "cc-by-sa", "Creative Commons Attribution-NonCommercial": "cc-by-nc",
              "Creative Commons Attribution-NoDerivatives": "cc-by-nd", "Creative Commons Attribution Share Alike": "cc-by-sa",

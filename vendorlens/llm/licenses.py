@@ -159,13 +159,12 @@ def rules() -> list[tuple[int, str, str, str, float]]:
         for version in CC_VERSIONS.split():
             versioned(label, f"cc {short}", f"cc {short}", version)
             versioned(label, "creative commons", f"creative commons {name}(?: licen[sc]e)?", version)
-            versioned(label, "licensed under cc", f"licensed under cc {short}", version)
     for name, versions in (("bsd", ("2", "3", "4")),):
         for n in versions:
             word = {"2": "two", "3": "three", "4": "four"}[n]
             out.append((VERSIONED, f"bsd-{n}-clause", "clause",
                         f"(?<= )(?:{name} (?:{n}|{word}) clause|(?:{n}|{word}) clause {name})(?: licen[sc]e)?(?= )", 0.9))
-    return out
+    return list(dict.fromkeys(out))  # families with two names have one identifier
 
 
 def joined_words(text: Column) -> Column:
