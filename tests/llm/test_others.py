@@ -312,6 +312,13 @@ def test_training_time_inverts_demand(spark):
         assert all(r.u == pytest.approx(r.t, abs=1e-9) for r in back)
 
 
+@pytest.mark.parametrize("most", [1.0, 2.5, 3.0])
+def test_mixing_takes_as_many_passes_as_it_may(make_docs, most):
+    docs = make_docs([(i, " ".join(f"w{i}x{k}" for k in range(10)), "only") for i in range(6)])
+    taken = sum(len(r.text.split()) for r in mixing.mix(docs, share=most, most=most).collect())
+    assert taken == int(60 * most)
+
+
 def test_mixing_edges(make_docs):
     assert mixing.mix(make_docs([])).count() == 0
     assert mixing.mix(make_docs([(1, None), (2, "")])).count() == 0

@@ -101,7 +101,8 @@ def place(docs: DataFrame, share: float = SHARE, most: float = MOST) -> DataFram
     out = out.withColumn("before", F.col("base") + F.expr(
         "coalesce(sum(size) OVER (PARTITION BY key, bucket ORDER BY shuffle, tie "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"))
-    return out.withColumn("taken", taken_in_pass(0) + taken_in_pass(1)).drop("key", "bucket", "base")
+    taken = sum((taken_in_pass(k) for k in range(1, ceil(most))), taken_in_pass(0))
+    return out.withColumn("taken", taken).drop("key", "bucket", "base")
 
 
 def taken_in_pass(k: int) -> Column:
@@ -111,10 +112,10 @@ def taken_in_pass(k: int) -> Column:
     return F.least(F.greatest(end, F.lit(0).cast("long")), F.col("size"))
 
 
-def passes(placed: DataFrame) -> DataFrame:
+def passes(placed: DataFrame, most: float = MOST) -> DataFrame:
     """One row per pass that takes any words of a row: adds ``pass``,
     ``pass_words`` and ``position`` (training time of its first word)."""
-    takes = F.array(*[F.struct(F.lit(k).alias("k"), taken_in_pass(k).alias("n")) for k in range(int(MOST))])
+    takes = F.array(*[F.struct(F.lit(k).alias("k"), taken_in_pass(k).alias("n")) for k in range(ceil(most))])
     out = placed.withColumn("take", F.explode(F.filter(takes, lambda x: x["n"] > 0)))
     start = F.col("take.k") * F.col("source_size") + F.col("before")
     return (out.withColumn("pass", F.col("take.k")).withColumn("pass_words", F.col("take.n"))
@@ -149,7 +150,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     rows are one row with several places in the plan."""
     names = [f for f, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
     keyed = shuffled(docs, doc_id, text, source, names)
-    plan = passes(place(stored(keyed), share, most))
+    plan = passes(place(stored(keyed), share, most), most)
     plan = stored(plan.select("shuffle", "tie", "size", "pass", "pass_words", "position"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("shuffle"),
