@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from vendorlens.llm import licenses, lines, mixing, packing, quality, simhash, substrings, suffixes, topk, urls
+from vendorlens.llm import (
+    alignment, licenses, lines, mixing, packing, quality, simhash, substrings, suffixes, topk, urls)
 
 QUERIES = {f.__name__: f for f in (
     suffixes.op1_suffix_array_dedup,
@@ -15,6 +16,7 @@ QUERIES = {f.__name__: f for f in (
     packing.op8_pack_sequences,
     mixing.op9_curriculum_mix,
     urls.op10_url_filter,
+    alignment.op11_token_alignment,
 )}
 ORACLE_SQL = {
     "op5_topk_inner_product": topk.ORACLE,
