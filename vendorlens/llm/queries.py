@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from vendorlens.llm import (
-    alignment, licenses, lines, mixing, packing, quality, simhash, substrings, suffixes, topk, urls)
+    alignment, licenses, lines, mixing, packing, prefixes, quality, simhash, substrings, suffixes, topk, urls)
 
 QUERIES = {f.__name__: f for f in (
     suffixes.op1_suffix_array_dedup,
@@ -17,9 +17,11 @@ QUERIES = {f.__name__: f for f in (
     mixing.op9_curriculum_mix,
     urls.op10_url_filter,
     alignment.op11_token_alignment,
+    prefixes.op13_conversation_trie,
 )}
 ORACLE_SQL = {
     "op5_topk_inner_product": topk.ORACLE,
     "op6_host_rules": quality.ORACLE,
     "op10_url_filter": urls.ORACLE,
+    "op13_conversation_trie": prefixes.ORACLE,
 }
