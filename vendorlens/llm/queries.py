@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from vendorlens.llm import (
-    alignment, licenses, lines, mixing, packing, prefixes, quality, simhash, substrings, suffixes, topk, urls)
+    alignment, licenses, lines, mixing, neighbours, packing, prefixes, quality, simhash, substrings, suffixes, topk, urls)
 
 QUERIES = {f.__name__: f for f in (
     suffixes.op1_suffix_array_dedup,
@@ -17,6 +17,7 @@ QUERIES = {f.__name__: f for f in (
     mixing.op9_curriculum_mix,
     urls.op10_url_filter,
     alignment.op11_token_alignment,
+    neighbours.op12_adaptive_neighbours,
     prefixes.op13_conversation_trie,
 )}
 ORACLE_SQL = {
