@@ -22,6 +22,7 @@ in a text are plain text. doc_ids may be null or repeat: each row is answered.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -38,12 +39,14 @@ from vendorlens.llm.common import join_measured, read, stored, with_workers
 # that a task remembers, and units that are encoded in one call.
 PIECE = 1 << 15
 CHUNK_BYTES = 2 << 20
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 48 << 20
 TOGETHER = 400
 
 SPACE_AFTER_WHITE = re.compile(r"\s ")
 CUT = re.compile(r"(?<=\S)(?= )")
 MARK = "▁"
+# Fixed value: how a byte-level tokenizer splits a text before it merges bytes.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def default_paths() -> tuple[str, str]:
@@ -61,6 +64,11 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def closed(unit: str) -> bool:
+    """Whether a unit is a Latin letter's word and a full stop or comma."""
+    return len(unit) > 1 and unit[-1] in ".," and unit[-2] < "\u0250" and unit[-2].isalpha()
+
+
 class Pair:
     """Both tokenizers, with the bytes of every token."""
 
@@ -83,21 +91,43 @@ class Pair:
         self.size_a, self.size_b = (np.array([len(x) for x in xs], np.int64) for xs in (self.bytes_a, self.bytes_b))
         # a piece that goes on after its space would lie across a cut
         self.cuts_hold = not any(MARK in p.lstrip(MARK) for p in pieces)
-        # every id as text, followed by each of the separators
-        self.text_a, self.text_b = ([b"%d%c" % (i, s) for i in range(len(xs)) for s in b",|;"]
-                                    for xs in (self.bytes_a, self.bytes_b))
+        # nor may one go on after a Latin letter with a full stop or comma, if those are units of their own
+        self.tails_hold = not any(closed(p[:i + 1]) for p in pieces for i in range(1, len(p)))
+        self.merges = self._merges()
+        # every id as text, followed by each of the separators; B's come after A's
+        self.texts = [b"%d%c" % (i, s) for xs in (self.bytes_a, self.bytes_b) for i in range(len(xs)) for s in b",|;"]
+        self.from_b = 3 * len(self.bytes_a)
+
+    def _merges(self):
+        """A faster encoder of the same merges, where A's ids are their order
+        and it splits texts in the usual way; else None."""
+        made = json.loads(self.a.to_str())
+        model, vocabulary = made["model"], self.a.get_vocab(with_added_tokens=False)
+        usual = made["normalizer"] is None and made["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        ids = [vocabulary["".join(m.split() if isinstance(m, str) else m)] for m in model.get("merges", [])]
+        if not usual or model["type"] != "BPE" or ids != sorted(ids) or len(ids) + 256 < len(vocabulary) - 1:
+            return None
+        import tiktoken
+
+        added = {x["id"] for x in made["added_tokens"]}
+        return tiktoken.Encoding("merges", pat_str=SPLIT, special_tokens={}, mergeable_ranks={
+            self.bytes_a[i]: i for i in vocabulary.values() if i not in added})
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both for texts that begin with a space."""
+        """Ids of both for texts, to which B puts a space."""
         if not texts:
             return
-        found = self.a.encode_batch_fast(texts, add_special_tokens=False)
+        if self.merges:
+            found = map(self.merges.encode_ordinary, texts)
+        else:
+            found = (x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False))
         # B puts a space before a text, but not before an empty one: a letter goes ahead
         other = self.b.encode(["x" + t for t in texts], num_threads=1)
         for x, y in zip(found, other):
             y = np.array(y, np.int64)
             ahead = int(np.searchsorted(np.cumsum(self.size_b[y]), 2)) + 1
-            yield np.array(x.ids, np.int64), y[ahead:]
+            yield np.array(x, np.int64), y[ahead:]
 
 
 _pair: Pair | None = None
@@ -111,42 +141,60 @@ def pair_of(path_a: str, path_b: str) -> Pair:
 
 
 class Units(dict):
-    """(ids of A, ids of B) as bytes of units without their first space; None
+    """(ids of A, ids of B) as bytes of units without their first space; False
     where a tokenizer doesn't spell the unit. Ends with its task."""
 
     def __init__(self, pair: Pair):
         self.pair, self.held = pair, 0
-
-    def _keep(self, unit: str, a: np.ndarray, b: np.ndarray) -> None:
-        body = (" " + unit).encode()
-        pair = self.pair
-        good = (b"".join([pair.bytes_a[i] for i in a.tolist()]) == body
-                and b"".join([pair.bytes_b[i] for i in b.tolist()]) == body)
-        self[unit] = (a.astype("<u4").tobytes(), b.astype("<u4").tobytes()) if good else None
-        self.held += 350 + 2 * len(body) + 4 * (len(a) + len(b))
+        # what stands after a letter follows "x" and what is put ahead of it
+        self.closing = {c: (a.astype("<u4").tobytes(), b.astype("<u4").tobytes())
+                        for c, (a, b) in zip(".,", pair.encode([".", ","]))}
+
+    def _keep(self, units: list[str], body: bytes, a: np.ndarray, b: np.ndarray) -> bool:
+        """Remember the ids of units whose text is ``body``, if both
+        tokenizers spell it and have a token's end where each unit ends."""
+        pair, raw, cuts = self.pair, [], []
+        sizes = np.fromiter(map(len, units) if body.isascii() else (len(u.encode()) for u in units), np.int64, len(units)) + 1
+        ends = np.cumsum(sizes)
+        for ids, spelt, size in ((a, pair.bytes_a, pair.size_a), (b, pair.bytes_b, pair.size_b)):
+            reached = np.cumsum(size[ids])
+            cut = np.searchsorted(reached, ends)
+            if not len(ids) or cut[-1] >= len(ids) or (reached[cut] != ends).any() or b"".join(
+                    [spelt[i] for i in ids.tolist()]) != body:
+                return False
+            raw.append(ids.astype("<u4").tobytes())
+            cuts.append((4 * np.append(0, cut + 1)).tolist())
+        (x, y), (p, q) = raw, cuts
+        for u, p0, p1, q0, q1 in zip(units, p, p[1:], q, q[1:]):
+            self[u] = x[p0:p1], y[q0:q1]
+        self.held += 300 * len(units) + 2 * len(body) + len(x) + len(y)
+        return True
 
     def _encode(self, units: list[str]) -> None:
         # a unit that ends in white space could join the next one's; those go alone
-        alone = [u for u in units if MARK not in u and (not u or u[-1].isspace())]
-        plain = [u for u in units if u and MARK not in u and not u[-1].isspace()]
+        alone, plain, tails = [], {}, []
         for u in units:
-            if MARK in u:
-                self[u] = None
+            if not u or u[-1].isspace() or MARK in u:
+                alone.append(u)
+            elif self.pair.tails_hold and closed(u):
+                tails.append(u)
+                if u[:-1] not in self:
+                    plain[u[:-1]] = None
+            else:
+                plain[u] = None
+        plain = list(plain)
         parts = [plain[i:i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        for part, (a, b) in zip(parts, self.pair.encode([" " + " ".join(p) for p in parts])):
-            ends = np.cumsum([len(u.encode()) + 1 for u in part])
-            cuts = []
-            for ids, sizes in ((a, self.pair.size_a), (b, self.pair.size_b)):
-                reached = np.cumsum(sizes[ids])
-                cut = np.searchsorted(reached, ends)
-                cuts.append(np.append(0, cut + 1) if len(ids) and cut[-1] < len(ids) and (reached[cut] == ends).all() else None)
-            if any(c is None for c in cuts):
+        texts = [" " + " ".join(p) for p in parts]
+        for part, text, (a, b) in zip(parts, texts, self.pair.encode(texts)):
+            if not self._keep(part, text.encode(), a, b):
                 alone += part
-                continue
-            for i, u in enumerate(part):
-                self._keep(u, a[cuts[0][i]:cuts[0][i + 1]], b[cuts[1][i]:cuts[1][i + 1]])
         for u, (a, b) in zip(alone, self.pair.encode([" " + u for u in alone])):
-            self._keep(u, a, b)
+            if not self._keep([u], (" " + u).encode(), a, b):
+                self[u] = False
+        for u in tails:
+            stem, (x, y) = self[u[:-1]], self.closing[u[-1]]
+            self[u] = stem and (stem[0] + x, stem[1] + y)
+        self.held += 300 * len(tails)
 
     def of_texts(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Ids of both as bytes; None for an empty text or one not spelled."""
@@ -156,21 +204,24 @@ class Units(dict):
         split = []
         for t in texts:
             if not t:
-                split.append(None)
+                split.append([])
             elif not self.pair.cuts_hold:
                 split.append([t])
             elif SPACE_AFTER_WHITE.search(t) or t[0] == " ":
                 split.append([u[1:] for u in CUT.split(" " + t)])
             else:
                 split.append(t.split(" "))
-        self._encode(list({u for units in split if units for u in units if u not in self}))
+        found = [list(map(self.get, units)) for units in split]
+        self._encode(list({u for units, ids in zip(split, found) if None in ids
+                           for u, x in zip(units, ids) if x is None}))
         out = []
-        for units in split:
-            found = None if units is None else [self[u] for u in units]
-            if found is None or None in found:
+        for units, ids in zip(split, found):
+            if None in ids:
+                ids = [self[u] if x is None else x for u, x in zip(units, ids)]
+            if not ids or False in ids:
                 out.append(None)
             else:
-                a, b = zip(*found)
+                a, b = zip(*ids)
                 out.append((b"".join(a), b"".join(b)))
         return out
 
@@ -220,12 +271,12 @@ def aligned(pair: Pair, encoded: list[tuple[bytes, bytes]], piece: int = PIECE)
     # texts of groups: A's tokens of group g stand after B's of the groups before it
     before_b, upto_a = np.append(0, j[:-1] + 1), i + 1
     of_a, of_b = np.searchsorted(i, np.arange(len(a))), np.searchsorted(j, np.arange(len(b)))
-    words = np.empty(len(a) + len(b), object)
-    sep_a, sep_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-    sep_a[i], sep_b[j] = 1, 2
-    words[np.arange(len(a)) + before_b[of_a]] = _picked(pair.text_a, 3 * a + sep_a)
-    words[np.arange(len(b)) + upto_a[of_b]] = _picked(pair.text_b, 3 * b + sep_b)
-    words = words.tolist()
+    text_a, text_b, written = 3 * a, 3 * b + pair.from_b, np.empty(len(a) + len(b), np.int64)
+    text_a[i] += 1
+    text_b[j] += 2
+    written[np.arange(len(a)) + before_b[of_a]] = text_a
+    written[np.arange(len(b)) + upto_a[of_b]] = text_b
+    words = [pair.texts[x] for x in written.tolist()]
     # each text's different links and how often it has them
     link, text = a[i] << 32 | b[j], np.repeat(np.arange(len(encoded)), np.diff(groups, prepend=0))
     order = np.lexsort((link, text))
@@ -241,12 +292,6 @@ def aligned(pair: Pair, encoded: list[tuple[bytes, bytes]], piece: int = PIECE)
     return out
 
 
-def _picked(texts: list[bytes], at: np.ndarray) -> np.ndarray:
-    out = np.empty(len(at), object)
-    out[:] = [texts[x] for x in at.tolist()]
-    return out
-
-
 NOTHING = (0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
