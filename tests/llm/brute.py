@@ -104,6 +104,10 @@ def line_dedup(rows, min_chars=20, edits=2):
         kept = []
         for line in text.split("\n"):
             body = line.strip(" \t\n\x0b\x0c\r")
+            if body and body in seen:
+                continue
+            if 0 < len(body) < min_chars:
+                seen.append(body)
             if len(body) >= min_chars:
                 near = any(abs(len(body) - len(s)) <= edits and edit_distance(body, s) <= edits for s in seen)
                 seen.append(body)

@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,6 +192,53 @@ def test_edit_distance_band():
         assert edits.within(a, b, limit).tolist() == [brute.edit_distance(x, y) <= limit for x, y in zip(a, b)]
 
 
+def test_edits_of_long_strings_go_along_diagonals(monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(edits, "LONG", 0)
+    for _ in range(400):
+        limit = rng.choice([0, 1, 2, 4])
+        a = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 14))) for _ in range(4)]
+        b = [x if rng.random() < 0.2 else x[:k] + rng.choice("abc") + x[k + rng.randint(0, 2):]
+             for x in a for k in [rng.randint(0, len(x))]]
+        assert edits.within(a, b, limit).tolist() == [brute.edit_distance(x, y) <= limit for x, y in zip(a, b)]
+
+
+def test_one_long_pair_beside_many_short_ones_takes_little_memory():
+    rng = random.Random(13)
+    long_line = "".join(rng.choices("abcdefgh ", k=1_000_000))
+    left = ["short line %d of many others" % i for i in range(4000)] + [long_line, long_line, long_line]
+    right = ["short line %d of many othars" % i for i in range(4000)] + [
+        long_line[:500] + "XY" + long_line[500:], long_line[:10] + long_line[11:-1], long_line[:7] + "!" + long_line[10:]]
+    tracemalloc.start()
+    near = edits.within(left, right, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert near.tolist() == [True] * 4002 + [False] and peak < 200 << 20
+
+
+@pytest.mark.parametrize("rows_each", [1, 2, 5, 1000])
+def test_meetings_hold_one_line_of_a_key(rows_each):
+    rng = random.Random(14)
+    rows = sorted({(rng.randint(0, 40), rng.random() < 0.7, rng.randint(0, 6)) for _ in range(200)})
+    rows = [(k, not probe, line) for k, probe, line in rows if (k, not probe, line) and not (probe and (k, False, line) in rows)]
+    rows = [r for r in rows for _ in range(rng.randint(1, 3))]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], t) for j, t in enumerate((pa.int64(), pa.bool_(), pa.int64()))],
+                                          ["key", "indexed", "line"])
+               for part in (rows[i:i + rows_each] for i in range(0, len(rows), rows_each))]
+    got = sorted((k, l) for b in lines._meetings(iter(batches)) for k, l in zip(b["key"].to_pylist(), b["line"].to_pylist()))
+    of = {}
+    for k, indexed, line in rows:
+        of.setdefault(k, (set(), []))[0].add(line)
+        of[k][1].append(indexed)
+    assert got == sorted((k, l) for k, (ls, at) in of.items() if len(ls) > 1 and any(at) for l in ls)
+
+
+def test_short_lines_go_only_when_exactly_repeated(make_docs):
+    rows = [(1, "Read more\nRead mor\n\n  \n你好"), (2, "Read more \nRead Mora\n你好\n\n"), (3, "你们\nRead more")]
+    out = {r.doc_id: (r.text, r.n_removed_lines) for r in lines.dedup(make_docs(rows)).collect()}
+    assert out == {1: (rows[0][1], 0), 2: ("Read Mora\n\n", 2), 3: ("你们", 1)}
+
+
 def test_line_dedup(make_docs):
     rng = random.Random(4)
     pool = ["".join(rng.choice("abcde fgh") for _ in range(rng.randint(15, 60))) for _ in range(40)]

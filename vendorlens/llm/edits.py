@@ -1,17 +1,23 @@
 """Edit distance of many pairs at once: a bit-parallel band (Hyyro 2003) in
-numpy, one 64-bit word per pair."""
+numpy, one 64-bit word per pair. Pairs go by length, so that few cells of a
+batch are padding, and a batch has a bounded number of cells. Pairs of very
+long strings, for which a step per character costs too much, go one by one
+along the band's diagonals, from one difference to the next (Landau and
+Vishkin 1989)."""
 
 from __future__ import annotations
 
 import numpy as np
 
-PAIRS = 4096
+# Cells of a batch, and the length from which a pair goes alone.
+CELLS = 1 << 19
+LONG = 4096
 
 
 def _codes(strings: list[str], before: int, after: int, pad: int) -> np.ndarray:
     """Code points, one row per string, padded on both sides."""
     sizes = np.fromiter(map(len, strings), np.int64, len(strings))
-    out = np.full((len(strings), before + int(sizes.max()) + after), pad, np.int64)
+    out = np.full((len(strings), before + int(sizes.max()) + after), pad, np.int32)
     flat = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), "<u4")
     rows = np.repeat(np.arange(len(strings)), sizes)
     columns = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + before
@@ -20,15 +26,61 @@ def _codes(strings: list[str], before: int, after: int, pad: int) -> np.ndarray:
 
 
 def within(left: list[str], right: list[str], limit: int) -> np.ndarray:
-    """True where the edit distance of a pair is at most ``limit`` (under 31).
+    """True where the edit distance of a pair is at most ``limit`` (under 31)."""
+    sizes = np.fromiter((max(len(x), len(y)) for x, y in zip(left, right)), np.int64, len(left))
+    out = np.zeros(len(left), bool)
+    order = np.argsort(sizes, kind="stable")
+    short = int(np.searchsorted(sizes[order], LONG))
+    for i in order[short:].tolist():
+        out[i] = _along_diagonals(left[i], right[i], limit)
+    at = 0
+    while at < short:
+        # as many as fit at the length of the last of them
+        cells = (sizes[order[at:short]] + 4 * limit + 2) * np.arange(1, short - at + 1)
+        many = max(1, int(np.searchsorted(cells, CELLS, "right")))
+        some = order[at:at + many]
+        out[some] = _band([left[i] for i in some], [right[i] for i in some], limit)
+        at += many
+    return out
+
+
+def _along_diagonals(a: str, b: str, limit: int) -> bool:
+    """Whether the edit distance is at most ``limit``: how far each diagonal
+    of the band is reached with no edit, with one, and so on."""
+    x, y = (np.frombuffer(s.encode("utf-32-le", "surrogatepass"), "<u4") for s in (a, b))
+    m, n = len(x), len(y)
+
+    def further(i: int, d: int) -> int:
+        step = 64
+        while i < m and i + d < n:
+            k = min(step, m - i, n - i - d)
+            gap = np.flatnonzero(x[i:i + k] != y[i + d:i + d + k])
+            if len(gap):
+                return i + int(gap[0])
+            i, step = i + k, step * 4
+        return i
+
+    if abs(m - n) > limit:
+        return False
+    reached = {0: further(0, 0)}
+    for _ in range(limit):
+        if reached.get(n - m, -1) >= m:
+            return True
+        found = {}
+        for d in range(min(reached) - 1, max(reached) + 2):
+            i = max(reached.get(d, -2) + 1, reached.get(d + 1, -2) + 1, reached.get(d - 1, -2))
+            if i >= 0 and 0 <= i + d:
+                i = min(i, m, n - d)
+                if i >= 0:
+                    found[d] = further(i, d)
+        reached = found
+    return reached.get(n - m, -1) >= m
+
 
-    Column by column of the matrix, bit 63 stands for the lowest row of the
+def _band(left: list[str], right: list[str], limit: int) -> np.ndarray:
+    """Column by column of the matrix, bit 63 stands for the lowest row of the
     band and bit 63 - 2 limit for the highest. The distance is followed down
     the band's lower edge, then along the last row."""
-    if len(left) > PAIRS:
-        return np.concatenate([within(left[i:i + PAIRS], right[i:i + PAIRS], limit) for i in range(0, len(left), PAIRS)])
-    if not left:
-        return np.zeros(0, bool)
     m, n = (np.fromiter(map(len, x), np.int64, len(x)) for x in (left, right))
     out = np.zeros(len(left), bool)
     short = np.minimum(m, n) <= limit

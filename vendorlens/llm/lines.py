@@ -1,8 +1,9 @@
 """Line dedup: a line goes if an equal or nearly equal line stands earlier.
 
-Lines are compared without white space at their ends; lines of fewer than 20
-characters stay. Two lines are nearly equal if their edit distance is at most
-2. Every line is cut into three segments, of which two edits leave one whole:
+Lines are compared without white space at their ends. A line with a word goes
+if it stands earlier exactly; one of at least 20 characters also if it stands
+earlier nearly, that is with an edit distance of at most 2 (in shorter lines,
+two edits are a large part). Every such line is cut into three segments, of which two edits leave one whole:
 a line is indexed under (its length, segment number, segment) and probes the
 segments of lines up to two characters shorter at the few places where such
 edits can have moved them. Lines that meet under a key are verified by banded
@@ -31,16 +32,18 @@ from pyspark.sql import functions as F
 
 from vendorlens.llm.common import join_measured, read, stored
 from vendorlens.llm.edits import within
-from vendorlens.llm.runs import whole_runs
 from vendorlens.llm.texts import LAST, PLACE, PLACE_KINDS, combined, documents, met, place, positions_of
 
 MIN_CHARS = 20
 EDITS = 2
-# Lines that one task compares under one key, rows that it settles together,
-# and pairs that it looks at together.
+# Lines that one task compares under one key, rows and bytes that it settles
+# together, pairs that it looks at together, keys that it sends together, and
+# hashes of lines that it remembers to have sent.
 BLOCK = 2048
-GROUP_ROWS = 8192
+GROUP_ROWS, GROUP_BYTES = 8192, 4 << 20
 PAIRS = 1 << 18
+KEYS = 1 << 16
+SEEN = 100_000
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -83,7 +86,8 @@ class Keys:
                              [(number(l, i), a, a + s) for l, i, a, s in probes(n, self.edits)])
         h = xxhash.xxh3_64_intdigest
         index, probe = self.plans[n]
-        return [h(line[a:b], seed) for seed, a, b in index], [h(line[a:b], seed) for seed, a, b in probe]
+        index = [h(line[a:b], seed) for seed, a, b in index]
+        return index, list({h(line[a:b], seed) for seed, a, b in probe}.difference(index))
 
 
 def judged(text: str, min_chars: int) -> Iterator[tuple[int, str]]:
@@ -94,10 +98,10 @@ def judged(text: str, min_chars: int) -> Iterator[tuple[int, str]]:
             yield i, line
 
 
-def _occurrences(batch: pa.RecordBatch, min_chars: int) -> Iterator[dict]:
+def _occurrences(batch: pa.RecordBatch) -> Iterator[dict]:
     digest = xxhash.xxh3_128_digest
     for doc, alt, text in zip(*(batch.column(c) for c in ("doc", "alt", "text"))):
-        found = list(judged(text.as_py(), min_chars))
+        found = list(judged(text.as_py(), 1))
         if found:
             high, low = np.frombuffer(b"".join([digest(line) for _, line in found]), "<i8").reshape(-1, 2).T
             number = np.array([i for i, _ in found], np.int64)
@@ -106,38 +110,66 @@ def _occurrences(batch: pa.RecordBatch, min_chars: int) -> Iterator[dict]:
 
 def _keyed(batches: Iterator[pa.RecordBatch], min_chars: int, edits: int) -> Iterator[pa.RecordBatch]:
     """(key, line, indexed) of the lines of a task, each different line once in
-    a while; ``line`` is a hash of it."""
+    a while; ``line`` is a hash of it. A line has a key once."""
     keys, seen = Keys(edits), set()
+    key, line_of, indexed = [], [], []
+
+    def send() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(np.array(key, np.uint64).view(np.int64)), pa.array(np.array(line_of, np.int64)),
+             pa.array(indexed, pa.bool_())], ["key", "line", "indexed"])
+        key.clear(), line_of.clear(), indexed.clear()
+        return out
+
     for batch in batches:
-        key, line_of, indexed = [], [], []
         for text in batch.column("text"):
             for _, line in judged(text.as_py(), min_chars):
-                if line in seen:
+                name = int.from_bytes(xxhash.xxh3_128_digest(line)[:8], "little", signed=True)
+                if name in seen:
                     continue
-                if len(seen) >= 100_000:
+                if len(seen) >= SEEN:
                     seen.clear()
-                seen.add(line)
+                seen.add(name)
                 index, probe = keys(line)
                 key += index
                 key += probe
-                line_of += [xxhash.xxh3_128_digest(line)[:8]] * (len(index) + len(probe))
+                line_of += [name] * (len(index) + len(probe))
                 indexed += [True] * len(index) + [False] * len(probe)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.array(key, np.uint64).view(np.int64)), pa.array(np.frombuffer(b"".join(line_of), "<i8")),
-             pa.array(indexed, pa.bool_())], ["key", "line", "indexed"])
+                if len(key) >= KEYS:
+                    yield send()
+    if key:
+        yield send()
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, line) where several lines meet under a key, one at least indexed."""
-    for run in whole_runs(batches, ["key"]):
-        same = run.same_as_last()
-        group = np.cumsum(~same) - 1
-        new = ~same
-        new[1:] |= run["line"][1:] != run["line"][:-1]
-        lines = np.bincount(group, new)
-        anchored = np.bincount(group, run["indexed"]) > 0
-        out = new & ((lines > 1) & anchored)[group]
-        yield pa.RecordBatch.from_arrays([pa.array(run["key"][out]), pa.array(run["line"][out])], ["key", "line"])
+    """(key, line) where several lines meet under a key, one at least indexed.
+    Rows come by key, indexed ones first, then by line. However many lines a
+    key has, only its first is held until a second comes."""
+    key = line = first = None  # the last row's, and a first line that still is alone
+    anchored = several = False
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        k, l, i = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "line", "indexed"))
+        start = np.append(key is None or k[0] != key, k[1:] != k[:-1])
+        new = start | np.append(line is None or l[0] != line, l[1:] != l[:-1])
+        group = np.cumsum(start)  # 0: the key of the batch before
+        heads = np.flatnonzero(start)
+        held = np.append(anchored, i[heads])
+        lines = np.bincount(group, new, minlength=len(heads) + 1)
+        lines[0] += several * 2 + (first is not None)
+        out = new & (held & (lines > 1))[group]
+        keys, found = k[out], l[out]
+        if first is not None and held[0] and lines[0] > 1:
+            keys, found = np.append(key, keys), np.append(first, found)
+        if len(keys):
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.int64())], ["key", "line"])
+        key, line, anchored, several = k[-1], l[-1], bool(held[-1]), bool(lines[-1] > 1)
+        if several:
+            first = None
+        elif len(heads):
+            first = l[heads[-1]]
 
 
 def _too_different(counts: np.ndarray, a: np.ndarray, b: np.ndarray, edits: int) -> np.ndarray:
@@ -184,6 +216,7 @@ def _verified(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.Reco
     """Places of first occurrences that have an earlier near line. Rows come
     sorted by (key, sub, doc, pos, alt); groups are settled many at a time."""
     held: list[pa.RecordBatch] = []
+    size = 0
 
     def settle(table: pa.Table) -> pa.RecordBatch:
         key, sub = table["key"].to_numpy(), table["sub"].to_numpy()
@@ -195,29 +228,32 @@ def _verified(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.Reco
         if not batch.num_rows:
             continue
         held.append(batch)
-        table = pa.Table.from_batches(held)
-        if table.num_rows < GROUP_ROWS:
+        size += batch.nbytes
+        if sum(b.num_rows for b in held) < GROUP_ROWS and size < GROUP_BYTES:
             continue
+        table = pa.Table.from_batches(held)
         key, sub = table["key"].to_numpy(), table["sub"].to_numpy()
         last = np.flatnonzero((key != key[-1]) | (sub != sub[-1]))  # the last group may go on
         cut_at = int(last[-1]) + 1 if len(last) else 0
         if cut_at:
             yield settle(table.slice(0, cut_at))
             held = table.slice(cut_at).to_batches()
+            size = sum(b.nbytes for b in held)
     if held:
         yield settle(pa.Table.from_batches(held))
 
 
 def removed_lines(rows: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS, block: int = BLOCK) -> DataFrame:
     """(doc, alt, positions): numbers of the lines to remove, for documents
-    (doc, alt, text) that lose any."""
+    (doc, alt, text) that lose any. ``min_chars`` is the least length of a line
+    that is compared beyond equality."""
     kinds = f"route bigint, low bigint, {PLACE_KINDS}, first boolean, known boolean"
     places = stored(rows.mapInArrow(lambda b: combined(
-        b, lambda batch: _occurrences(batch, min_chars), ["route", "low"]), kinds))
+        b, _occurrences, ["route", "low"]), kinds))
     repeats = met(places, ["route", "low"], later_only=True)
 
     keyed = rows.mapInArrow(lambda b: _keyed(b, min_chars, edits), "key bigint, line bigint, indexed boolean")
-    meetings = stored(keyed.repartition("key").sortWithinPartitions("key", "line").mapInArrow(
+    meetings = stored(keyed.repartition("key").sortWithinPartitions("key", F.desc("indexed"), "line").mapInArrow(
         _meetings, "key bigint, line bigint"))
     wanted = stored(meetings.select("line").distinct())
     # a line's first place, and that document's line as its text

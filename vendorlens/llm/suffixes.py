@@ -39,14 +39,14 @@ from vendorlens.llm.texts import EMPTY_SHA256, LAST, PLACE_KINDS, combined, copi
 LENGTH = 400
 GRAM = 32
 # Windows of one text that are anchored together, bytes of text that a task
-# combines before it sends them, and bytes that one shard sorts at once (and
-# one more key's).
+# combines before it sends them, and bytes that one shard sorts at once (more
+# only where one key has more).
 BLOCK = 1 << 22
-COMBINE_BYTES = 32 << 20
-SHARD_BYTES = 8 << 20
+COMBINE_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 # Text that one key may have, and widths of the classes of distances by which
 # the keys that have more are dealt again.
-CROWD_BYTES = 8 << 20
+CROWD_BYTES = 4 << 20
 CLASSES = (93, 24, 6, 1)
 
 
@@ -199,12 +199,16 @@ def uncrowded(pieces: DataFrame, length: int = LENGTH, crowd: int = CROWD_BYTES)
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """(doc, alt, start, end) of all repeated bytes of the shards' segments."""
-    places: dict[bytes, list] = {}
-    known: list[tuple] = []
-    anchor, held = None, 0
+    places: dict[bytes, list] = {}  # of the keys before
+    own: dict[bytes, list] = {}  # of the key at hand
+    anchor, held, mine = None, 0, 0
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in np.array(rows, np.int64).reshape(-1, 4).T], ["doc", "alt", "start", "end"])
 
     def flush() -> pa.RecordBatch:
-        rows = list(known)
+        rows = []
         strings = list(places)
         for body, at in zip(strings, Suffixes(strings, length).repeated() if strings else ()):
             if len({p[:3] for p in places[body]}) > 1 or places[body][0][3]:
@@ -213,21 +217,32 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
                 a, b = merged(at, at + length)
                 doc, pos, alt, _ = places[body][0]
                 rows += [(doc, alt, pos + x, pos + y) for x, y in zip(a.tolist(), b.tolist())]
-        doc, alt, start, end = np.array(rows, np.int64).reshape(-1, 4).T
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (doc, alt, start, end)], ["doc", "alt", "start", "end"])
+        return batch_of(rows)
 
     for batch in batches:
+        known = []
         for row in batch.to_pylist():
-            if held > SHARD_BYTES and row["route"] != anchor:
-                yield flush()
-                places, known, held = {}, [], 0
-            anchor = row["route"]
-            if row["body"]:
-                places.setdefault(row["body"], []).append((row["doc"], row["pos"], row["alt"], row["known"]))
-                held += len(row["body"])
-            else:
+            if row["route"] != anchor:
+                if held and held + mine > SHARD_BYTES:  # the key just ended opens the next shard
+                    yield flush()
+                    places, held = {}, 0
+                for body, at in own.items():
+                    places.setdefault(body, []).extend(at)
+                anchor, held, own, mine = row["route"], held + mine, {}, 0
+            if not row["body"]:
                 known.append((row["doc"], row["alt"], row["pos"], row["pos"] + row["size"]))
+                continue
+            at = own.setdefault(row["body"], [])
+            if not at:
+                mine += len(row["body"])
+            at.append((row["doc"], row["pos"], row["alt"], row["known"]))
+        if known:
+            yield batch_of(known)
+    if held + mine > SHARD_BYTES and held:
+        yield flush()
+        places = {}
+    for body, at in own.items():
+        places.setdefault(body, []).extend(at)
     yield flush()
 
 
