@@ -258,6 +258,15 @@ def test_packing_edges(make_docs, tokenizer):
     assert sum(r.length for r in out) == 3 + 3 + 1 and {r.doc_id for r in out} == {None, 1 << 60}
 
 
+def test_packing_spreads_equal_rows_over_all_groups(spark, tokenizer):
+    path = packing.default_tokenizer()
+    same = spark.range(0, 20_000, 1, 6).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    dealt = packing.measured(same, "doc_id", "text", path, 2048, 1, 5).groupBy("grp").agg(F.sum("copies").alias("n")).collect()
+    assert len(dealt) == 5 and sum(r.n for r in dealt) == 20_000 and all(2800 < r.n < 5200 for r in dealt)
+    out = packing.pack(same.limit(3000).unionByName(spark.createDataFrame([(1, "a b")], same.schema)), group_docs=700).collect()
+    assert sum(r.length for r in out) == 3003 and sum(r.doc_id is None for r in out) == 3000
+
+
 # --- mixing -------------------------------------------------------------
 
 def wanted_targets(size):
@@ -319,6 +328,41 @@ def test_mixing_takes_as_many_passes_as_it_may(make_docs, most):
     assert taken == int(60 * most)
 
 
+def test_mixing_follows_the_schedule_in_order(make_docs):
+    rng = random.Random(15)
+    rows = [(i, "w " * rng.randint(1, 20), rng.choice("abcd")) for i in range(400)] + [(1000, "same words here", "b")] * 30
+    docs = make_docs(rows)
+    sizes = mixing.stored(mixing.shuffled(docs, "doc_id", "text", "source", ["doc_id", "text"]))
+    plan = mixing.passes(mixing.place(sizes))
+    got = plan.withColumn("share", mixing.demand(F.col("position"), F.col("target"), F.col("tilt"))).collect()
+    by_source = defaultdict(list)
+    for r in got:
+        by_source[r.source].append((r.position, r.share, r.pass_words, r.size))
+    for passed in by_source.values():
+        words = 0
+        for _, share, n, _ in sorted(passed):  # all that came before has just met the demand of its time
+            assert abs(share - words) < 1e-6
+            words += n
+    ends = mixing.sorted_by_position(plan, "tie", "pass").select("position").collect()
+    assert [r.position for r in ends] == sorted(r.position for r in got)
+
+
+def test_equal_rows_are_told_apart_in_many_buckets(make_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    docs = make_docs([(None, "one two", "s")] * 100 + [(1, "three", "t")])
+    sizes = mixing.stored(mixing.shuffled(docs, "doc_id", "text", "source", ["doc_id", "text"]))
+    placed = mixing.place(sizes).where("source = 's'").collect()
+    assert sorted(r.before for r in placed) == list(range(0, 200, 2))
+    assert sum(r.taken for r in placed) == int(placed[0].target)
+
+
+def test_mixing_gives_a_position_for_each_pass(spark, make_docs, tmp_path):
+    make_docs([(i, "a b c", "only") for i in range(10)]).write.parquet(str(tmp_path / "documents.parquet"))
+    out = mixing.op9_curriculum_mix(spark, str(tmp_path)).collect()
+    assert all((r.position is not None) == (r.taken > 0) and (r.second_position is not None) == (r.taken > 3) for r in out)
+    assert any(r.second_position for r in out)
+
+
 def test_mixing_edges(make_docs):
     assert mixing.mix(make_docs([])).count() == 0
     assert mixing.mix(make_docs([(1, None), (2, "")])).count() == 0

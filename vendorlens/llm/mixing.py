@@ -14,7 +14,8 @@ A source's stream passes over its documents once, then again; it ends at the
 target, so the document at the end may be taken in part.
 
 Defined cases: a null text has size 0; a null source is the last source;
-rows may repeat, each is a document of its own; a source without words has
+rows may repeat, each is a document of its own (equal rows are summed as one,
+then told apart by their number); a source without words has
 target 0; no rows give no rows. Reruns agree: the shuffle is a hash of doc_id
 and text, and equal rows share what they take in any order.
 """
@@ -34,8 +35,10 @@ SHARE = 1.5
 MOST = 2.0
 TILT = 0.5
 # Documents in one bucket of a source's stream: the window that sums inside a
-# bucket holds about this many rows, whatever the size of the source.
+# bucket holds about this many rows, whatever the size of the source; and equal
+# rows that are told apart in one step.
 BUCKET_ROWS = 4096
+COPIES = 1024
 
 
 def targets(sizes: DataFrame, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -83,14 +86,16 @@ def place(docs: DataFrame, share: float = SHARE, most: float = MOST) -> DataFram
     The running sum is taken in two steps, so that a source with a third of
     all rows is summed by many tasks: sums per (source, bucket of the shuffle
     hash), a running sum over those, then one inside each bucket."""
-    n = docs.count()
-    buckets = max(1, ceil(n / BUCKET_ROWS))
+    payload = docs.columns
+    docs = docs.groupBy(*payload).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("words", F.col("size") * F.col("n_rows"))
+    docs = stored(docs)
+    buckets = max(1, ceil(docs.count() / BUCKET_ROWS))
     docs = docs.withColumn("bucket", F.pmod("shuffle", F.lit(buckets)))
-    sums = docs.groupBy("source", "bucket").agg(F.sum("size").alias("words")).withColumn(
+    sums = docs.groupBy("source", "bucket").agg(F.sum("words").alias("words")).withColumn(
         "base", F.expr("coalesce(sum(words) OVER (PARTITION BY source ORDER BY bucket "
                        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"))
     sums = stored(sums.drop("words"))
-    table = stored(targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), share, most))
+    table = stored(targets(docs.groupBy("source").agg(F.sum("words").alias("source_size")), share, most))
     # null sources meet by a key that is never null
     key = lambda c: F.coalesce(F.concat(F.lit("s"), F.col(c)), F.lit("n"))
     keyed = lambda df: df.withColumn("key", key("source")).drop("source")
@@ -99,10 +104,16 @@ def place(docs: DataFrame, share: float = SHARE, most: float = MOST) -> DataFram
     out = docs.withColumn("key", key("source"))
     out = join_measured(out, both, ["key", "bucket"], "inner", F.length("key") + 64)
     out = out.withColumn("before", F.col("base") + F.expr(
-        "coalesce(sum(size) OVER (PARTITION BY key, bucket ORDER BY shuffle, tie "
+        "coalesce(sum(words) OVER (PARTITION BY key, bucket ORDER BY shuffle, tie "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"))
+    # equal rows apart again: some thousand at a time, dealt to all tasks
+    many = F.lit(COPIES).cast("long")
+    out = out.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_rows") - 1, many))).repartition("shuffle", "at")
+    upto = F.least(F.col("at") + many, F.col("n_rows")) - 1
+    out = out.withColumn("copy", F.explode(F.sequence("at", upto))).withColumn(
+        "before", F.col("before") + F.col("copy") * F.col("size"))
     taken = sum((taken_in_pass(k) for k in range(1, ceil(most))), taken_in_pass(0))
-    return out.withColumn("taken", taken).drop("key", "bucket", "base")
+    return out.withColumn("taken", taken).select(*payload, "source_size", "target", "tilt", "before", "taken")
 
 
 def taken_in_pass(k: int) -> Column:
@@ -170,7 +181,9 @@ def op9_curriculum_mix(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
     sizes = shuffled(docs, "doc_id", "text", "source", ["doc_id", "text"])
     placed = place(stored(sizes.withColumn("doc_id", F.expr("CASE WHEN tie <> 'null' THEN CAST(tie AS BIGINT) END"))))
-    position = F.when(F.col("taken") > 0, training_time(F.col("before"), F.col("target"), F.col("tilt")))
-    placed = placed.withColumn("position", position)
+    for k, name in enumerate(["position", "second_position"]):  # of a document's first word in each pass
+        start = F.lit(k) * F.col("source_size") + F.col("before")
+        placed = placed.withColumn(name, F.when(
+            taken_in_pass(k) > 0, training_time(start, F.col("target"), F.col("tilt"))))
     return sorted_by_position(placed, "doc_id").select(
-        "doc_id", "size", "source_size", "target", "taken", "position")
+        "doc_id", "size", "source_size", "target", "taken", "position", "second_position")

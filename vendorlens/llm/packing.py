@@ -1,7 +1,8 @@
 """Packing documents into training sequences.
 
-Documents are dealt into randomised groups by a hash; each group is packed on
-its own, by first-fit decreasing over a tournament tree of the bins' free
+Documents are dealt into randomised groups by a hash; rows that repeat are
+counted first and dealt as a few copies each, so they spread over all groups.
+Each group is packed on its own, by first-fit decreasing over a tournament tree of the bins' free
 room. Full blocks of a long document are sequences by themselves; the rest of
 each document is one item. What first-fit leaves is small, and it is used up
 by cutting a few items: the emptiest bins are dissolved, their items cut into
@@ -17,7 +18,9 @@ token; doc_ids may be null or repeat, each row is packed; no rows give no rows.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from math import ceil
@@ -34,9 +37,10 @@ LENGTH = 2048
 END_ID = 1
 # Documents in a group on average: what one packing task holds in memory.
 GROUP_DOCS = 4096
-# Distinct words whose ids a worker remembers, twice over; it keeps them for its
-# next task, so they count against the memory of whatever that is.
-CACHE_WORDS = 150_000
+# Equal rows that are dealt together.
+COPIES = 64
+# Distinct words whose ids a task remembers, twice over.
+CACHE_WORDS = 100_000
 # Texts whose new words are encoded in one go, and words in one call.
 TEXTS, TOGETHER = 256, 500
 
@@ -47,6 +51,45 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Lower-case letters whose capital differs by one bit of their last byte.
+LATIN = re.compile("[a-zà-öø-þ]+")
+
+
+class Words:
+    """A tokenizer, which of its tokens close a word, and a faster encoder of
+    its merges. There, a word's last letter is written as a capital: its last
+    byte is then another than inside a word, as this tokenizer has it."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task on every core
+        from tokenizers import Tokenizer
+
+        self.path, self.tokenizer = path, Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.latin = self._latin(vocabulary)
+
+    def _latin(self, vocabulary: dict[str, int]):
+        """None where ids are not in the order of the merges."""
+        model = json.loads(self.tokenizer.to_str())["model"]
+        order = [vocabulary["".join(m.split() if isinstance(m, str) else m)] for m in model.get("merges", [])]
+        if model.get("end_of_word_suffix") != "</w>" or order != sorted(order):
+            return None
+        import tiktoken
+
+        from vendorlens.llm.alignment import byte_letters
+
+        letter, ranks = byte_letters(), {}
+        for token, i in vocabulary.items():
+            stem = token.removesuffix("</w>")
+            if stem and all(x in letter and (0x61 <= letter[x] <= 0x7A or letter[x] == 0xC3 or 0xA0 <= letter[x] < 0xC0)
+                            for x in stem):
+                body = bytes(letter[x] for x in stem)
+                ranks[body[:-1] + bytes([body[-1] - 32]) if stem != token else body] = i
+        return tiktoken.Encoding("words", pat_str=r"\p{L}+", mergeable_ranks=ranks, special_tokens={})
+
+
 def letters_only(word: bytes) -> bool:
     """Whether the tokenizer sees one run of letters in the word."""
     return word.isalpha() or not word.isascii() and normalize("NFC", word.decode()).lower().isalpha()
@@ -63,13 +106,7 @@ class WordIds(dict):
     When full, the words of the time before last are forgotten."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task on every core
-        from tokenizers import Tokenizer
-
-        self.path, self.tokenizer, self.old = path, Tokenizer.from_file(path), {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words, self.old = words_of(path), {}
 
     def _keep(self, words: list[bytes], ids: list[int], cuts: np.ndarray) -> None:
         ids, cuts = np.array(ids, "<u4").tobytes(), (4 * cuts).tolist()
@@ -77,14 +114,22 @@ class WordIds(dict):
             self[w] = ids[a:b]
 
     def _encode(self, words: list[bytes]) -> None:
-        plain, mixed = [], []
+        latin, plain, mixed = [], [], []
         for w in words:
-            (plain if letters_only(w) else mixed).append(w)
+            if self.words.latin and (w.isalpha() or LATIN.fullmatch(w.decode())):
+                latin.append(w)
+            else:
+                (plain if letters_only(w) else mixed).append(w)
+        tokenizer, found = self.words.tokenizer, []
+        for i in range(0, len(latin), TOGETHER):
+            part = latin[i:i + TOGETHER]
+            text = " ".join([w[:-1] + w[-1].upper() for w in b" ".join(part).decode().split(" ")])
+            found.append((part, self.words.latin.encode_ordinary(text)))
         parts = [plain[i:i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(
-                [b" ".join(p).decode() for p in parts], add_special_tokens=False)):
-            ids = found.ids
-            cuts = np.append(0, np.flatnonzero(self.closing[ids]) + 1)
+        found += zip(parts, (x.ids for x in tokenizer.encode_batch_fast(
+            [b" ".join(p).decode() for p in parts], add_special_tokens=False)))
+        for part, ids in found:
+            cuts = np.append(0, np.flatnonzero(self.words.closing[ids]) + 1)
             if len(cuts) == len(part) + 1:
                 self._keep(part, ids, cuts)
             else:
@@ -93,7 +138,7 @@ class WordIds(dict):
             part = mixed[i:i + TOGETHER]
             texts = [w.decode() for w in part]
             starts = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
-            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            found = tokenizer.encode(" ".join(texts), add_special_tokens=False)
             cuts = np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), starts)
             self._keep(part, found.ids, np.append(cuts, len(found.ids)))
 
@@ -120,20 +165,21 @@ class WordIds(dict):
         out = []
         for text, ws, ids in zip(texts, split, found):
             if ids is None:
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+                out.append(np.array(self.words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
             else:
                 out.append(b"".join([self[w] if x is None else x for w, x in zip(ws, ids)] if None in ids else ids))
         return out
 
 
-_ids: WordIds | None = None
+_words: Words | None = None
 
 
-def word_ids(path: str) -> WordIds:
-    global _ids
-    if _ids is None or _ids.path != path:
-        _ids = WordIds(path)
-    return _ids
+def words_of(path: str) -> Words:
+    """Kept by a worker for its next task, without any ids."""
+    global _words
+    if _words is None or _words.path != path:
+        _words = Words(path)
+    return _words
 
 
 def powers(n: int) -> list[int]:
@@ -235,12 +281,13 @@ def pack_items(sizes: np.ndarray, length: int) -> list[list[tuple[int, int, int]
 
 
 def measured(docs: DataFrame, doc_id: str, text: str, path: str, length: int, end_id: int, groups: int) -> DataFrame:
-    """One row per document: doc_id, its group, doc_tokens and the checksums
-    of its possible pieces."""
+    """Documents by equal doc_id, doc_tokens and checksums of the possible
+    pieces: these, their group, and how many they are (COPIES at most, the
+    rest in rows of their own)."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_ids(path)
+        cache = WordIds(path)
         for batch in batches:
             rows = []
             for i in range(0, batch.num_rows, TEXTS):
@@ -251,18 +298,24 @@ def measured(docs: DataFrame, doc_id: str, text: str, path: str, length: int, en
             tokens, full, rest, cuts = zip(*rows) if rows else ((), (), (), ())
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("grp"), pa.array(tokens, pa.int64()),
+                [batch.column("doc_id"), batch.column("h"), pa.array(tokens, pa.int64()),
                  pa.array(full, lists), pa.array(rest, lists), pa.array(cuts, lists)],
-                ["doc_id", "grp", "doc_tokens", "full", "rest", "cuts"])
+                ["doc_id", "h", "doc_tokens", "full", "rest", "cuts"])
 
-    group = F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")), F.lit(groups)).alias("grp")
+    h = F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("h")
     kind = docs.select(F.col(f"`{doc_id}`").alias("doc_id")).schema[0].dataType.simpleString()
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), group, F.col(f"`{text}`").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, grp bigint, doc_tokens bigint, full array<bigint>, rest array<bigint>, cuts array<bigint>")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), h, F.col(f"`{text}`").alias("text")).mapInArrow(
+        run, f"doc_id {kind}, h bigint, doc_tokens bigint, full array<bigint>, rest array<bigint>, cuts array<bigint>")
+    each = ["doc_id", "h", "doc_tokens", "full", "rest", "cuts"]
+    counted = rows.groupBy(*each).agg(F.count(F.lit(1)).alias("n"))
+    some = counted.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))))
+    return some.select("doc_id", F.pmod(F.xxhash64("h", "at"), F.lit(groups)).alias("grp"), "doc_tokens", "full", "rest", "cuts",
+                       F.least(F.col("n") - F.col("at"), F.lit(COPIES)).alias("copies"))
 
 
 def pack_group(table: pa.Table, length: int) -> pa.Table:
     """All pieces of one group's documents, with their sequences."""
+    table = table.take(pa.array(np.repeat(np.arange(table.num_rows), table["copies"].to_numpy())))
     table = table.sort_by([("doc_tokens", "ascending"), ("doc_id", "ascending")])
     first, out, sequence = table["grp"][0].as_py() << 32, [], 0
     tokens = table["doc_tokens"].to_numpy()
