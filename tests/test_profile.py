@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from vendorlens.operators import eda as E
@@ -70,9 +71,40 @@ def test_correlation_pairs(spark):
     assert abs(got[("a", "b")] - 1.0) < 1e-12
 
 
-def test_density_binned_close_to_exact(spark):
+def test_density_close_to_the_kernel_sum_over_all_values(spark):
+    rng = np.random.default_rng(3)
+    vals = np.concatenate([rng.normal(size=3000), rng.uniform(4, 6, 1000)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "m double")
+    got = {r["i"]: r["density"] for r in E.density_curve(df, ["m"], points=50).collect()}
+    h = vals.std(ddof=1) * len(vals) ** -0.2
+    grid = np.linspace(vals.min(), vals.max(), 50)
+    want = np.exp(-0.5 * ((grid[:, None] - vals) / h) ** 2).sum(1) / (len(vals) * h * np.sqrt(2 * np.pi))
+    assert np.allclose([got[i] for i in range(50)], want, rtol=2e-4, atol=1e-6)
+
+
+def test_density_reads_at_most_the_bins(spark):
+    df = spark.range(0, 20_000).select((F.col("id") * 0.37).alias("m"))
+    weights, _ = E.binned(df, ["m"], 100)
+    rows = weights.collect()
+    assert len(rows) == 100 and sum(r["w"] for r in rows) == 20_000 * E.BIN_UNITS
+
+
+def test_density_of_one_value(spark):
+    df = spark.createDataFrame([(2.0,)] * 5, "m double")
+    assert E.binned(df, ["m"], 10)[0].count() == 1 and E.density_curve(df, ["m"], points=3).count() == 3
+
+
+def test_correlation_with_nulls_and_large_ids_equals_pandas(spark):
     rng = np.random.default_rng(4)
-    df = spark.createDataFrame([(float(v),) for v in rng.normal(size=2000)], "m double")
-    exact = {r["i"]: r["density"] for r in E.density_curve(df, ["m"], points=50).collect()}
-    binned = {r["i"]: r["density"] for r in E.density_curve(df, ["m"], points=50, bins=400).collect()}
-    assert max(abs(exact[i] - binned[i]) for i in exact) < 2e-3
+    frame = pd.DataFrame({"a": rng.normal(size=900), "b": rng.integers(10 ** 12, 10 ** 12 + 500, 900).astype(float)})
+    frame["c"] = frame["a"] * 0.3 + rng.normal(size=900)
+    frame["d"] = 5.0
+    frame.loc[rng.random(900) < 0.2, "a"] = None
+    frame.loc[rng.random(900) < 0.3, "c"] = None
+    rows = [tuple(None if pd.isna(x) else x for x in r) for r in frame.itertuples(index=False)]
+    got = {(r["x"], r["y"]): r["r"] for r in E.correlation_matrix(
+        spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(7)).collect()}
+    want = frame.assign(b=frame["b"] - 10 ** 12).corr()  # pandas itself loses digits of large ids
+    for (x, y), r in got.items():
+        assert (r is None) == pd.isna(want[x][y]) and (r is None or abs(r - want[x][y]) < 1e-9)
+    assert len(got) == 6

@@ -4,7 +4,10 @@ box plots and correlation heatmap (charts themselves are not drawn)."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,11 @@ HIST_METRICS = ["lead_time_days", "sales_per_customer", "order_item_quantity", "
 BOX_METRICS = ["sales_per_customer", "lead_time_days", "order_item_quantity", "spend_per_order"]
 DEFAULT_BINS = 10
 GRID_POINTS = 200
+# Points that values are binned on before a density curve, units of a binned
+# value's weight, and rows that a correlation's centre is taken from.
+DENSITY_BINS = 1000
+BIN_UNITS = 1 << 20
+CENTRE_ROWS = 1000
 WHISKER = 1.5
 
 
@@ -44,44 +52,48 @@ def histogram(df: DataFrame, metrics: list[str] = HIST_METRICS, bins: int = DEFA
     )
 
 
+def binned(df: DataFrame, metrics: list[str], bins: int) -> tuple[DataFrame, DataFrame]:
+    """(weights, ranges): linear binning of each metric on ``bins`` points from
+    its min to its max. A value gives its two neighbouring points a share each,
+    by nearness, in whole units of 1 / BIN_UNITS, so sums are exact in any
+    order. At most ``bins`` rows a metric come out, whatever the values."""
+    long = melt(df, metrics)
+    ranges = long.groupBy("metric").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"), F.stddev_samp("v").alias("sd"))
+    width = (F.col("mx") - F.col("mn")) / F.lit(float(bins - 1))
+    at = F.when(F.col("mx") > F.col("mn"), (F.col("v") - F.col("mn")) / width).otherwise(F.lit(0.0))
+    placed = join_small(long, ranges, "metric", "inner").select("metric", at.alias("at"))
+    low = F.least(F.floor("at"), F.lit(bins - 1)).cast("int")
+    share = F.round((F.col("at") - low) * F.lit(float(BIN_UNITS))).cast("long")
+    both = placed.select("metric", F.explode(F.array(
+        F.struct(low.alias("b"), (F.lit(BIN_UNITS) - share).alias("w")),
+        F.struct((low + 1).alias("b"), share.alias("w")))).alias("p")).where("p.w > 0")
+    return both.groupBy("metric", F.col("p.b").alias("b")).agg(F.sum("p.w").alias("w")), ranges
+
+
 def density_curve(df: DataFrame, metrics: list[str] = HIST_METRICS, points: int = GRID_POINTS,
-                  bandwidth: dict | None = None, bins: int | None = None) -> DataFrame:
+                  bandwidth: dict | None = None, bins: int = DENSITY_BINS) -> DataFrame:
     """Gaussian kernel density on an evenly spaced grid from min to max.
 
-    Exact by default: the rows are first reduced to (value, count) pairs
-    per metric, and each pair is expanded over the grid with a generator
-    (no join), so the work is distinct values x grid points. ``bins=N``
-    (opt-in, for continuous columns with very many distinct values) first
-    reduces the values to N equal-width bin centres, bounding the work at
-    N x grid points per metric. Bandwidth defaults to Scott's rule,
-    sample std * n^(-1/5), always from the unbinned values."""
-    long = melt(df, metrics)
-    if bins:
-        rng = long.groupBy("metric").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-        w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-        b = F.least(F.floor((F.col("v") - F.col("lo")) / w), F.lit(bins - 1))
-        centre = F.when(w == 0, F.col("v")).otherwise(F.col("lo") + (b + F.lit(0.5)) * w)
-        vc = join_small(long, rng, "metric", "inner").groupBy("metric", centre.alias("v")) \
-            .agg(F.count(F.lit(1)).alias("c"))
-    else:
-        vc = long.groupBy("metric", "v").agg(F.count(F.lit(1)).alias("c"))
-    st = long.groupBy("metric").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
-        F.stddev_samp("v").alias("sd"),
-    )
+    The values are reduced to at most ``bins`` weighted points a metric (linear
+    binning), which the kernel is convolved with at every grid point: after one
+    aggregate over the rows, the work is bins x grid points however many
+    distinct values there are. Bandwidth defaults to Scott's rule, sample std *
+    n^(-1/5), from the values themselves."""
+    weights, ranges = binned(df, metrics, bins)
     h = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     if bandwidth:
         h = F.coalesce(*[F.when(F.col("metric") == m, F.lit(float(bw))) for m, bw in bandwidth.items()], h)
-    st = st.withColumn("h", h)
-    j = join_small(vc, st, "metric", "inner")
+    j = join_small(weights, ranges.withColumn("h", h), "metric", "inner")
     j = j.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     x = F.col("mn") + F.col("i") * (F.col("mx") - F.col("mn")) / F.lit(float(points - 1))
-    u = (x - F.col("v")) / F.col("h")
-    k = F.col("c") * F.exp(F.lit(-0.5) * u * u)
+    v = F.col("mn") + F.col("b") * ((F.col("mx") - F.col("mn")) / F.lit(float(bins - 1)))
+    u = (x - v) / F.col("h")
+    k = F.col("w") * F.exp(F.lit(-0.5) * u * u)
     g = j.groupBy("metric", "i").agg(
         F.first(x).alias("x"), F.sum(k).alias("k"), F.first("n").alias("n"), F.first("h").alias("h")
     )
-    dens = F.col("k") / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+    dens = F.col("k") / (F.lit(float(BIN_UNITS)) * F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
     return g.select("metric", "i", "x", dens.alias("density"))
 
 
@@ -108,23 +120,44 @@ def box_stats(df: DataFrame, metrics: list[str] = BOX_METRICS, whisker: float =
     return wide.select(F.explode(F.array(*[F.col(m) for m in wide.columns])).alias("s")).select("s.*")
 
 
+def _cross_products(batches: Iterator[pa.RecordBatch], centre: list[float]) -> Iterator[pa.RecordBatch]:
+    """One partition's matrices of counts, sums and products over the rows in
+    which both columns have a value, as a row per pair of columns."""
+    m = len(centre)
+    n, s, ss, xy = (np.zeros((m, m)) for _ in range(4))
+    for batch in batches:
+        x = np.column_stack([np.asarray(c.fill_null(np.nan)) for c in batch.columns]) - centre
+        here = ~np.isnan(x)
+        x[~here] = 0
+        seen = here.astype(float)
+        n += seen.T @ seen
+        s += x.T @ seen
+        ss += (x * x).T @ seen
+        xy += x.T @ x
+    i, j = np.triu_indices(m, 1)
+    columns = {"i": i, "j": j, "n": n[i, j], "sx": s[i, j], "sy": s[j, i], "sxx": ss[i, j], "syy": ss[j, i], "sxy": xy[i, j]}
+    yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], list(columns))
+
+
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson r for every pair (x before y in column order) of numeric
-    columns. Each row is expanded into its (pair, x, y) values and one
-    ``corr`` runs grouped by pair: a single small aggregate with map-side
-    partial results per pair (one giant row-wide aggregate of every pair
-    costs far more to compile than to run)."""
+    columns, over the rows in which both have a value.
+
+    Every partition reduces its rows to one small matrix of cross-products, and
+    the matrices are added: no row is expanded, and the shuffle has one row a
+    pair and partition. Values are taken from a centre near them (the mean of a
+    few rows), since products of large ids would cancel."""
     from .clean import numeric_columns
 
     cols = columns or numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    idx = {c: i for i, c in enumerate(cols)}
-    base = ensure_parallelism(
-        df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)]))
-    xs = F.array(*[F.col(f"c{idx[a]}") for a, _ in pairs])
-    ys = F.array(*[F.col(f"c{idx[b]}") for _, b in pairs])
-    long = base.select(F.posexplode(F.arrays_zip(xs.alias("a"), ys.alias("b"))).alias("k", "v"))
-    r = long.groupBy("k").agg(F.corr("v.a", "v.b").alias("r"))
-    spark = df.sparkSession
-    labels = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, x string, y string")
-    return r.join(F.broadcast(labels), "k").select("x", "y", "r")
+    base = ensure_parallelism(df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)]))
+    near = base.limit(CENTRE_ROWS).agg(*[F.avg(c).alias(c) for c in base.columns]).first()
+    centre = [float(near[c] or 0.0) if near[c] == near[c] else 0.0 for c in base.columns]
+    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    parts = base.mapInArrow(lambda b: _cross_products(b, centre),
+                            "i bigint, j bigint, " + ", ".join(f"{c} double" for c in sums))
+    whole = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
+    spread = F.sqrt((F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")) * (F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")))
+    r = F.when(spread > 0, (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / spread)
+    name = F.array(*map(F.lit, cols))
+    return whole.select(F.get(name, F.col("i").cast("int")).alias("x"), F.get(name, F.col("j").cast("int")).alias("y"), r.alias("r"))
