@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quantiles import exact_quantiles_many
+from ..sources.files import REASON
 
 # Columns removed before analysis (fixed values: personal data and a
 # non-analytical image link).
@@ -112,9 +113,11 @@ def validation_report(
     spend_col: str = "sales_per_customer",
     days_col: str = "days_for_shipping_real",
     key_col: str = "order_item_id",
+    rejected: DataFrame | None = None,
 ) -> DataFrame:
     """One row: negative spend rows, shipping-day outliers (< 0 or > 90),
-    and rows whose key repeats an earlier key (null counts as a key).
+    and rows whose key repeats an earlier key (null counts as a key); with
+    ``rejected`` rows (set aside while reading or parsing), how many they are.
 
     One shuffle: rows are grouped by key with partial aggregation on the map
     side, so a hot key costs one row per task, not a third of the data in
@@ -124,11 +127,13 @@ def validation_report(
         F.count_if(F.col(spend_col) < 0).alias("neg"),
         F.count_if((F.col(days_col) < LEAD_TIME_MIN) | (F.col(days_col) > LEAD_TIME_MAX)).alias("out"),
     )
-    return per_key.agg(
+    counted = [] if rejected is None else [rejected.agg(F.count(F.lit(1))).scalar().alias("rejected_rows")]
+    report = per_key.agg(
         F.coalesce(F.sum("neg"), F.lit(0)).cast("long").alias("negative_spend"),
         F.coalesce(F.sum("out"), F.lit(0)).cast("long").alias("lead_time_outliers"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_orders"),
     )
+    return report.select("*", *counted)
 
 
 def drop_pii(df: DataFrame, columns: list[str] = PII_COLUMNS) -> DataFrame:
@@ -144,12 +149,13 @@ TIMESTAMP_FORMATS = ("iso", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy")
 def parse_timestamps(df: DataFrame, columns=("order_date_dateorders", "shipping_date_dateorders"),
                      fmt: str | list[str] | tuple[str, ...] = TIMESTAMP_FORMATS, on_error: str = "raise") -> DataFrame:
     """String (or timestamp) -> timestamp without time zone. A string that no
-    format fits fails the job; ``on_error="null"`` makes it null instead, to
-    be counted (``unparsed_timestamps``) before rows with nulls go."""
-    if on_error not in ("raise", "null"):
-        raise ValueError(f"on_error is 'raise' or 'null', not {on_error!r}")
+    format fits fails the job; ``on_error="null"`` makes it null instead, and
+    ``on_error="quarantine"`` also says why in the column ``reject_reason``, by
+    which ``files.set_aside`` splits the rows."""
+    if on_error not in ("raise", "null", "quarantine"):
+        raise ValueError(f"on_error is 'raise', 'null' or 'quarantine', not {on_error!r}")
     types = {f.name: f.dataType for f in df.schema.fields}
-    out = []
+    out, reasons = [], [F.col(REASON)] if REASON in df.columns else []
     for c in df.columns:
         col = F.col(f"`{c}`")
         if c in columns and isinstance(types[c], T.StringType):
@@ -157,11 +163,15 @@ def parse_timestamps(df: DataFrame, columns=("order_date_dateorders", "shipping_
             if on_error == "raise":
                 e = F.when(col.isNull() | e.isNotNull(), e).otherwise(
                     F.raise_error(F.concat(F.lit(f"{c}: not a timestamp: "), col)).cast("timestamp_ntz"))
+            reasons.append(F.when(col.isNotNull() & e.isNull(), F.concat(F.lit(f"{c}: not a timestamp: "), col)))
             out.append(e.alias(c))
         elif c in columns and isinstance(types[c], T.TimestampType):
             out.append(col.cast("timestamp_ntz").alias(c))
         else:
             out.append(col)
+    if on_error == "quarantine":
+        out = [c for c, name in zip(out, df.columns) if name != REASON]
+        out.append(F.coalesce(*reasons, F.lit(None).cast("string")).alias(REASON))
     return df.select(*out)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quantiles import exact_quantiles_many
-from ..plans.sizing import ensure_parallelism
+from ..plans.sizing import ensure_parallelism, join_small
 from .clean import null_counts, numeric_columns
 
 
@@ -54,9 +54,20 @@ def profile_describe(df: DataFrame, columns: list[str] | None = None) -> DataFra
     )
 
 
+def row_hashes(df: DataFrame) -> list:
+    """Two 64-bit hashes of a whole row; which columns are null counts too."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    nulls = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
+    return [F.xxhash64(F.lit(seed), nulls, *cols).alias(f"__h{seed}") for seed in (1, 2)]
+
+
 def dup_rows(df: DataFrame) -> DataFrame:
-    """Rows identical to an earlier row (one row, one count)."""
-    g = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("n"))
+    """Rows identical to an earlier row (one row, one count). Hashes of the
+    rows are counted first; only rows whose hash repeats are compared whole."""
+    hashed = df.select("*", *row_hashes(df))
+    again = hashed.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__h1", "__h2")
+    same = join_small(hashed, again, ["__h1", "__h2"], "left_semi")
+    g = same.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("n"))
     return g.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import week_sunday
-from ..plans.sizing import join_small, number_rows
+from ..plans.sizing import fits_broadcast, join_small, measure, number_rows, skew_split_join
 
 # Order used to keep one row per repeated item id (the test data repeats
 # some (order, line) pairs; the declared primary key forbids that). The
@@ -86,17 +86,28 @@ def dim_date(clean: DataFrame) -> DataFrame:
 
 
 def dedupe_items(clean: DataFrame, key: str = "order_item_id", order=FACT_DEDUP_ORDER) -> DataFrame:
-    """Keep the first row of each key under a total order.
+    """Keep the first row of each key under a total order, in two phases.
 
-    A min over a struct (order columns first, then the remaining payload) has
-    a map-side partial step, so a key that repeats across a third of the table
-    reduces to one row per task before the shuffle - unlike a row_number
-    window, which would sort that key's rows in one task. The buffer holds
-    strings, so Spark aggregates by sorting each task's rows."""
+    Keys are counted first, which moves keys only. Rows whose key occurs once
+    (nearly all) pass through untouched; only rows of repeated keys, or without
+    a key, are ordered: a min over a struct (order columns first, then the
+    remaining payload), which has a map-side step, so a key that repeats across
+    a third of the table is one row per task before the shuffle."""
     rest = sorted(c for c in clean.columns if c != key and c not in order)
     cols = [c for c in order if c in clean.columns] + rest
-    first = clean.groupBy(key).agg(F.min(F.struct(*cols)).alias("r"))
-    return first.select(key, *[F.col(f"r.{c}").alias(c) for c in cols]).select(*clean.columns)
+    counts = clean.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    again, n, width = measure(counts.where(F.col("__n") > 1).select(key))
+
+    def split(how: str) -> DataFrame:
+        keyed = clean.where(F.col(key).isNotNull())
+        if fits_broadcast(n, width):
+            return keyed.join(F.broadcast(again), key, how)
+        return skew_split_join(keyed, again, key, how)
+
+    repeats = split("left_semi").unionByName(clean.where(F.col(key).isNull()))
+    first = repeats.groupBy(key).agg(F.min(F.struct(*cols)).alias("r"))
+    kept = first.select(key, *[F.col(f"r.{c}").alias(c) for c in cols])
+    return split("left_anti").select(*clean.columns).unionByName(kept.select(*clean.columns))
 
 
 def fact_orders(clean: DataFrame, regions: DataFrame, with_shipping_mode: bool = True) -> DataFrame:
@@ -135,8 +146,10 @@ def fact_orders(clean: DataFrame, regions: DataFrame, with_shipping_mode: bool =
 def fact_add_shipping_mode(fact: DataFrame, clean: DataFrame) -> DataFrame:
     """Add shipping_mode by joining back on item id (left join, so fact rows
     without a match keep null). A repeated item id contributes the mode of the
-    row that the fact keeps, so the join cannot multiply fact rows."""
-    modes = dedupe_items(clean).select("order_item_id", "shipping_mode")
+    row that the fact keeps, so the join cannot multiply fact rows. Only the
+    columns that decide which row that is are read."""
+    upto = FACT_DEDUP_ORDER[:FACT_DEDUP_ORDER.index("shipping_mode") + 1]
+    modes = dedupe_items(clean.select("order_item_id", *upto)).select("order_item_id", "shipping_mode")
     base = fact.drop("shipping_mode") if "shipping_mode" in fact.columns else fact
     return base.join(modes, "order_item_id", "left").select(*base.columns, "shipping_mode")
 

@@ -1,9 +1,10 @@
 """The reporting views over the star schema, one function each.
 
-Pattern throughout: aggregate the fact first (map-side partial
-aggregation, immune to a hot vendor or category), then join the much
-smaller per-key result to the dimensions. For an inner join on a unique
-dimension key this equals joining first and grouping after.
+Pattern throughout: the fact is reduced once to mergeable partial aggregates
+per (month, product, vendor), and every view merges those (counts and sums are
+added, extremes compared) before it joins a dimension. For an inner join on a
+unique dimension key this equals joining first and grouping after. A view
+function takes the fact itself or its partials.
 """
 
 from __future__ import annotations
@@ -17,21 +18,44 @@ from ..plans.sizing import join_small, scalars
 SHARE_T = "decimal(10,4)"
 
 
-def _vendor_fact_stats(fact: DataFrame) -> DataFrame:
-    """Everything the vendor views need, in one aggregate over the fact."""
+# Partial aggregates by how two of them merge.
+ADDED = ["n_items", "n_spend", "spend", "units", "n_lead", "s_lead", "ss_lead", "n_late", "s_late"]
+LEAST, MOST = "min_lead", "max_lead"
+PARTIAL_KEYS = ["order_month", "product_id", "vendor_id"]
+
+
+def fact_partials(fact: DataFrame) -> DataFrame:
+    """One row per (month, product, vendor) with everything that the views
+    need. ``order_month`` (year * 100 + month) is the partition to rebuild when
+    items of a month change."""
     x = F.col("lead_time_days").cast("long")
-    return fact.groupBy("vendor_id").agg(
-        F.count("order_item_id").alias("total_orders"),
-        F.sum("spend_per_order").alias("total_spend"),
-        F.count("spend_per_order").alias("n_spend"),
-        F.sum("order_quantity").alias("total_units_ordered"),
-        F.count("lead_time_days").alias("n_lead"),
-        F.sum(x).alias("s_lead"),
-        F.sum(x * x).alias("ss_lead"),
-        F.min("lead_time_days").alias("min_lead_time"),
-        F.max("lead_time_days").alias("max_lead_time"),
-        F.sum("late_delivery_flag").alias("late_orders"),
-        F.count("late_delivery_flag").alias("n_late"),
+    month = (F.year("order_date") * 100 + F.month("order_date")).alias("order_month")
+    return fact.groupBy(month, "product_id", "vendor_id").agg(
+        F.count("order_item_id").alias("n_items"), F.count("spend_per_order").alias("n_spend"),
+        F.sum("spend_per_order").alias("spend"), F.sum("order_quantity").alias("units"),
+        F.count("lead_time_days").alias("n_lead"), F.sum(x).alias("s_lead"), F.sum(x * x).alias("ss_lead"),
+        F.count("late_delivery_flag").alias("n_late"), F.sum("late_delivery_flag").alias("s_late"),
+        F.min("lead_time_days").alias(LEAST), F.max("lead_time_days").alias(MOST),
+    )
+
+
+def merged(partials: DataFrame, *keys: str) -> DataFrame:
+    """Partials merged by ``keys``."""
+    return partials.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ADDED], F.min(LEAST).alias(LEAST), F.max(MOST).alias(MOST))
+
+
+def _partials(source: DataFrame) -> DataFrame:
+    return source if "n_items" in source.columns else fact_partials(source)
+
+
+def _vendor_fact_stats(source: DataFrame) -> DataFrame:
+    """Everything the vendor views need, one row per vendor."""
+    return merged(_partials(source), "vendor_id").select(
+        "vendor_id", F.col("n_items").alias("total_orders"), F.col("spend").alias("total_spend"), "n_spend",
+        F.col("units").alias("total_units_ordered"), "n_lead", "s_lead", "ss_lead",
+        F.col(LEAST).alias("min_lead_time"), F.col(MOST).alias("max_lead_time"),
+        F.col("s_late").alias("late_orders"), "n_late",
     )
 
 
@@ -59,23 +83,23 @@ def _late_pct(digits: int = 2):
     return round_ratio("100 * late_orders", "n_late", digits).alias("late_delivery_rate_pct")
 
 
-def vw_vendor_spend(fact: DataFrame, dim_vendor: DataFrame) -> DataFrame:
+def vw_vendor_spend(source: DataFrame, dim_vendor: DataFrame) -> DataFrame:
     """Items, total and mean spend, units per vendor (items, not orders)."""
-    j = _with_vendor(_vendor_fact_stats(fact), dim_vendor)
+    j = _with_vendor(_vendor_fact_stats(source), dim_vendor)
     return j.select("vendor_id", "vendor_name", "vendor_tier", *_spend_cols(), "total_units_ordered")
 
 
-def vw_vendor_lead_time(fact: DataFrame, dim_vendor: DataFrame) -> DataFrame:
+def vw_vendor_lead_time(source: DataFrame, dim_vendor: DataFrame) -> DataFrame:
     """Count, mean, population std, min and max lead time per vendor."""
-    j = _with_vendor(_vendor_fact_stats(fact), dim_vendor)
+    j = _with_vendor(_vendor_fact_stats(source), dim_vendor)
     return j.select(
         "vendor_id", "vendor_name", F.col("total_orders").alias("order_count"), *_lead_cols(),
         "min_lead_time", "max_lead_time",
     )
 
 
-def vw_vendor_late_rate(fact: DataFrame, dim_vendor: DataFrame) -> DataFrame:
-    j = _with_vendor(_vendor_fact_stats(fact), dim_vendor)
+def vw_vendor_late_rate(source: DataFrame, dim_vendor: DataFrame) -> DataFrame:
+    j = _with_vendor(_vendor_fact_stats(source), dim_vendor)
     return j.select("vendor_id", "vendor_name", "total_orders", "late_orders", _late_pct())
 
 
@@ -89,19 +113,24 @@ def late_rate_by_shipping_mode(fact: DataFrame) -> DataFrame:
     return g.withColumn("Late_delivery_rate", pct).orderBy(F.desc("Late_delivery_rate"))
 
 
-def _category_vendor_spend(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Spend per (category, vendor) through the product dimension. The fact
-    is first reduced to (product, vendor) sums, so the join to the product
-    dimension moves one row per pair instead of one per item."""
-    pv = fact.groupBy("product_id", "vendor_id").agg(F.sum("spend_per_order").alias("spend"))
+def category_vendor(source: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Partials per (category, vendor) through the product dimension. They are
+    merged to (product, vendor) first, so the join to the product dimension
+    moves one row per pair instead of one per item."""
+    pv = merged(_partials(source), "product_id", "vendor_id")
     j = pv.join(dim_product.select("product_id", "category_name"), "product_id", "inner")
-    return j.groupBy("category_name", "vendor_id").agg(F.sum("spend").alias("vendor_spend"))
+    return merged(j, "category_name", "vendor_id")
+
+
+def _by_category_vendor(source: DataFrame, dim_product: DataFrame) -> DataFrame:
+    stored = "category_name" in source.columns and "n_items" in source.columns
+    return source if stored else category_vendor(source, dim_product)
 
 
-def vw_category_hhi(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
+def vw_category_hhi(source: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Per (category, vendor): spend, share (4 dp) and squared share (4 dp).
     Category totals are category-sized and broadcast after measurement."""
-    vcs = _category_vendor_spend(fact, dim_product)
+    vcs = _by_category_vendor(source, dim_product).select("category_name", "vendor_id", F.col("spend").alias("vendor_spend"))
     totals = vcs.groupBy("category_name").agg(F.sum("vendor_spend").alias("category_total"))
     j = join_small(vcs, totals, "category_name", "inner")
     share = safe_ratio("vendor_spend", "category_total")
@@ -142,15 +171,13 @@ def vw_single_source(category_hhi: DataFrame, hhi_by_category: DataFrame) -> Dat
     return top.join(hhi_by_category.select("category_name", "vendor_count"), "category_name", "inner")
 
 
-def vw_disruption_exposure(single_source: DataFrame, fact: DataFrame, dim_vendor: DataFrame,
+def vw_disruption_exposure(single_source: DataFrame, source: DataFrame, dim_vendor: DataFrame,
                            hhi_by_category: DataFrame) -> DataFrame:
     """Top vendor per category with its vendor-wide lead time and late rate
-    and the category's HHI. Only the top vendors' items are aggregated: the
-    fact is semi-joined to them (category-sized, measured) first."""
+    and the category's HHI."""
     ss = single_source.select("category_name", F.col("sole_vendor_id").alias("vendor_id"),
                               "market_share", F.col("category_spend").alias("spend_at_risk"))
-    wanted = join_small(fact, ss.select("vendor_id").distinct(), "vendor_id", "left_semi")
-    st = _with_vendor(_vendor_fact_stats(wanted), dim_vendor).select(
+    st = _with_vendor(_vendor_fact_stats(source), dim_vendor).select(
         "vendor_id", "vendor_name", "vendor_tier", *_lead_cols(), _late_pct()
     )
     h = hhi_by_category.select("category_name", "hhi_score", "concentration_band")
@@ -160,10 +187,10 @@ def vw_disruption_exposure(single_source: DataFrame, fact: DataFrame, dim_vendor
     )
 
 
-def vw_vendor_risk_master(fact: DataFrame, dim_vendor: DataFrame, scores_imported: DataFrame) -> DataFrame:
+def vw_vendor_risk_master(source: DataFrame, dim_vendor: DataFrame, scores_imported: DataFrame) -> DataFrame:
     """Spend, lead time and late rate per vendor (one fused aggregate), left
     joined to the imported risk scores."""
-    j = _with_vendor(_vendor_fact_stats(fact), dim_vendor)
+    j = _with_vendor(_vendor_fact_stats(source), dim_vendor)
     base = j.select(
         "vendor_id", "vendor_name", "vendor_tier", *_spend_cols(), *_lead_cols(), _late_pct()
     )
@@ -181,26 +208,20 @@ def vw_dual_sourcing_recommendations(top12_imported: DataFrame, dim_vendor: Data
     ).orderBy("rank_order")
 
 
-def vw_kpi_summary(fact: DataFrame, dim_product: DataFrame, mc_imported: DataFrame,
-                   risk_master: DataFrame, top12_imported: DataFrame) -> DataFrame:
-    """One row of headline figures; the four trailing figures are scalar
-    subqueries over the result tables."""
-    pv = fact.groupBy("product_id", "vendor_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("spend_per_order").alias("spend"),
-        F.count("lead_time_days").alias("n_lead"),
-        F.sum("lead_time_days").alias("s_lead"),
-        F.count("late_delivery_flag").alias("n_late"),
-        F.sum("late_delivery_flag").alias("s_late"),
-    )
-    j = pv.join(dim_product.select("product_id", "category_name"), "product_id", "inner")
+def vw_kpi_summary(source: DataFrame, dim_product: DataFrame, mc_imported: DataFrame,
+                   scores_imported: DataFrame, top12_imported: DataFrame) -> DataFrame:
+    """One row of headline figures from the (category, vendor) partials; the
+    trailing figures are scalar subqueries over the result tables. Vendors at
+    critical risk count if the fact has items of theirs."""
+    cv = _by_category_vendor(source, dim_product)
     mc_n = mc_imported.agg(F.count(F.lit(1)).alias("v")).scalar()
-    crit = risk_master.where(F.col("risk_band") == "Critical").agg(F.count(F.lit(1))).scalar()
+    critical = scores_imported.where(F.col("risk_band") == "Critical").select(F.col("vendor").alias("vendor_id"))
+    crit = critical.join(cv.select("vendor_id"), "vendor_id", "left_semi").agg(F.count(F.lit(1))).scalar()
     t12 = scalars(top12_imported.agg(
         F.round(F.sum("spend_at_risk"), 0).alias("sar"),
         F.round(F.sum("disruption_exposure"), 0).alias("exp"),
     ))
-    return j.agg(
+    return cv.agg(
         F.count_distinct("vendor_id").alias("total_vendors"),
         F.count_distinct("category_name").alias("total_categories"),
         F.round(F.sum("spend"), 0).alias("total_spend"),
@@ -217,24 +238,11 @@ def vw_kpi_summary(fact: DataFrame, dim_product: DataFrame, mc_imported: DataFra
     )
 
 
-def vw_category_concentration(fact: DataFrame, dim_product: DataFrame, dim_vendor: DataFrame,
+def vw_category_concentration(source: DataFrame, dim_product: DataFrame, dim_vendor: DataFrame,
                               hhi_by_category: DataFrame, single_source: DataFrame) -> DataFrame:
     """HHI, top vendor and the category's spend, mean lead time and late
-    percent. The original joins the fact through a correlated IN on the
-    product dimension; as product ids are unique that is the equi-join
-    fact -> product -> category used here (fact reduced per product first)."""
-    per_product = fact.groupBy("product_id").agg(
-        F.sum("spend_per_order").alias("spend"),
-        F.count("lead_time_days").alias("n_lead"),
-        F.sum("lead_time_days").alias("s_lead"),
-        F.count("late_delivery_flag").alias("n_late"),
-        F.sum("late_delivery_flag").alias("s_late"),
-    )
-    per_cat = per_product.join(dim_product.select("product_id", "category_name"), "product_id", "inner") \
-        .groupBy("category_name").agg(
-            F.sum("spend").alias("spend"), F.sum("n_lead").alias("n_lead"), F.sum("s_lead").alias("s_lead"),
-            F.sum("n_late").alias("n_late"), F.sum("s_late").alias("s_late"),
-        )
+    percent, the category's figures merged from its vendors' partials."""
+    per_cat = merged(_by_category_vendor(source, dim_product), "category_name")
     head = hhi_by_category.join(single_source.select("category_name", "market_share", "sole_vendor_id"),
                                 "category_name", "inner") \
         .join(dim_vendor.select(F.col("vendor_id").alias("sole_vendor_id"), "vendor_name"), "sole_vendor_id", "inner")

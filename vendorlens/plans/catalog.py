@@ -15,6 +15,7 @@ from ..operators import disruption as D
 from ..operators import features as FE
 from ..operators import scoring as S
 from ..operators import star as ST
+from ..operators import views as V
 from ..schemas import as_imported
 from ..session import shared_path
 from ..sources.orders import raw_order_items, sources_null_free
@@ -57,6 +58,14 @@ def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.parquet(path)
 
 
+def write_partials(fact: DataFrame, path: str) -> None:
+    """Write the fact's partial aggregates by month. Only the months that
+    ``fact`` has are (re)written, so after a change it is enough to pass the
+    items of the changed months; the other months' partials stay."""
+    (V.fact_partials(fact).hint("rebalance", "order_month").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("order_month").parquet(path))
+
+
 class Catalog:
     """Tables of one data directory, built on first use."""
 
@@ -81,6 +90,11 @@ class Catalog:
         the lead-time filter inside the join instead."""
         return write_table(self.raw, "raw_items")
 
+    @cached_property
+    def raw_full(self) -> DataFrame:
+        """The raw items with the columns that cleaning removes or fills."""
+        return write_table(raw_order_items(self.spark, self.sf_dir, self.vendor, self.category, full=True), "raw_full")
+
     @cached_property
     def _null_free(self) -> bool:
         return sources_null_free(self.spark, self.sf_dir)
@@ -167,26 +181,34 @@ class Catalog:
         return as_imported(self.top12, "top12_dual_sourcing")
 
 
-    # --- shared views (lazy; their size-checked small sides are measured once)
+    # --- stored partial aggregates: the only scans of the fact by the views
+    @cached_property
+    def partials(self) -> DataFrame:
+        """The fact's mergeable aggregates, partitioned by month."""
+        path = shared_path(self.spark, "fact_partials")
+        write_partials(self.fact, path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def category_vendor(self) -> DataFrame:
+        return write_table(V.category_vendor(self.partials, self.dim_product), "category_vendor")
+
+    # --- shared views (their size-checked small sides are measured once)
     @cached_property
     def vw_category_hhi(self) -> DataFrame:
-        from ..operators import views as V
-        return V.vw_category_hhi(self.fact, self.dim_product)
+        return write_table(V.vw_category_hhi(self.category_vendor, self.dim_product), "vw_category_hhi")
 
     @cached_property
     def vw_hhi_by_category(self) -> DataFrame:
-        from ..operators import views as V
         return V.vw_hhi_by_category(self.vw_category_hhi)
 
     @cached_property
     def vw_single_source(self) -> DataFrame:
-        from ..operators import views as V
         return V.vw_single_source(self.vw_category_hhi, self.vw_hhi_by_category)
 
     @cached_property
     def vw_vendor_risk_master(self) -> DataFrame:
-        from ..operators import views as V
-        return V.vw_vendor_risk_master(self.fact, self.dim_vendor, self.scores_imported)
+        return V.vw_vendor_risk_master(self.partials, self.dim_vendor, self.scores_imported)
 
     # --- SQL access --------------------------------------------------------
     def register_views(self) -> list[str]:
@@ -194,8 +216,6 @@ class Catalog:
         so the reference's queries run as ``spark.sql("SELECT ... FROM
         vw_kpi_summary")``. Views stay lazy DataFrames over the stored
         tables."""
-        from ..operators import views as V
-
         hhi, by_cat, single = self.vw_category_hhi, self.vw_hhi_by_category, self.vw_single_source
         master = self.vw_vendor_risk_master
         named = {
@@ -208,20 +228,20 @@ class Catalog:
             "vendor_risk_scores": self.scores_imported,
             "monte_carlo_results": self.mc_imported,
             "top12_dual_sourcing": self.top12_imported,
-            "vw_vendor_spend": V.vw_vendor_spend(self.fact, self.dim_vendor),
-            "vw_vendor_lead_time": V.vw_vendor_lead_time(self.fact, self.dim_vendor),
-            "vw_vendor_late_rate": V.vw_vendor_late_rate(self.fact, self.dim_vendor),
+            "vw_vendor_spend": V.vw_vendor_spend(self.partials, self.dim_vendor),
+            "vw_vendor_lead_time": V.vw_vendor_lead_time(self.partials, self.dim_vendor),
+            "vw_vendor_late_rate": V.vw_vendor_late_rate(self.partials, self.dim_vendor),
             "vw_category_hhi": hhi,
             "vw_hhi_by_category": by_cat,
             "vw_single_source": single,
-            "vw_disruption_exposure": V.vw_disruption_exposure(single, self.fact, self.dim_vendor, by_cat),
+            "vw_disruption_exposure": V.vw_disruption_exposure(single, self.partials, self.dim_vendor, by_cat),
             "vw_vendor_risk_master": master,
             "vw_dual_sourcing_recommendations": V.vw_dual_sourcing_recommendations(
                 self.top12_imported, self.dim_vendor),
-            "vw_kpi_summary": V.vw_kpi_summary(self.fact, self.dim_product, self.mc_imported, master,
-                                               self.top12_imported),
+            "vw_kpi_summary": V.vw_kpi_summary(self.category_vendor, self.dim_product, self.mc_imported,
+                                               self.scores_imported, self.top12_imported),
             "vw_category_concentration": V.vw_category_concentration(
-                self.fact, self.dim_product, self.dim_vendor, by_cat, single),
+                self.category_vendor, self.dim_product, self.dim_vendor, by_cat, single),
             "vw_yoy_spend": V.vw_yoy_spend(self.fact, self.dim_vendor, self.dim_date),
         }
         for name, df in named.items():

@@ -19,7 +19,7 @@ from ..operators import profile as P
 from ..operators import scoring as S
 from ..operators import star as ST
 from ..operators import views as V
-from ..schemas import TABLES
+from ..schemas import TABLES, conform
 from ..session import shared_path
 from .sizing import materialize
 from ..sources import files
@@ -71,8 +71,38 @@ def _q(fn: Callable[[Catalog], DataFrame], **bind) -> Query:
 
 
 def _load_typed_csv(cat: Catalog) -> DataFrame:
-    clean = cat.clean
-    return _csv_round_trip(clean, "clean_csv", clean.schema)
+    """The clean items as a file of all staging columns (CRLF line ends),
+    loaded by position into the declared staging table."""
+    path = shared_path(cat.spark, "staging_csv")
+    files.write_csv(conform(cat.clean, TABLES["staging_orders"]), path, line_end="\r\n")
+    return files.load_typed_csv(cat.spark, path, TABLES["staging_orders"])
+
+
+def _full(cat: Catalog) -> DataFrame:
+    return C.normalise_columns(cat.raw_full)
+
+
+def _dates_as_text(cat: Catalog) -> DataFrame:
+    """The raw items with their dates as text, as a file has them: three
+    formats side by side, and no shipping date where an order is pending."""
+    df = _normalised(cat)
+    day = lambda c, f: F.date_format(c, f)
+    text = lambda c: F.when(F.col("order_item_quantity") % 3 == 0, day(c, "yyyy-MM-dd HH:mm:ss")).when(
+        F.col("order_item_quantity") % 3 == 1, day(c, "M/d/yyyy H:mm")).otherwise(day(c, "M/d/yyyy H:mm:ss"))
+    shipped = F.when(F.col("order_status") == "P", F.lit("pending")).otherwise(text("shipping_date_dateorders"))
+    return df.withColumn("order_date_dateorders", text("order_date_dateorders")).withColumn("shipping_date_dateorders", shipped)
+
+
+def _parsed(cat: Catalog) -> tuple[DataFrame, DataFrame]:
+    """Rows whose text dates parse, and the others with a reason: one pass."""
+    if "_parsed_dates" not in cat.__dict__:
+        cat.__dict__["_parsed_dates"] = files.set_aside(C.parse_timestamps(_dates_as_text(cat), on_error="quarantine"))
+    return cat.__dict__["_parsed_dates"]
+
+
+def _view_row_counts(cat: Catalog) -> DataFrame:
+    names = cat.register_views()
+    return cat.spark.sql(" UNION ALL ".join(f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {v}" for v in names))
 
 
 def _scan_clean_csv(cat: Catalog) -> DataFrame:
@@ -139,16 +169,17 @@ def _fk_check(cat: Catalog) -> DataFrame:
 
 def _disruption_exposure_view(cat: Catalog) -> DataFrame:
     _, by_cat, single = _hhi_views(cat)
-    return V.vw_disruption_exposure(single, cat.fact, cat.dim_vendor, by_cat)
+    return V.vw_disruption_exposure(single, cat.partials, cat.dim_vendor, by_cat)
 
 
 def _category_concentration(cat: Catalog) -> DataFrame:
     _, by_cat, single = _hhi_views(cat)
-    return V.vw_category_concentration(cat.fact, cat.dim_product, cat.dim_vendor, by_cat, single)
+    return V.vw_category_concentration(cat.category_vendor, cat.dim_product, cat.dim_vendor, by_cat, single)
 
 
 def _kpi(cat: Catalog) -> DataFrame:
-    return V.vw_kpi_summary(cat.fact, cat.dim_product, cat.mc_imported, _risk_master(cat), cat.top12_imported)
+    return V.vw_kpi_summary(
+        cat.category_vendor, cat.dim_product, cat.mc_imported, cat.scores_imported, cat.top12_imported)
 
 
 def _describe(cat: Catalog) -> DataFrame:
@@ -163,12 +194,14 @@ def _box(cat: Catalog) -> DataFrame:
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     # cleaning and features
-    q["drop_sparse_columns"] = _q(lambda c: C.drop_sparse_columns(_normalised(c)))
-    q["impute_median"] = _q(lambda c: C.impute_median(_normalised(c)))
-    q["drop_null_rows"] = _q(lambda c: C.drop_null_rows(_normalised(c)))
-    q["drop_pii"] = _q(lambda c: C.drop_pii(_normalised(c)))
-    q["parse_timestamps"] = _q(lambda c: C.parse_timestamps(_normalised(c)).select(
+    q["drop_sparse_columns"] = _q(lambda c: C.drop_sparse_columns(_full(c)))
+    q["impute_median"] = _q(lambda c: C.impute_median(C.drop_sparse_columns(_full(c))))
+    q["drop_null_rows"] = _q(lambda c: C.drop_null_rows(C.impute_median(C.drop_sparse_columns(_full(c)))))
+    q["drop_pii"] = _q(lambda c: C.drop_pii(_full(c)))
+    q["parse_timestamps"] = _q(lambda c: _parsed(c)[0].select(
         "order_item_id", "order_date_dateorders", "shipping_date_dateorders"))
+    q["quarantined_rows"] = _q(lambda c: _parsed(c)[1].select("order_item_id", files.REASON))
+    q["quarantine_report"] = _q(lambda c: C.validation_report(_parsed(c)[0], rejected=_parsed(c)[1]))
     q["validation_report"] = _q(lambda c: C.validation_report(c.validated))
     q["lead_time_days"] = _q(lambda c: _with_lead(c).select("order_item_id", "order_customer_id", "lead_time_days"))
     q["filter_lead_time"] = _q(lambda c: C.filter_lead_time(_with_lead(c)).select(*CLEAN_COLUMNS[:24]))
@@ -183,7 +216,7 @@ def queries() -> dict[str, Query]:
     q["clean_items"] = _q(lambda c: c.clean)
 
     # profiling and previews
-    q["profile_nulls"] = _q(lambda c: P.profile_nulls(_normalised(c)))
+    q["profile_nulls"] = _q(lambda c: P.profile_nulls(_full(c)))
     q["profile_describe"] = _q(_describe)
     q["dup_rows"] = _q(lambda c: P.dup_rows(_normalised(c)))
     q["dup_keys"] = _q(lambda c: P.dup_keys(_normalised(c), "order_item_id"))
@@ -240,9 +273,9 @@ def queries() -> dict[str, Query]:
     q["dual_sourcing_topn"] = _q(lambda c: c.top12)
 
     # SQL views
-    q["vw_vendor_spend"] = _q(lambda c: V.vw_vendor_spend(c.fact, c.dim_vendor))
-    q["vw_vendor_lead_time"] = _q(lambda c: V.vw_vendor_lead_time(c.fact, c.dim_vendor))
-    q["vw_vendor_late_rate"] = _q(lambda c: V.vw_vendor_late_rate(c.fact, c.dim_vendor))
+    q["vw_vendor_spend"] = _q(lambda c: V.vw_vendor_spend(c.partials, c.dim_vendor))
+    q["vw_vendor_lead_time"] = _q(lambda c: V.vw_vendor_lead_time(c.partials, c.dim_vendor))
+    q["vw_vendor_late_rate"] = _q(lambda c: V.vw_vendor_late_rate(c.partials, c.dim_vendor))
     q["vw_category_hhi"] = _q(lambda c: _hhi_views(c)[0])
     q["vw_hhi_by_category"] = _q(lambda c: _hhi_views(c)[1])
     q["late_rate_by_shipping_mode"] = _q(lambda c: V.late_rate_by_shipping_mode(c.fact))
@@ -271,8 +304,10 @@ def queries() -> dict[str, Query]:
     q["write_clean"] = _q(_write_clean)
     # the views by name through Spark SQL (temp views over the stored tables)
     q["register_views"] = _q(_sql_view("vw_kpi_summary"))
+    q["view_row_counts"] = _q(_view_row_counts)
     q["scan_raw_csv"] = _q(_scan_raw_csv)
     q["write_report_json"] = _q(_write_report_json)
     q["write_scores"] = _q(lambda c: _csv_round_trip(c.scores_imported, "scores_csv", TABLES["vendor_risk_scores"]))
     q["write_disruption"] = _q(lambda c: _csv_round_trip(c.mc_imported, "mc_csv", TABLES["monte_carlo_results"]))
+    q["write_top12"] = _q(lambda c: _csv_round_trip(c.top12_imported, "top12_csv", TABLES["top12_dual_sourcing"]))
     return q

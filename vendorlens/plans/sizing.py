@@ -6,12 +6,12 @@ lineage, so the count and the join read the same stored rows instead of
 recomputing an aggregate twice), counted, and broadcast when under the
 limit.
 
-Beyond the limit the join becomes a shuffle join, split by key heat: one
-partial-aggregated count of the large side's keys finds the hot keys (a key
-holding at least ``HOT_FRACTION`` of the rows - so at most 1/HOT_FRACTION of
-them). Rows with a hot key join a broadcast of the small side's rows for
-those keys; all other rows take the ordinary shuffle join. The result is
-exactly the join's result, and no task receives a hot key's rows whole.
+Beyond the limit the join becomes a shuffle join in which a key with more than
+``HOT_ROWS`` rows - a number of rows that a task can hold, not a share of the
+table - is dealt to as many tasks as it needs: its rows of the large side get a
+salt, its rows of the other side one copy for each salt. So no task receives a
+hot key's rows whole, also where both sides repeat it. Rows without a key match
+nothing and take no part in the shuffle. The result is exactly the join's.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from ..session import ensure_checkpoint_dir
 # their measured mean length).
 DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
-# A key is hot when it holds at least this share of the large side's rows.
-HOT_FRACTION = 0.01
+# Rows of one key that go to one task of a shuffle join.
+HOT_ROWS = 500_000
 # Joins whose hot/cold split keeps the result exact.
 SPLITTABLE = {"inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti", "leftanti"}
 
@@ -69,7 +69,7 @@ def measure(df: DataFrame) -> tuple[DataFrame, int, float]:
     var = [f.name for f in stored.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     fixed = sum(_width(f.dataType) for f in stored.schema.fields if f.name not in var)
     row = stored.agg(F.count(F.lit(1)).alias("__n"),
-                     *[F.avg(F.length(F.col(f"`{c}`"))).alias(f"__l{i}") for i, c in enumerate(var)]).first()
+                     *[F.avg(F.octet_length(F.col(f"`{c}`"))).alias(f"__l{i}") for i, c in enumerate(var)]).first()
     width = float(fixed + 8 + sum((row[f"__l{i}"] or 0.0) + 8 for i in range(len(var))))
     return stored, row["__n"], width
 
@@ -104,29 +104,39 @@ def _key_names(on) -> list[str] | None:
 
 
 def skew_split_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                    max_rows: int = DEFAULT_MAX_ROWS, hot_fraction: float = HOT_FRACTION) -> DataFrame:
-    """Exact join of two large sides with the hot keys of ``big`` split off
-    and joined by broadcast (see module docstring). Falls back to a plain
-    join (AQE's skew splitting) for expression conditions or join types
-    where the split would not be exact."""
+                    max_rows: int = DEFAULT_MAX_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Exact shuffle join of two large sides with the hot keys of ``big``
+    salted (see module docstring). ``big`` is read twice, so it should be
+    stored or a scan; its rows' salts come from their place in it. Falls back
+    to a plain join (AQE's skew splitting) for expression conditions, or join
+    types where the split would not be exact, or more hot keys than can be
+    broadcast."""
     keys = _key_names(on)
+    kind = how.lower().replace("_", "")
     if keys is None or how.lower() not in SPLITTABLE:
         return big.join(small, on, how)
-    total = big.count()
-    threshold = max(1, int(total * hot_fraction))
-    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot, n_hot = measured(counts.where(F.col("__n") >= threshold).select(*keys))
-    if n_hot == 0:
-        return big.join(small, on, how)
-    small_hot, n_small_hot, w_hot = measure(small.join(F.broadcast(hot), keys, "left_semi"))
-    if not fits_broadcast(n_small_hot, w_hot, max_rows):  # hot keys repeat on the small side too
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(f"`{k}`").isNotNull()
+    counts = big.where(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
+    hot, n_hot, width = measure(counts.select(*keys, F.ceil(F.col("__n") / hot_rows).alias("__parts")))
+    if n_hot and not fits_broadcast(n_hot, width, max_rows):
         return big.join(small, on, how)
-    big_hot = big.join(F.broadcast(hot), keys, "left_semi")
-    big_cold = big.join(F.broadcast(hot), keys, "left_anti")
-    small_cold = small.join(F.broadcast(hot), keys, "left_anti")
-    hot_part = big_hot.join(F.broadcast(small_hot), on, how)
-    cold_part = big_cold.join(small_cold, on, how)
-    return hot_part.unionByName(cold_part)
+    keyed = big.where(whole)
+    if n_hot:
+        hot_keys = F.broadcast(hot.select(*keys))
+        salted = keyed.join(F.broadcast(hot), keys, "inner").withColumn(
+            "__salt", F.pmod(F.monotonically_increasing_id(), F.col("__parts"))).drop("__parts")
+        copies = small.join(F.broadcast(hot), keys, "inner").withColumn(
+            "__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1))).drop("__parts")
+        hot_part = salted.join(copies, [*keys, "__salt"], how).drop("__salt")
+        cold = keyed.join(hot_keys, keys, "left_anti").join(small.join(hot_keys, keys, "left_anti"), on, how)
+        out = cold.unionByName(hot_part)
+    else:
+        out = keyed.join(small, on, how)
+    if kind in ("left", "leftouter", "leftanti"):  # rows without a key stay as they are
+        out = out.unionByName(big.where(~whole), allowMissingColumns=True)
+    return out
 
 
 def scalars(agg_df: DataFrame):

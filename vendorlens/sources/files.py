@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_path
+
 RAW_ENCODING = "ISO-8859-1"
+# Column that says why a row was set aside (null: it was not).
+REASON = "reject_reason"
 
 
 def scan_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -18,32 +23,53 @@ def scan_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = N
         r = r.schema(schema).option("enforceSchema", True)
     else:
         r = r.option("inferSchema", True)
-    return r.csv(path)
+    return r.option("escape", '"').csv(path)
 
 
 def scan_clean_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Re-scan a cleaned table written with a header (UTF-8, BOM tolerated)."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("escape", '"').csv(path)
+
+
+def scan_with_rejects(spark: SparkSession, path: str, schema: T.StructType, encoding: str = RAW_ENCODING) -> DataFrame:
+    """Like ``scan_raw_csv`` with a schema, but a record that does not fit it
+    (a value of another type, too few or too many fields) is kept as text in
+    ``reject_reason`` instead of becoming nulls."""
+    wide = T.StructType([*schema.fields, T.StructField(REASON, T.StringType())])
+    raw = (spark.read.schema(wide).option("header", True).option("enforceSchema", True).option("encoding", encoding)
+           .option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REASON).csv(path))
+    return raw.withColumn(REASON, F.concat(F.lit("malformed record: "), F.col(REASON)))
+
+
+def set_aside(df: DataFrame, reason: str = REASON) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected) rows of a frame with a reason column, written in one
+    pass over the frame (two folders of one table in the shared folder)."""
+    spark = df.sparkSession
+    path = shared_path(spark, "quarantine")
+    df.withColumn("rejected", F.col(reason).isNotNull()).write.partitionBy("rejected").parquet(path)
+    schema = T.StructType([*df.schema.fields, T.StructField("rejected", T.BooleanType())])
+    back = spark.read.schema(schema).parquet(path)
+    return (back.where(~F.col("rejected")).drop(reason, "rejected"),
+            back.where(F.col("rejected")).drop("rejected"))
 
 
 def load_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Bulk load into declared types: ',' separator, '"' quote, one header
-    row skipped, columns bound by position (header names ignored)."""
-    return (
-        spark.read.schema(schema)
-        .option("sep", ",")
-        .option("quote", '"')
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-
-
-def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> str:
+    """Bulk load into declared types, by position: ',' separator, '"' quote
+    (doubled inside a value), one header row skipped (its names are ignored), a
+    byte order mark and CRLF tolerated. A file whose header has another number
+    of columns than the table fails at once, a value of another type when it is
+    read."""
+    options = {"sep": ",", "quote": '"', "escape": '"', "header": True}
+    width = len(spark.read.options(**options).csv(path).columns)
+    if width != len(schema.fields):
+        raise ValueError(f"{path}: {width} columns, the table has {len(schema.fields)}")
+    return spark.read.schema(schema).options(**options).option("enforceSchema", True).option("mode", "FAILFAST").csv(path)
+
+
+def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", line_end: str = "\n") -> str:
     """Header row, no index; one file per partition (no single-writer
-    bottleneck)."""
-    df.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
+    bottleneck). A quote inside a value is doubled."""
+    df.write.mode("overwrite").options(header=True, encoding=encoding, escape='"', lineSep=line_end).csv(path)
     return path
 
 

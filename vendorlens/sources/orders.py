@@ -54,6 +54,27 @@ STATUS_ON_TIME = "Shipping on time"
 STATUS_ADVANCE = "Advance shipping"
 
 
+def extra_columns() -> dict:
+    """The raw file's columns that cleaning removes or fills, by raw name: the
+    personal data, two sparse columns, two numbers and one name that not every
+    row has. All come from the tables; a value is missing where the source
+    gives none (no tax, an overdrawn account, an oversized part)."""
+    name = F.split("c_name", "#")
+    tax = F.nullif(F.col("l_tax"), F.lit(0.0))
+    return {
+        "Customer Fname": F.get(name, F.lit(0)),
+        "Customer Lname": F.when(F.col("c_acctbal") >= 0, F.get(name, F.lit(1))),
+        "Customer Email": F.concat(F.lower("c_name"), F.lit("@example.com")),
+        "Customer Password": F.lit("XXXXXXXXX"),
+        "Customer Street": F.concat(F.col("c_custkey").cast("string"), F.lit(" Main Street")),
+        "Product Image": F.concat(F.lit("http://images.example.com/"), F.col("p_partkey").cast("string")),
+        "Order Zipcode": F.when(F.col("l_linenumber") == 7, F.col("c_custkey").cast("string")),
+        "Product Description": F.lit(None).cast("string"),
+        "Benefit per order": (F.col("l_extendedprice").cast("decimal(12,2)") * tax.cast("decimal(6,4)")).cast("decimal(12,2)"),
+        "Product Status": F.when(F.col("p_size") <= 45, F.col("p_size")),
+    }
+
+
 SOURCE_COLUMNS = {
     "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                  "l_extendedprice", "l_discount", "l_shipdate"],
@@ -98,22 +119,25 @@ def raw_order_items(
     sf_dir: str,
     vendor: str = "supplier",
     category: str = "type",
+    full: bool = False,
 ) -> DataFrame:
-    """One row per line item with the raw file's columns."""
+    """One row per line item with the raw file's columns; ``full`` adds
+    EXTRA_COLUMNS: personal data, sparse and incomplete columns."""
     li = ensure_parallelism(read_table(
         spark,
         sf_dir,
         "lineitem",
         ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-         "l_extendedprice", "l_discount", "l_shipdate"],
+         "l_extendedprice", "l_discount", "l_shipdate", *(["l_tax"] if full else [])],
     ))
     orders = read_table(
         spark, sf_dir, "orders",
         ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"],
     )
     cat_col = {"type": "p_type", "brand": "p_brand"}[category]
-    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", cat_col, "p_retailprice"])
-    customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
+    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", cat_col, "p_retailprice", *(["p_size"] if full else [])])
+    customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment",
+                                                      *(["c_name", "c_acctbal"] if full else [])])
 
     cust_geo = join_small(
         customer, geography(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"),
@@ -162,4 +186,5 @@ def raw_order_items(
         F.col("n_name").alias("Order Country"),
         F.col("r_name").alias("Order Region"),
         F.col("r_name").alias("Market"),
+        *([c.alias(n) for n, c in extra_columns().items()] if full else []),
     )
