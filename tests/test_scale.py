@@ -111,6 +111,85 @@ def test_skew_split_join_is_exact(spark):
         assert got2 == want, how
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_key_with_few_of_many_rows_is_split_by_rows(spark):
+    """A key with 0.9 % of the rows goes to several tasks, and to more if it has more."""
+    from vendorlens.plans.sizing import skew_split_join
+
+    big = spark.range(0, 10_000).select(
+        F.when(F.col("id") < 90, 7).when(F.col("id") < 390, 8).otherwise(F.col("id")).alias("k"), F.col("id").alias("x"))
+    small = spark.range(0, 5_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y"))
+    out = skew_split_join(big, small, "k", "inner", hot_rows=40)
+    assert "__salt" in plan_of(out)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, big.join(small, "k").collect()))
+    assert "__salt" not in plan_of(skew_split_join(big, small, "k", "inner", hot_rows=1000))
+
+
+def test_hot_keys_that_repeat_on_both_sides_and_null_keys(spark):
+    from vendorlens.plans.sizing import skew_split_join
+
+    big = spark.range(0, 900).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).cast("long").alias("k"),
+        F.col("id").alias("x"))
+    small = spark.range(0, 60).select(F.when(F.col("id") < 20, F.lit(1)).when(F.col("id") < 30, F.lit(None)).otherwise(
+        F.col("id")).cast("long").alias("k"), F.col("id").alias("y"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = skew_split_join(big, small, "k", how, hot_rows=25)
+        want = big.join(small, "k", how)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), how
+
+
+def test_unique_rows_pass_de_duplication_unsorted(spark):
+    from vendorlens.operators.star import dedupe_items
+
+    rows = [(i, i % 5, f"p{i}") for i in range(200)] + [(3, 1, "b"), (3, 1, "a"), (3, 0, "z"), (None, 9, "n"), (None, 8, "m")]
+    df = spark.createDataFrame(rows, "k long, o int, v string")
+    out = dedupe_items(df, "k", ["o"])
+    got = {r.k: (r.o, r.v) for r in out.collect()}
+    assert len(got) == out.count() == 201 and got[3] == (0, "z") and got[None] == (8, "m") and got[7] == (2, "p7")
+    # the aggregate of whole rows stands under the semi join with the repeated keys, not over all rows
+    plan = plan_of(out)
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+
+
+def test_equal_hashes_are_compared_whole(spark, monkeypatch):
+    from vendorlens.operators import profile as P
+
+    rows = [(1, "x"), (1, "x"), (1, "y"), (None, "a"), (None, "a"), (None, None)]
+    df = spark.createDataFrame(rows, "k long, v string")
+    assert P.dup_rows(df).first()[0] == 2
+    monkeypatch.setattr(P, "row_hashes", lambda df: [F.lit(1).alias("__h1"), F.lit(2).alias("__h2")])
+    assert P.dup_rows(df).first()[0] == 2
+
+
+def test_views_read_the_fact_once(spark):
+    cat = catalog_for(spark, SF)
+    partial = cat.category_vendor
+    for df in (cat.vw_category_hhi, cat.vw_single_source, cat.register_views() and spark.table("vw_kpi_summary"),
+               spark.table("vw_category_concentration"), spark.table("vw_vendor_risk_master")):
+        assert "fact_orders" not in " ".join(df.inputFiles())
+    assert partial.agg(F.sum("n_items")).first()[0] == cat.fact.count()
+
+
+def test_partials_of_changed_months_replace_only_those(spark, tmp_path):
+    from vendorlens.operators import views as V
+    from vendorlens.plans.catalog import write_partials
+
+    fact = catalog_for(spark, SF).fact
+    path = str(tmp_path / "partials")
+    write_partials(fact, path)
+    year = fact.agg(F.max(F.year("order_date"))).first()[0]
+    changed = fact.where(F.year("order_date") == year).withColumn("lead_time_days", F.lit(1))
+    write_partials(changed, path)
+    both = fact.where(F.year("order_date") != year).unionByName(changed)
+    rows = lambda df: sorted(map(str, V.merged(df, "vendor_id").collect()))
+    assert rows(spark.read.parquet(path)) == rows(V.fact_partials(both))
+
+
 def test_broadcast_bound_counts_bytes(spark):
     from vendorlens.plans.sizing import fits_broadcast, measure
 

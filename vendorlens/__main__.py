@@ -6,7 +6,9 @@ Writes, under --out (shared storage on a cluster):
   validation_report/       one-row JSON (negative spend, lead-time outliers, duplicate ids)
   staging_orders/          the clean items, Parquet partitioned by order year
   staging_orders_csv/      the same with a header row, CSV
-  dim_vendor/ dim_product/ dim_region/ dim_date/ fact_orders/   Parquet
+  dim_vendor/ dim_product/ dim_region/ dim_date/ fact_orders/
+                           Parquet in versions: published when their keys hold
+                           (plans/publish.py), the last two versions are kept
   vendor_risk_scores/ monte_carlo_results/ top12_dual_sourcing/ CSV with header
 and prints a one-line JSON summary of row counts.
 """
@@ -19,6 +21,7 @@ import sys
 
 from .operators import clean as C
 from .plans.catalog import catalog_for
+from .plans.publish import TableStore, references, unique_key
 from .session import build_session
 from .sources import files
 
@@ -30,12 +33,15 @@ def build(spark, data: str, out: str, vendor: str, category: str) -> dict:
     files.write_parquet(cat.clean, f"{out}/staging_orders", partition_by=["order_year"])
     files.write_csv(cat.clean, f"{out}/staging_orders_csv")
     counts = {"staging_orders": cat.clean.count()}
-    for name in ("dim_vendor", "dim_product", "dim_region", "dim_date"):
-        df = getattr(cat, name)
-        files.write_parquet(df, f"{out}/{name}")
-        counts[name] = df.count()
-    files.write_parquet(cat.fact, f"{out}/fact_orders")
-    counts["fact_orders"] = cat.fact.count()
+    store, dims, keys = TableStore(spark, out), {}, []
+    for name, key, of_fact in (("dim_vendor", "vendor_id", "vendor_id"), ("dim_product", "product_id", "product_id"),
+                               ("dim_region", "region_id", "region_id"), ("dim_date", "date_id", "order_date")):
+        dims[name] = store.publish(name, getattr(cat, name), [unique_key(key)])
+        keys.append(references(of_fact, dims[name], key))
+        counts[name] = dims[name].count()
+    counts["fact_orders"] = store.publish("fact_orders", cat.fact, [unique_key("order_item_id"), *keys]).count()
+    for name in (*dims, "fact_orders"):
+        store.expire(name)
     for name, df in (("vendor_risk_scores", cat.vendor_risk_scores),
                      ("monte_carlo_results", cat.monte_carlo_results),
                      ("top12_dual_sourcing", cat.top12)):

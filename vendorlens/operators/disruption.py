@@ -218,7 +218,7 @@ def disruption_exposure(results: DataFrame) -> DataFrame:
 def require_rows(df: DataFrame, what: str = "simulation results") -> DataFrame:
     """Fail when the result is empty (checked at the action boundary)."""
     if df.isEmpty():
-        raise ValueError(f"No {what} generated. Check the targets and data filters.")
+        raise ValueError(f"{what}: empty, so no target had enough records; nothing was stored")
     return df
 
 
