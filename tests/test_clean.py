@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from vendorlens.operators import clean as C
+from vendorlens.operators import star as ST
 
 
 def test_normalise_names(spark):
@@ -94,3 +95,29 @@ def test_null_free_shortcut_equals_profile(spark):
     b, _ = clean_order_items(raw, null_free=False)
     assert a.columns == b.columns
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_case_and_accents_do_not_split_a_key(spark):
+    rows = [(1, "FRANCE", "Paris"), (2, "France", "paris"), (3, "france", "PARIS"), (4, "Éire", "Cork"), (5, "eire", "Córk"),
+            (6, None, "cork"), (7, "Peru", None)]
+    out = C.canonical_spellings(spark.createDataFrame(rows, "id long, country string, city string"), ["country", "city"])
+    assert out.columns == ["id", "country", "city"]
+    got = {r.id: (r.country, r.city) for r in out.collect()}
+    assert got == {1: ("FRANCE", "PARIS"), 2: ("FRANCE", "PARIS"), 3: ("FRANCE", "PARIS"), 4: ("eire", "Cork"), 5: ("eire", "Cork"),
+                   6: (None, "Cork"), 7: ("Peru", None)}
+    clean = out.selectExpr("country AS order_country", "city AS order_region", "'m' AS market")
+    assert ST.dim_region(clean).where("country = 'FRANCE'").count() == 1
+
+
+def test_sketches_of_groups_merge(spark):
+    from vendorlens.operators import profile as P
+
+    df = spark.range(0, 60_000).selectExpr("id % 7 AS g", "id % 20000 AS a", "cast(id % 30 as double) AS b", "concat('t', id) AS c",
+                                           "if(id % 2 = 0, null, id) AS d")
+    sketches = P.cardinality_sketches(df, ["g"]).cache()
+    assert sketches.count() == 7 * 4
+    got = {r["column"]: r.distinct_count for r in P.cardinality_from_sketches(sketches).collect()}
+    for c, n in {"a": 20_000, "b": 30, "c": 60_000, "d": 30_000}.items():
+        assert abs(got[c] - n) <= 4 * P.SKETCH_ERROR * n + 1
+    some = P.cardinality_from_sketches(sketches.where("g < 2"))
+    assert abs({r["column"]: r.distinct_count for r in some.collect()}["c"] - 60_000 * 2 / 7) < 600

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quantiles import exact_quantiles_many
+from ..plans.sizing import join_small
 from ..sources.files import REASON
 
 # Columns removed before analysis (fixed values: personal data and a
@@ -141,6 +142,26 @@ def drop_pii(df: DataFrame, columns: list[str] = PII_COLUMNS) -> DataFrame:
     return df.drop(*[c for c in columns if c in df.columns])
 
 
+# Texts that differ in case or accents only are one key, as in a database whose
+# default collation ignores both.
+COLLATION = "UNICODE_CI_AI"
+
+
+def canonical_spellings(df: DataFrame, columns: list[str], collation: str = COLLATION) -> DataFrame:
+    """Give every text of ``columns`` the least spelling among those that the
+    collation holds equal, so that grouping and joining by it afterwards treats
+    them as one key. Only a column's different texts are compared; the frame
+    joins them back by size."""
+    for c in columns:
+        texts = df.where(F.col(f"`{c}`").isNotNull()).select(F.col(f"`{c}`").alias(c)).distinct()
+        key = F.collate(F.col(f"`{c}`"), collation)
+        least = texts.groupBy(key.alias("__key")).agg(F.min(f"`{c}`").alias("__least"))
+        spelt = texts.withColumn("__key", key).join(least, "__key").select(c, "__least").where(F.col(f"`{c}`") != F.col("__least"))
+        df = join_small(df, spelt, c, "left").select(
+            *[F.coalesce("__least", F.col(f"`{c}`")).alias(c) if x == c else F.col(f"`{x}`") for x in df.columns])
+    return df
+
+
 # Text dates are read by the first of these formats that fits; "iso" is Spark's
 # own cast. Months and days may have one digit.
 TIMESTAMP_FORMATS = ("iso", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy")

@@ -157,3 +157,30 @@ def preview_limit(df: DataFrame, columns: list[str], n: int = 10, where=None, or
 
 def preview_topn(df: DataFrame, by: str, n: int = 10, tie: list[str] | None = None) -> DataFrame:
     return df.orderBy(F.desc(by), *(tie or [])).limit(n)
+
+
+# Size of a cardinality sketch (2^SKETCH_LOG slots): its standard error is about
+# 0.8 / sqrt(2^SKETCH_LOG), 0.6 %.
+SKETCH_LOG = 14
+SKETCH_ERROR = 0.8 / 2 ** (SKETCH_LOG / 2)
+
+
+def cardinality_sketches(df: DataFrame, by: list[str]) -> DataFrame:
+    """(by, column, sketch): a mergeable sketch of every column's values for
+    each group of rows, such as a month. Stored, they answer any union of
+    groups; a new group adds its own sketches and no old row is read again."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = [c for c in df.columns if c not in by]
+    values = {}
+    for c in cols:
+        slot, value = _slot_value(F.col(f"`{c}`"), types[c])
+        values[c] = value.cast("string") if slot == "d" else value
+    wide = df.select(*[F.col(f"`{c}`") for c in by], *[v.alias(f"v{i}") for i, v in enumerate(values.values())]).groupBy(*by).agg(
+        *[F.hll_sketch_agg(f"v{i}", F.lit(SKETCH_LOG)).alias(c) for i, c in enumerate(cols)])
+    return wide.unpivot(by, cols, "column", "sketch")
+
+
+def cardinality_from_sketches(sketches: DataFrame) -> DataFrame:
+    """(column, distinct_count): estimates for all groups of stored sketches
+    together, from the sketches alone."""
+    return sketches.groupBy("column").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_count"))

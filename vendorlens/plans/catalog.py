@@ -9,10 +9,12 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import disruption as D
 from ..operators import features as FE
+from ..operators import profile as P
 from ..operators import scoring as S
 from ..operators import star as ST
 from ..operators import views as V
@@ -181,6 +183,13 @@ class Catalog:
         return as_imported(self.top12, "top12_dual_sourcing")
 
 
+    # --- stored cardinality sketches of the raw items, by order month
+    @cached_property
+    def sketches(self) -> DataFrame:
+        raw = C.normalise_columns(self.raw_stored)
+        month = (F.year("order_date_dateorders") * 100 + F.month("order_date_dateorders")).alias("order_month")
+        return write_table(P.cardinality_sketches(raw.select("*", month), ["order_month"]), "cardinality", ["order_month"])
+
     # --- stored partial aggregates: the only scans of the fact by the views
     @cached_property
     def partials(self) -> DataFrame:

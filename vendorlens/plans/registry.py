@@ -100,6 +100,22 @@ def _parsed(cat: Catalog) -> tuple[DataFrame, DataFrame]:
     return cat.__dict__["_parsed_dates"]
 
 
+def _cardinality_sketch(cat: Catalog) -> DataFrame:
+    """Estimates from the stored sketches beside the exact counts, and whether
+    they lie within four standard errors."""
+    exact = P.profile_cardinality(_normalised(cat).select(*RAW_NORMALISED)).withColumnRenamed("distinct_count", "exact_count")
+    both = P.cardinality_from_sketches(cat.sketches).join(exact, "column")
+    off = F.abs(F.col("distinct_count") - F.col("exact_count")) <= 4 * P.SKETCH_ERROR * F.col("exact_count") + 1
+    return both.select("column", "exact_count", off.alias("within_error"))
+
+
+def _spelt_two_ways(cat: Catalog) -> DataFrame:
+    """The clean items with countries in capitals or capitalised, by the number
+    of pieces, as sources that disagree on case have them."""
+    odd = F.col("order_item_quantity") % 2 == 1
+    return cat.clean.withColumn("order_country", F.when(odd, F.initcap("order_country")).otherwise(F.upper("order_country")))
+
+
 def _view_row_counts(cat: Catalog) -> DataFrame:
     names = cat.register_views()
     return cat.spark.sql(" UNION ALL ".join(f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {v}" for v in names))
@@ -221,6 +237,7 @@ def queries() -> dict[str, Query]:
     q["dup_rows"] = _q(lambda c: P.dup_rows(_normalised(c)))
     q["dup_keys"] = _q(lambda c: P.dup_keys(_normalised(c), "order_item_id"))
     q["profile_cardinality"] = _q(lambda c: P.profile_cardinality(_normalised(c).select(*RAW_NORMALISED)))
+    q["cardinality_sketch"] = _q(_cardinality_sketch)
     q["key_range_profile"] = _q(lambda c: P.key_range_profile(c.clean, "order_item_id"))
     q["table_row_counts"] = _q(_table_row_counts)
     q["band_distribution"] = _q(lambda c: P.band_distribution(c.vendor_risk_scores))
@@ -240,6 +257,7 @@ def queries() -> dict[str, Query]:
     q["dim_product"] = _q(lambda c: c.dim_product)
     q["dim_region"] = _q(lambda c: c.dim_region)
     q["dim_date"] = _q(lambda c: c.dim_date)
+    q["dim_region_collated"] = _q(lambda c: ST.dim_region(C.canonical_spellings(_spelt_two_ways(c), ["order_country"])))
     q["fact_orders"] = _q(lambda c: c.fact)
     q["fact_add_shipping_mode"] = _q(lambda c: ST.fact_add_shipping_mode(c.fact, c.clean))
     q["pk_check"] = _q(_pk_check)
