@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from vendorlens.llm import components, edits, induce, lines, simhash, substrings, suffixes
+from vendorlens.llm import common, components, edits, induce, lines, mixing, quality, simhash, substrings, suffixes
 from vendorlens.llm.texts import LAST
 
 
@@ -283,3 +283,16 @@ def test_checksum_of_nothing():
 
     assert hashlib.sha256(b"").hexdigest() == EMPTY_SHA256
     assert np.bitwise_count(np.uint8(3)) == 2
+
+
+@pytest.mark.parametrize("run", [
+    lambda d: suffixes.dedup(d, length=60), lambda d: substrings.dedup(d), lambda d: lines.dedup(d),
+    lambda d: simhash.keep_one_of_each(d),
+    lambda d: quality.keep_good(d), lambda d: mixing.mix(d)])
+def test_shuffled_hot_keys_give_what_broadcasts_give(make_docs, prose, monkeypatch, run):
+    rows = [(d, t, f"h{i % 3}") for i, (d, t) in enumerate(prose)]
+    docs = make_docs(rows)
+    want = sorted(map(str, run(docs).collect()))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    assert sorted(map(str, run(docs).collect())) == want

@@ -7,12 +7,14 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendorlens.plans.sizing import ensure_parallelism
+from vendorlens.plans.sizing import ensure_parallelism, skew_split_join
 from vendorlens.session import shared_path
 
 # Largest side that is ever broadcast: its bytes are measured first, and
-# beyond the limit the same rows take a shuffle join.
+# beyond the limit the same rows take a shuffle join, in which a key with more
+# than HOT_ROWS rows goes to several tasks.
 BROADCAST_BYTES = 48 << 20
+HOT_ROWS = 200_000
 
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,10 +67,13 @@ def words(text: Column) -> Column:
 
 def join_measured(big: DataFrame, small: DataFrame, on: list[str], how: str, width: Column | int) -> DataFrame:
     """Join ``big`` with a stored table: broadcast when its measured size is
-    within BROADCAST_BYTES, else a shuffle join. ``width`` is the bytes of
-    one row. ``on`` columns are not null on the small side."""
+    within BROADCAST_BYTES, else a shuffle join with hot keys dealt out.
+    ``width`` is the bytes of one row. ``on`` columns are not null on the small
+    side."""
     size = small.agg(F.sum(width if isinstance(width, Column) else F.lit(width))).first()[0] or 0
-    return big.join(F.broadcast(small) if size <= BROADCAST_BYTES else small, on, how)
+    if size <= BROADCAST_BYTES:
+        return big.join(F.broadcast(small), on, how)
+    return skew_split_join(big, small, on, how, hot_rows=HOT_ROWS)
 
 
 def spare_name(df: DataFrame, name: str) -> str:
