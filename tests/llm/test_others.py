@@ -381,7 +381,12 @@ def test_urls(spark):
         "https://x.net": ("x.net", "", None, "allow"),
         "https://net/": ("net", "/", "net/", "block"),
         "https://x.com/best-casino": ("x.com", "/best-casino", None, "block"),
-        "https://x.com/casinos": ("x.com", "/casinos", None, "allow"),
+        "https://x.com/casinos": ("x.com", "/casinos", None, "block"),
+        "https://escort.com": ("escort.com", "", None, "block"), "https://nudes.com/": ("nudes.com", "/", None, "block"),
+        "https://adult-videos.com/a": ("adult-videos.com", "/a", None, "block"),
+        "https://online-poker.com/": ("online-poker.com", "/", None, "block"),
+        "https://x.com/essex-classes/analysis": ("x.com", "/essex-classes/analysis", None, "allow"),
+        "https://x.com/adult-education": ("x.com", "/adult-education", None, "allow"),
         "https://x.com/free": ("x.com", "/free", None, "allow"),
         "https://x.com/free/free": ("x.com", "/free/free", None, "allow"),
         "https://FREE.com/pills#a://b": ("free.com", "/pills", None, "block"),

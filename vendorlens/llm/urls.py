@@ -3,7 +3,9 @@
 The rules are plain DataFrame functions. A URL that no rule fits is judged by
 its words: an Aho-Corasick automaton finds every strict and soft term, a hit
 counts when it stands between characters other than a-z and 0-9, and one
-strict term or several distinct soft terms reject the URL.
+strict term or several distinct soft terms reject the URL. A term and its plural
+are one term. Terms are common words of pornography, gambling, drug and loan
+spam and malware, chosen without regard to any table.
 
 Defined cases: a null URL or one without '://' has an empty host and path,
 no rule fits it, and its words (none for null) decide; rows may repeat.
@@ -26,11 +28,40 @@ RULES = [
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 ]
-STRICT = ["adult-x", "bestiality", "camgirls", "casino", "escorts", "gambling", "hardcore", "hentai", "milf", "nsfw",
-          "porn", "porno", "pornhub", "spam", "viagra", "xvideos", "xxx"]
-SOFT = ["ads", "adult", "bet", "bets", "bonus", "cheap", "cialis", "dating", "drugs", "free", "girls", "hot",
-        "jackpot", "loan", "loans", "lottery", "meds", "naked", "nude", "pharmacy", "pills", "poker", "replica",
-        "sex", "sexy", "slots", "track", "tracker", "win"]
+# One of these is enough. Terms stand for their plural too.
+STRICT_TERMS = """
+adult-content adult-dating adult-film adult-movie adult-video adultfriend anal ass-fuck bangbros bbw-porn bdsm bestiality
+big-tits bitch blackjack blowjob boobs bookie bookmaker brothel bukkake cam-girl camgirl camsex casino chaturbate cialis
+clit cocks counterfeit crack-serial craps creampie cumshot cunt darknet-market deepthroat dildo dirty-talk ejaculation
+erotica escort escort-service fake-id fake-passport femdom fetish fuck fucking gangbang gambling gangbang-video handjob
+hardcore hentai hookup-site horny incest jackpot-city jailbait keygen kinky ladyboy levitra lolita malware masturbation
+milf nsfw nude-girl nudes nudity onlyfans online-betting online-casino online-gambling online-poker online-slot orgasm
+orgy paysite phentermine phishing porn porn-site pornhub pornstar porno pornographic poker-online prostitute pussy
+ransomware redtube roulette serialz sex-cam sex-chat sex-shop sex-tape sex-toy sex-video sexcam sexchat sexshop shemale
+slot-machine slot-online slut spam sportsbook spyware stripclub striptease swinger teen-sex threesome tits torrentz
+tramadol tranny upskirt viagra voyeur warez webcam-girl whore xanax xhamster xnxx xvideo xxx youporn
+""".split()
+# Two different ones of these are enough.
+SOFT_TERMS = """
+adult ads affiliate amateur babe bargain bet betting bikini binary-option bitcoin-profit bonus brides cannabis cash-advance
+cash-prize cbd cheap click-here clickbait clone coin-flip credit-repair crypto-profit cum date-girl dating debt-relief
+diet-pill discount-drug download-free drug earn-money erotic escorting exclusive-deal fast-cash free free-trial gamble
+get-rich girl guaranteed hot hottie income-online instant-cash jackpot kamagra lingerie loan lottery lotto lucky-draw
+lust make-money male-enhancement meds miracle-cure naked naughty no-deposit no-prescription nude oral outlet-store
+online-pharmacy passive-income payday payday-loan penny-auction pharmacy pill playboy poker popup porn-free promo
+quick-loan raffle refinance replica ringtone rolex sex sexual sexy shemales singles slim slot spin stake steroid strip
+sugar-daddy sweepstake swingers taboo teen track tracker tracking unlimited-money unsecured vape weight-loss wager
+webcam weed win winner work-from-home xrated
+""".split()
+
+
+def forms(term: str) -> tuple[str, str]:
+    """A term and its plural."""
+    return term, term + ("es" if term.endswith(("s", "x", "ch", "sh")) else "s")
+
+
+STRICT = STRICT_TERMS
+SOFT = [t for t in SOFT_TERMS if not {t} & {f for s in STRICT for f in forms(s)}]
 # A strict term alone reaches the limit; soft terms do from this many.
 SOFT_LIMIT = 2
 
@@ -42,7 +73,8 @@ def _automaton(strict: tuple[str, ...], soft: tuple[str, ...], limit: int):
     machine = ahocorasick.Automaton()
     for weight, terms in ((1, soft), (limit, strict)):
         for term in terms:
-            machine.add_word(term, (term, weight))
+            for form in forms(term):
+                machine.add_word(form, (form, term, weight))
     machine.make_automaton()
     return machine
 
@@ -54,8 +86,8 @@ def weight_of(url: str, machine) -> int:
     """Sum of the weights of the distinct terms of a lower-case URL that
     stand alone."""
     found = {}
-    for end, (term, weight) in machine.iter(url):
-        before, after = end - len(term), end + 1
+    for end, (form, term, weight) in machine.iter(url):
+        before, after = end - len(form), end + 1
         if (before < 0 or url[before] not in _EDGE) and (after >= len(url) or url[after] not in _EDGE):
             found[term] = weight
     return sum(found.values())
@@ -96,7 +128,7 @@ def op10_url_filter(spark, sf_dir: str) -> DataFrame:
 
 
 def _terms_sql(terms: list[str]) -> str:
-    return " + ".join(f"regexp_matches(u, '(^|[^a-z0-9]){t}($|[^a-z0-9])')::INT" for t in terms)
+    return " + ".join(f"regexp_matches(u, '(^|[^a-z0-9])({'|'.join(forms(t))})($|[^a-z0-9])')::INT" for t in terms)
 
 
 ORACLE = f"""
