@@ -179,7 +179,10 @@ class Suffixes:
         ranked = [pos[self.small[pos] & ~self.small[pos - 1]] for pos, _ in self.induced(by_byte, None)]
         order = np.concatenate([empty, np.concatenate([np.zeros(0, np.int64), *ranked])[::-1]])
         # name the substrings: neighbours are equal if length and bytes are, and no string ends in them
-        number = np.searchsorted(lms, order)
+        of_position = np.empty(self.n, np.int32)
+        of_position[lms] = np.arange(len(lms), dtype=np.int32)
+        number = of_position[order]
+        del of_position
         stop = lms[np.minimum(number + 1, len(lms) - 1)]
         size = np.where(text[order] == 0, 0, stop - order + 1)
         a, b = order[:-1], order[1:]

@@ -43,7 +43,7 @@ GRAM = 32
 # only where one key has more).
 BLOCK = 1 << 22
 COMBINE_BYTES = 16 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 # Text that one key may have, and widths of the classes of distances by which
 # the keys that have more are dealt again.
 CROWD_BYTES = 4 << 20
