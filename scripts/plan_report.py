@@ -2,7 +2,7 @@
 
     python scripts/plan_report.py [sf_dir] > PLANS.md
 
-Per query: shuffles (Exchange), broadcasts, join strategies, windows,
+Per query: the stored tables it reads, shuffles (Exchange), broadcasts, join strategies, windows,
 aggregates, scalar subqueries and their reuse, plus the parquet scans'
 pushed filters and read schema width. Runs each query once (AQE's final
 plan is reported).
@@ -39,7 +39,7 @@ def main() -> None:
     print(f"# Executed plans ({sf_dir}, local[8], AQE final plans)\n")
     print("Generated by `scripts/plan_report.py`. Counts are of operators in the final")
     print("physical plan; windows appear only over bounded row sets (see README).\n")
-    cols = ["query"] + list(PATTERNS) + ["scans (pushed filters)"]
+    cols = ["query"] + list(PATTERNS) + ["scans (pushed filters)", "reads"]
     print("| " + " | ".join(cols) + " |")
     print("|" + "---|" * len(cols))
     for name, fn in queries().items():
@@ -49,7 +49,9 @@ def main() -> None:
         counts = [str(len(re.findall(p, plan))) for p in PATTERNS.values()]
         scans = re.findall(r"FileScan parquet[^\n]*", plan)
         pushed = sum(1 for s in scans if "PushedFilters: [" in s and "PushedFilters: []" not in s)
-        print(f"| {name} | " + " | ".join(counts) + f" | {len(scans)} ({pushed}) |")
+        stored = (re.search(r"/vendorlens/[0-9a-f]+/(\w+)", f) for f in df.inputFiles())
+        reads = ", ".join(sorted({m[1] for m in stored if m}))
+        print(f"| {name} | " + " | ".join(counts) + f" | {len(scans)} ({pushed}) | {reads} |")
     spark.stop()
 
 
