@@ -95,6 +95,11 @@ def letters_only(word: bytes) -> bool:
     return word.isalpha() or not word.isascii() and normalize("NFC", word.decode()).lower().isalpha()
 
 
+def ends_in_letter(word: bytes) -> bool:
+    """Whether the tokenizer sees a letter at the word's end."""
+    return word[-1:].isalpha() or word[-1] > 127 and normalize("NFC", word.decode()[-1]).lower()[-1].isalpha()
+
+
 class WordIds(dict):
     """ids (little-endian bytes) of ASCII-lower-cased words, remembered.
 
@@ -148,13 +153,17 @@ class WordIds(dict):
             self.clear()
         # a text that may hold a special token, which only exact case makes one, is encoded as it is
         split = [None if "<|" in t else t.encode().lower().split() for t in texts]
-        found = [None if ws is None else list(map(self.get, ws)) for ws in split]
-        new = {w for ws, ids in zip(split, found) if ids and None in ids for w, x in zip(ws, ids) if x is None}
+        words: dict[bytes, None] = {}
+        for ws in split:
+            if ws:
+                words.update(dict.fromkeys(ws))
         stems, tails, old = {}, [], self.old
-        for w in new:
+        for w in words:
+            if w in self:
+                continue
             if w in old:
                 self[w] = old[w]
-            elif len(w) > 1 and w[-1] in b".," and normalize("NFC", w.decode()[-2]).lower()[-1].isalpha():
+            elif len(w) > 1 and w[-1] in b".," and ends_in_letter(w[:-1]):
                 tails.append(w)
                 stems[w[:-1]] = stems[w[-1:]] = None
             else:
@@ -162,13 +171,9 @@ class WordIds(dict):
         self._encode([w for w in stems if w not in self])
         for w in tails:
             self[w] = self[w[:-1]] + self[w[-1:]]
-        out = []
-        for text, ws, ids in zip(texts, split, found):
-            if ids is None:
-                out.append(np.array(self.words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-            else:
-                out.append(b"".join([self[w] if x is None else x for w, x in zip(ws, ids)] if None in ids else ids))
-        return out
+        ids_of = self.__getitem__
+        return [np.array(self.words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if ws is None
+                else b"".join(map(ids_of, ws)) for text, ws in zip(texts, split)]
 
 
 _words: Words | None = None
