@@ -48,6 +48,24 @@ def test_topk(spark, shard_rows, leaf_rows, block_rows):
     assert got == want
 
 
+def test_topk_of_a_row_that_repeats(spark):
+    df = spark.range(20_000).selectExpr("if(id < 15000, 50, id) AS vec_id", "if(id < 15000, array(0.5D, 0.25D), "
+                                        "array(id % 97 / 97D, id % 89 / 89D)) AS embedding")
+    v = topk.scaled(df, "vec_id", "embedding")
+    assert topk.few_copies(v, 5).where("vec_id = 50").count() == 5
+    asked = v.where("vec_id IN (50, 15001)")
+    got = sorted(map(tuple, topk.search(v, asked, 5, 20_000, 512, 64, 8).collect()))
+    v.createOrReplaceTempView("repeats")
+    asked.distinct().createOrReplaceTempView("asked_once")
+    want = spark.sql("""
+        SELECT query_id, rank, vec_id, score FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+            SELECT q.vec_id AS query_id, r.vec_id, CAST(q.v[0] * r.v[0] + q.v[1] * r.v[1] AS BIGINT) AS score
+            FROM asked_once q JOIN repeats r ON r.vec_id <> q.vec_id)) WHERE rank <= 5 AND query_id = 15001""")
+    assert [r for r in got if r[0] == 15001] == sorted(map(tuple, want.collect()))
+    assert [r[1] for r in got if r[0] == 50] == [1, 2, 3, 4, 5]
+
+
 def test_topk_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<double>")
     v = topk.scaled(df, "vec_id", "embedding")

@@ -5,14 +5,17 @@ Vectors are dealt to shards by a hash; each shard's task builds a KD-tree
 one bounded record. Queries travel in blocks to every shard. Each query walks
 a shard's tree best-first: a box is opened in falling order of the largest
 inner product any point in it could have, and the walk ends when that bound
-is below the query's k-th best score. The k-th score is propagated: a query
-starts with the k-th best of its exact scores in a first shard, which no
-later shard may fall short of.
+is below the query's k-th best score. The k-th score is propagated from shard
+to shard: queries visit 1, 1, 2, 4, ... shards in rounds, each block from a shard
+of its own on, and start each round with the k-th best of all scores found
+before, which no later shard may fall short of. So half of the shards are
+searched with what the other half gave, in a number of rounds that grows with
+the logarithm of the shards; only each query's k best go on to the next round.
 
 Defined cases: vectors that are null, or hold null or non-finite components,
 take no part; vectors of different lengths never meet; a null id takes no
-part; repeated ids are different rows, and a row never meets a row of its own
-id; queries of one id share one answer; fewer than k candidates give fewer rows.
+part; repeated ids are different rows (of equal rows k are looked at), and a row
+never meets a row of its own id; queries of one id share one answer; fewer than k candidates give fewer rows.
 """
 
 from __future__ import annotations
@@ -131,6 +134,14 @@ def scaled(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
         F.col(f"`{vec_id}`").cast("long").alias("vec_id"), v.alias("v"))
 
 
+def few_copies(rows: DataFrame, k: int) -> DataFrame:
+    """At most k of the rows that are equal: no k best can hold more, and all
+    of them would go to one shard or block."""
+    counted = rows.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("n"))
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.least("n", F.lit(k))))
+    return counted.select("vec_id", "v", copy.alias("copy")).drop("copy")
+
+
 def _matrix(table: pa.Table, dim: int) -> np.ndarray:
     flat = [np.asarray(chunk.flatten()) for chunk in table["v"].chunks]
     return np.concatenate(flat or [np.zeros(0)]).reshape(table.num_rows, dim)
@@ -156,48 +167,50 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, n: int, shard_rows: i
                          "queries": pa.array([body], pa.binary())})
 
     dim, h = F.size("v").alias("dim"), F.xxhash64("vec_id", "v")
-    trees = stored(vectors.select("vec_id", "v", dim, F.pmod(h, F.lit(shards)).alias("shard")).groupBy(
+    trees = stored(few_copies(vectors, k).select("vec_id", "v", dim, F.pmod(h, F.lit(shards)).alias("shard")).groupBy(
         "dim", "shard").applyInArrow(build, "dim int, shard bigint, tree binary"))
     blocks = max(1, ceil(queries.count() / block_rows))
-    asked = stored(queries.select("vec_id", "v", dim, F.pmod(h, F.lit(blocks)).alias("block")).groupBy(
+    asked = stored(few_copies(queries, k).select("vec_id", "v", dim, F.pmod(h, F.lit(blocks)).alias("block")).groupBy(
         "dim", "block").applyInArrow(block, "dim int, block bigint, queries binary"))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tree, body, floors in zip(batch.column("tree"), batch.column("queries"), batch.column("floors")):
+            for d, number, tree, body, floors in zip(*(batch.column(c) for c in ("dim", "block", "tree", "queries", "floors"))):
                 tree = pickle.loads(tree.as_py())
                 points, ids = pickle.loads(body.as_py())
                 points = unpacked(points)
-                start = pickle.loads(floors.as_py()) if floors.is_valid else [float("-inf")] * len(ids)
+                start = [float("-inf")] * len(ids)
+                for known in floors.as_py() or ():
+                    start[known["nth"]] = known["score"]
                 bounds = tree.bounds(points)
-                rows = [(own, score, -minus)
-                        for query, own, bound, floor in zip(points, ids.tolist(), bounds, start)
+                rows = [(nth, int(own), int(-minus), int(score))
+                        for nth, (query, own, bound, floor) in enumerate(zip(points, ids.tolist(), bounds, start))
                         for score, minus in tree.search(query, own, k, bound, floor)]
+                nth, own, vec, score = zip(*rows) if rows else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(r[j]) for r in rows], pa.int64()) for j in (0, 2, 1)],
-                    ["query_id", "vec_id", "score"])
-
-    def first_floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for d, number, tree, body in zip(*(batch.column(c) for c in ("dim", "block", "tree", "queries"))):
-                tree = pickle.loads(tree.as_py())
-                points, ids = pickle.loads(body.as_py())
-                points = unpacked(points)
-                bounds = tree.bounds(points)
-                found = [tree.search(q, own, k, b, float("-inf")) for q, own, b in zip(points, ids.tolist(), bounds)]
-                floors = [f[-1][0] if len(f) == k else float("-inf") for f in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([d.as_py()], pa.int32()), pa.array([number.as_py()], pa.int64()),
-                     pa.array([pickle.dumps(floors)], pa.binary())], ["dim", "block", "floors"])
-
-    # Each block learns its k-th scores in one shard, chosen by its number.
-    first = asked.withColumn("shard", F.pmod("block", F.lit(shards)))
-    floors = stored(first.join(trees, ["dim", "shard"]).select(
-        "dim", "block", "tree", "queries").mapInArrow(first_floors, "dim int, block bigint, floors binary"))
-    every = asked.join(floors, ["dim", "block"], "left").select(
-        "dim", "queries", "floors", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
-    found = every.join(trees, ["dim", "shard"]).select("tree", "queries", "floors").mapInArrow(
-        visit, "query_id bigint, vec_id bigint, score bigint")
+                    [pa.array([d.as_py()] * len(rows), pa.int32()), pa.array([number.as_py()] * len(rows), pa.int64()),
+                     pa.array(nth, pa.int32()), *[pa.array(x, pa.int64()) for x in (own, vec, score)]],
+                    ["dim", "block", "nth", "query_id", "vec_id", "score"])
+
+    def leading(found: DataFrame) -> DataFrame:
+        """Every query's k best."""
+        place = F.expr("row_number() OVER (PARTITION BY dim, block, nth ORDER BY score DESC, vec_id)")
+        return found.withColumn("place", place).where(F.col("place") <= k)
+
+    kinds = "dim int, block bigint, nth int, query_id bigint, vec_id bigint, score bigint"
+    found, since, until = None, 0, 1
+    while since < shards:
+        todo = asked
+        if found is None:
+            todo = todo.withColumn("floors", F.lit(None).cast("array<struct<nth:int,score:bigint>>"))
+        else:  # the k-th scores of the queries that have k
+            floors = found.where(F.col("place") == k).groupBy("dim", "block").agg(F.collect_list(F.struct("nth", "score")).alias("floors"))
+            todo = todo.join(floors, ["dim", "block"], "left")
+        steps = F.explode(F.sequence(F.lit(since).cast("long"), F.lit(min(until, shards) - 1).cast("long")))
+        todo = todo.withColumn("step", steps).withColumn("shard", F.pmod(F.col("block") + F.col("step"), F.lit(shards)))
+        new = todo.join(trees, ["dim", "shard"]).select("dim", "block", "tree", "queries", "floors").mapInArrow(visit, kinds)
+        found = stored(leading(new if found is None else new.unionByName(found.drop("place"))))
+        since, until = until, 2 * until
     ranked = found.withColumn("rank", F.expr(
         "row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)"))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
