@@ -1,6 +1,8 @@
 import datetime as dt
+import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from vendorlens.operators import clean as C
 from vendorlens.operators import star as ST
@@ -84,17 +86,24 @@ def test_filter_lead_time_inclusive(spark):
     assert sorted(r[0] for r in C.filter_lead_time(df).collect()) == [0, 90]
 
 
-def test_null_free_shortcut_equals_profile(spark):
+def test_nulls_in_the_sources_are_cleaned(spark):
     from vendorlens.plans.catalog import clean_order_items
-    from vendorlens.sources.orders import raw_order_items, sources_null_free
-
-    sf = "/root/testdata/sf0.001"
-    assert sources_null_free(spark, sf)
-    raw = raw_order_items(spark, sf)
-    a, _ = clean_order_items(raw, null_free=True)
-    b, _ = clean_order_items(raw, null_free=False)
-    assert a.columns == b.columns
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    from vendorlens.sources.orders import raw_order_items
+
+    raw = raw_order_items(spark, "/root/testdata/sf0.001").cache()
+    n, prices = raw.count(), [float(r[0]) for r in raw.select("Sales").collect()]
+    holes = raw.withColumn("Sales", F.expr("if(`Order Item Id` % 3 = 0, null, Sales)")).withColumn(
+        "Market", F.expr("if(`Order Item Id` % 5 = 0, null, Market)")).withColumn("Product Name", F.expr(
+            "if(`Order Item Id` % 4 > 0, null, `Product Name`)"))
+    items, validated = clean_order_items(holes)
+    assert "product_name" not in items.columns  # three quarters are null
+    assert 0 < validated.count() == holes.where("Market IS NOT NULL").count() < n
+    left = [float(r[0]) for r in holes.select("Sales").dropna().collect()]
+    filled = {float(r[0]) for r in validated.where("order_item_id % 3 = 0").select("sales").collect()}
+    assert len(filled) == 1 and len(left) < len(prices)
+    assert abs(filled.pop() - statistics.median(left)) < 0.006  # in the column's two decimals
+    whole, every = clean_order_items(raw)
+    assert every.count() == n and "product_name" in whole.columns
 
 
 def test_case_and_accents_do_not_split_a_key(spark):

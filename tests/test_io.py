@@ -143,3 +143,20 @@ def test_versions_expire_and_lost_writers_leave_nothing(spark, tmp_path):
     assert store.read("t").count() == 4 and store.read("t", old[2][1]).count() == 3
     store.publish("t", spark.range(7))
     assert store.manifests("t")[-1][0] == 6 and store.read("t").count() == 7
+
+
+def test_catalog_follows_its_tables(spark, tmp_path):
+    from vendorlens.plans.catalog import catalog_for
+    from vendorlens.sources.orders import SOURCE_COLUMNS
+
+    data = str(tmp_path / "data")
+    for t in SOURCE_COLUMNS:
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet")
+        (df.where("l_linenumber = 1") if t == "lineitem" else df).write.parquet(f"{data}/{t}.parquet")
+    cat = catalog_for(spark, data)
+    n = cat.raw_stored.count()
+    assert catalog_for(spark, data + "/") is cat
+    more = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").where("l_linenumber = 2")
+    more.write.mode("append").parquet(f"{data}/lineitem.parquet")
+    fresh = catalog_for(spark, data)
+    assert fresh is not cat and fresh.raw_stored.count() > n and cat.raw_stored.count() == n

@@ -20,20 +20,17 @@ from ..operators import star as ST
 from ..operators import views as V
 from ..schemas import as_imported
 from ..session import shared_path
-from ..sources.orders import raw_order_items, sources_null_free
+from ..sources.orders import SOURCE_COLUMNS, raw_order_items
+from ..sources.tables import table_version
 
 
-def clean_order_items(raw: DataFrame, threshold: float = C.SPARSE_THRESHOLD, null_free: bool = False):
+def clean_order_items(raw: DataFrame, threshold: float = C.SPARSE_THRESHOLD):
     """The cleaning chain. Returns (clean, validated): ``validated`` is the
     frame the validation counters are taken on (after null handling, before
-    the lead-time filter). ``null_free`` (proven from the sources) skips the
-    null profile of the joined rows; the result is the same."""
+    the lead-time filter). Reads ``raw`` twice, for its nulls and for the
+    result, so it should be a stored table."""
     df = C.normalise_columns(raw)
-    if null_free:
-        fractions = {c: 0.0 for c in df.columns}
-        counts = {c: 0 for c in df.columns}
-    else:
-        fractions, counts = C.null_fractions(df)
+    fractions, counts = C.null_fractions(df)
     df = C.drop_sparse_columns(df, threshold, fractions)
     df = C.impute_median(df, counts)
     df = C.drop_null_rows(df)
@@ -87,9 +84,8 @@ class Catalog:
 
     @cached_property
     def raw_stored(self) -> DataFrame:
-        """The raw items written once - the counterpart of the raw file the
-        profiling steps read. Only profiling uses it; the clean build keeps
-        the lead-time filter inside the join instead."""
+        """The raw items written once: the counterpart of the raw file, which
+        both profiling and cleaning read."""
         return write_table(self.raw, "raw_items")
 
     @cached_property
@@ -97,25 +93,21 @@ class Catalog:
         """The raw items with the columns that cleaning removes or fills."""
         return write_table(raw_order_items(self.spark, self.sf_dir, self.vendor, self.category, full=True), "raw_full")
 
-    @cached_property
-    def _null_free(self) -> bool:
-        return sources_null_free(self.spark, self.sf_dir)
-
     @cached_property
     def _cleaned(self):
-        return clean_order_items(self.raw, null_free=self._null_free)
+        return clean_order_items(self.raw_stored)
 
-    @cached_property
+    @property
     def validated(self) -> DataFrame:
         """Items after null handling, before the lead-time filter: what the
-        validation counters are taken on (from the stored raw items)."""
-        return clean_order_items(self.raw_stored, null_free=self._null_free)[1]
+        validation counters are taken on."""
+        return self._cleaned[1]
 
     @cached_property
     def items(self) -> DataFrame:
         """Filtered items with features, before the tier. Stored, so the
-        tier quantiles and the final join read them instead of re-running
-        the raw joins."""
+        tier quantiles and the final join read them instead of cleaning the
+        raw items again."""
         return write_table(self._cleaned[0], "items")
 
     @cached_property
@@ -262,10 +254,12 @@ _CATALOGS: dict = {}
 
 
 def catalog_for(spark: SparkSession, sf_dir: str, **kw) -> Catalog:
-    """One catalog per (application, data directory, bindings)."""
+    """One catalog per (application, data directory, bindings), built anew when
+    a source table has changed since."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(sorted(kw.items())))
-    cat = _CATALOGS.get(key)
-    if cat is None or cat.spark is not spark:
+    versions = tuple(table_version(spark, sf_dir, t) for t in SOURCE_COLUMNS)
+    cat, known = _CATALOGS.get(key, (None, None))
+    if cat is None or cat.spark is not spark or known != versions:
         cat = Catalog(spark, sf_dir, **kw)
-        _CATALOGS[key] = cat
+        _CATALOGS[key] = cat, versions
     return cat

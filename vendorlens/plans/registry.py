@@ -24,7 +24,7 @@ from ..session import shared_path
 from .sizing import materialize
 from ..sources import files
 from .catalog import Catalog, catalog_for
-from .oracle import CLEAN_COLUMNS, NUMERIC_CLEAN, RAW_NORMALISED
+from .oracle import NUMERIC_CLEAN, RAW_NORMALISED
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -220,7 +220,7 @@ def queries() -> dict[str, Query]:
     q["quarantine_report"] = _q(lambda c: C.validation_report(_parsed(c)[0], rejected=_parsed(c)[1]))
     q["validation_report"] = _q(lambda c: C.validation_report(c.validated))
     q["lead_time_days"] = _q(lambda c: _with_lead(c).select("order_item_id", "order_customer_id", "lead_time_days"))
-    q["filter_lead_time"] = _q(lambda c: C.filter_lead_time(_with_lead(c)).select(*CLEAN_COLUMNS[:24]))
+    q["filter_lead_time"] = _q(lambda c: C.filter_lead_time(_with_lead(c)).select(*RAW_NORMALISED, "lead_time_days"))
     q["late_delivery_flag"] = _q(lambda c: c.items.select("order_item_id", "delivery_status", "late_delivery_flag"))
     q["spend_per_order"] = _q(lambda c: c.items.select(
         "order_item_id", "sales_per_customer", "order_item_quantity", "spend_per_order"))

@@ -86,26 +86,6 @@ SOURCE_COLUMNS = {
 }
 
 
-def sources_null_free(spark: SparkSession, sf_dir: str) -> bool:
-    """True when no source column used by the raw items holds a null.
-
-    Every raw column is a null-propagating expression of source columns
-    (the delivery status is never null) and all joins are inner, so then the
-    raw items hold no null either, and the null profile of the joined rows
-    can be skipped. One map-side aggregate per table - no join, no
-    shuffle of rows."""
-    parts = []
-    for table, cols in SOURCE_COLUMNS.items():
-        df = read_table(spark, sf_dir, table, cols)
-        nulls = sum((F.count_if(F.col(c).isNull()) for c in cols), F.lit(0))
-        parts.append(df.agg(nulls.alias("nulls")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    # one job: the per-table scans run as parallel stages
-    return out.agg(F.sum("nulls")).first()[0] == 0
-
-
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])

@@ -18,3 +18,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     """Parquet scan; projecting here lets the scan read only those columns."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
+
+
+def table_version(spark: SparkSession, sf_dir: str, name: str) -> tuple[int, int, int]:
+    """(time of the last change, bytes, files) of a table: differs after it was
+    written again or a file was added. Two calls, however many files it has."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+    fs = path.getFileSystem(conf)
+    held = fs.getContentSummary(path)
+    return fs.getFileStatus(path).getModificationTime(), held.getLength(), held.getFileCount()
