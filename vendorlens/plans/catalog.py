@@ -24,13 +24,13 @@ from ..sources.orders import SOURCE_COLUMNS, raw_order_items
 from ..sources.tables import table_version
 
 
-def clean_order_items(raw: DataFrame, threshold: float = C.SPARSE_THRESHOLD):
+def clean_order_items(raw: DataFrame, threshold: float = C.SPARSE_THRESHOLD, profiled: DataFrame | None = None):
     """The cleaning chain. Returns (clean, validated): ``validated`` is the
     frame the validation counters are taken on (after null handling, before
-    the lead-time filter). Reads ``raw`` twice, for its nulls and for the
-    result, so it should be a stored table."""
+    the lead-time filter). ``profiled``: the same rows as a stored table,
+    whose nulls are counted in place of those of ``raw``."""
     df = C.normalise_columns(raw)
-    fractions, counts = C.null_fractions(df)
+    fractions, counts = C.null_fractions(df if profiled is None else C.normalise_columns(profiled))
     df = C.drop_sparse_columns(df, threshold, fractions)
     df = C.impute_median(df, counts)
     df = C.drop_null_rows(df)
@@ -85,7 +85,8 @@ class Catalog:
     @cached_property
     def raw_stored(self) -> DataFrame:
         """The raw items written once: the counterpart of the raw file, which
-        both profiling and cleaning read."""
+        profiling reads, that of the clean build too. The clean build's rows
+        keep the lead-time filter inside the join instead."""
         return write_table(self.raw, "raw_items")
 
     @cached_property
@@ -95,13 +96,13 @@ class Catalog:
 
     @cached_property
     def _cleaned(self):
-        return clean_order_items(self.raw_stored)
+        return clean_order_items(self.raw, profiled=self.raw_stored)
 
-    @property
+    @cached_property
     def validated(self) -> DataFrame:
         """Items after null handling, before the lead-time filter: what the
-        validation counters are taken on."""
-        return self._cleaned[1]
+        validation counters are taken on (from the stored raw items)."""
+        return clean_order_items(self.raw_stored)[1]
 
     @cached_property
     def items(self) -> DataFrame:
