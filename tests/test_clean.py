@@ -130,3 +130,32 @@ def test_sketches_of_groups_merge(spark):
         assert abs(got[c] - n) <= 4 * P.SKETCH_ERROR * n + 1
     some = P.cardinality_from_sketches(sketches.where("g < 2"))
     assert abs({r["column"]: r.distinct_count for r in some.collect()}["c"] - 60_000 * 2 / 7) < 600
+
+
+def test_parse_timestamps_query_keeps_pending_orders(spark, tmp_path):
+    import os
+
+    from vendorlens.plans.registry import queries
+
+    src = "/root/testdata/sf0.001"
+    for t in ("lineitem", "part", "customer", "nation", "region"):
+        os.symlink(f"{src}/{t}.parquet", tmp_path / f"{t}.parquet")
+    # every order pending, at a time with seconds that the shortest format cannot hold
+    orders = spark.read.parquet(f"{src}/orders.parquet").withColumn("o_orderstatus", F.lit("P")).withColumn(
+        "o_orderdate", F.expr("o_orderdate + INTERVAL '1:02:03.5' HOUR TO SECOND"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    q = queries()
+    got = q["parse_timestamps"](spark, str(tmp_path)).collect()
+    assert len(got) == spark.read.parquet(f"{src}/lineitem.parquet").count()
+    assert all(r.order_date_dateorders.microsecond == 500000 for r in got)
+    assert q["quarantined_rows"](spark, str(tmp_path)).count() == len(got)
+
+
+def test_formats_are_tried_only_on_texts_of_their_shape(spark):
+    texts = ["1/2/2018", " 1/2/2018", "1/2/2018 9:0", "1/2/2018 9:00", "1/2/2018 09:00:01", "01/2/+12018", "1/2", "1/2/2018 9:00 x", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    for f in C.TIMESTAMP_FORMATS[1:]:
+        plain = F.try_to_timestamp(F.col("d"), F.lit(f)).cast("timestamp_ntz").cast("string")
+        got = df.select(C._parsed(F.col("d"), f).cast("string").alias("e"), plain.alias("p")).collect()
+        assert [r.e for r in got] == [r.p for r in got]
+    assert C._shape("yyyy-MM-dd") is None and C._shape("M/d/yyyy H:mm")
