@@ -159,3 +159,40 @@ def test_formats_are_tried_only_on_texts_of_their_shape(spark):
         got = df.select(C._parsed(F.col("d"), f).cast("string").alias("e"), plain.alias("p")).collect()
         assert [r.e for r in got] == [r.p for r in got]
     assert C._shape("yyyy-MM-dd") is None and C._shape("M/d/yyyy H:mm")
+
+
+def _tables_with_nulls(spark, folder):
+    """The small tables with nulls in every column, some keys included."""
+    from vendorlens.sources.orders import SOURCE_COLUMNS
+
+    for i, t in enumerate(SOURCE_COLUMNS):
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet")
+        part = 5 if t in ("nation", "region") else 40
+        cols = [F.when(F.pmod(F.xxhash64(F.lit(k + 100 * i), F.col(df.columns[0]), F.monotonically_increasing_id()), F.lit(part)) != 0, F.col(c)).alias(c)
+                for k, c in enumerate(df.columns)]
+        df.select(*cols).write.parquet(f"{folder}/{t}.parquet")
+    return str(folder)
+
+
+def test_presence_has_the_nulls_of_the_raw_items(spark, tmp_path):
+    from vendorlens.sources.orders import raw_order_items, raw_presence
+
+    d = _tables_with_nulls(spark, tmp_path)
+    for vendor, category, full in (("supplier", "type", True), ("customer", "brand", False)):
+        raw = raw_order_items(spark, d, vendor, category, full)
+        there = raw_presence(spark, d, vendor, category, full)
+        assert there.columns == raw.columns
+        mask = [F.col(f"`{c}`").isNotNull() for c in raw.columns]
+        count = lambda df: {tuple(r)[:-1]: r[-1] for r in df.groupBy(*[m.alias(f"m{i}") for i, m in enumerate(mask)]).count().collect()}
+        assert count(raw) == count(there) and C.null_counts(raw).first() == C.null_counts(there).first()
+        assert raw.count() > 100
+
+
+def test_items_are_built_without_a_wide_copy_of_the_raw_rows(spark):
+    from vendorlens.plans.catalog import Catalog
+
+    cat = Catalog(spark, "/root/testdata/sf0.001")
+    assert cat.items.count() > 0 and "raw_stored" not in cat.__dict__
+    # the tables that grow with the items are joined alike at every size
+    plan = cat.raw._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") == 3 and plan.count("BroadcastHashJoin") == 1
