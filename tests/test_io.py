@@ -160,3 +160,11 @@ def test_catalog_follows_its_tables(spark, tmp_path):
     more.write.mode("append").parquet(f"{data}/lineitem.parquet")
     fresh = catalog_for(spark, data)
     assert fresh is not cat and fresh.raw_stored.count() > n and cat.raw_stored.count() == n
+
+
+def test_rows_are_set_aside_without_a_sort_by_folder(spark):
+    df = spark.range(20).select("id", F.when(F.col("id") % 4 == 0, F.lit("bad")).alias(files.REASON))
+    good, bad = files.set_aside(df)
+    assert (good.count(), bad.count()) == (15, 5)
+    assert good.columns == ["id"] and bad.columns == ["id", files.REASON]
+    assert not any("rejected=" in f for f in good.inputFiles())
