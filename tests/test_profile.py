@@ -108,3 +108,12 @@ def test_correlation_with_nulls_and_large_ids_equals_pandas(spark):
     for (x, y), r in got.items():
         assert (r is None) == pd.isna(want[x][y]) and (r is None or abs(r - want[x][y]) < 1e-9)
     assert len(got) == 6
+
+
+def test_cardinality_takes_one_column_at_a_time(spark):
+    df = spark.createDataFrame([(1, 0.5, "a", True), (1, float("nan"), "b", None), (2, float("nan"), None, True)],
+                               "i int, d double, s string, b boolean")
+    out = P.profile_cardinality(df)
+    assert [(r["column"], r["distinct_count"]) for r in out.collect()] == [("b", 1), ("d", 2), ("i", 2), ("s", 2)]
+    # no row is expanded into a cell per column
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
