@@ -224,6 +224,22 @@ def test_word_ids_equal_whole_texts(tokenizer, prose):
         assert [cache.of_texts([t])[0] for t in texts] == want
 
 
+def test_word_ids_encode_a_stem_once(tokenizer, monkeypatch):
+    seen = []
+    encode = packing.WordIds._encode
+    monkeypatch.setattr(packing.WordIds, "_encode", lambda self, *ways: seen.extend(w for x in ways for w in x[1]) or encode(self, *ways))
+    texts = ["hedge hedge. hedge, hedge%%% hedge!! (hedge) hedge's don't", "a@b.c 12.5 'tis ''s it's' x're\x1fy\x7f\0z",
+             "Éclair Éclair, éclair; größer Größe größe. ß ß.", "ÿ Ÿ. naïve×naïve ñ+ K. Å Ω's", "слово слово, «слово» 日本語。", "\u00a0 \u0085 a",
+             "Hedge Éclair hedge."]
+    cache = packing.WordIds(packing.default_tokenizer())
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert cache.of_texts(texts) == want and [cache.of_texts([t])[0] for t in texts] == want
+    assert max(seen.count(w) for w in ("hedge", "éclair", "größe", "слово", ".", "%%%")) <= 2  # Éclair and éclair are two words
+    assert seen.count("hedge") == seen.count("%%%") == 1
+    monkeypatch.setattr(packing, "CACHE_WORDS", 3)
+    assert [cache.of_texts([t])[0] for t in texts] == want
+
+
 def check_packing(rows, out, tokenizer, length):
     docs = {d: brute.tokens(tokenizer, t) for d, t in rows}
     pieces, bins = defaultdict(list), defaultdict(list)

@@ -22,7 +22,9 @@ import json
 import os
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count, islice
 from math import ceil
 from unicodedata import normalize
 
@@ -39,8 +41,8 @@ END_ID = 1
 GROUP_DOCS = 4096
 # Equal rows that are dealt together.
 COPIES = 64
-# Distinct words whose ids a task remembers, twice over.
-CACHE_WORDS = 100_000
+# Distinct words whose ids a task remembers.
+CACHE_WORDS = 400_000
 # Texts whose new words are encoded in one go, and words in one call.
 TEXTS, TOGETHER = 256, 500
 
@@ -53,6 +55,9 @@ def default_tokenizer() -> str:
 
 # Lower-case letters whose capital differs by one bit of their last byte.
 LATIN = re.compile("[a-zà-öø-þ]+")
+# The tokenizer's split of a word of ASCII, and marks that join no letter before them.
+ASCII_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+MARKS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 
 class Words:
@@ -100,80 +105,116 @@ def ends_in_letter(word: bytes) -> bool:
     return word[-1:].isalpha() or word[-1] > 127 and normalize("NFC", word.decode()[-1]).lower()[-1].isalpha()
 
 
-class WordIds(dict):
+def parts_of(word: bytes) -> list[bytes]:
+    """An ASCII-lower-cased word cut between the tokenizer's runs: at all of
+    them in ASCII, else only where marks follow the last letter."""
+    if word.isascii():
+        return ASCII_PARTS.findall(word)
+    stem = word.rstrip(MARKS)
+    return [stem, word[len(stem):]] if len(stem) < len(word) and ends_in_letter(stem) else [word]
+
+
+def numbering() -> defaultdict:
+    """Gives each new key the next number, from 0."""
+    return defaultdict(count().__next__)
+
+
+class WordIds:
     """ids (little-endian bytes) of ASCII-lower-cased words, remembered.
 
     This tokenizer lower-cases, drops white space and merges within runs of
-    letters only, so a text's ids are those of its words in order. A word that
-    ends in a full stop or comma after a letter is two words. New words of
-    several texts are encoded together. Those of letters only are told apart by
-    the token that closes each, which spares the offsets; others by offsets.
-    When full, the words of the time before last are forgotten."""
+    letters only, so a text's ids are those of its words in order, and a word's
+    are those of its parts. Words are numbered as they are met, and the ids of
+    all are kept in one array; new words of several texts are encoded together.
+    Words of one run are told apart by the token that closes each, which spares
+    the offsets; others by offsets. When full, all words are forgotten."""
 
     def __init__(self, path: str):
-        self.words, self.old = words_of(path), {}
-
-    def _keep(self, words: list[bytes], ids: list[int], cuts: np.ndarray) -> None:
-        ids, cuts = np.array(ids, "<u4").tobytes(), (4 * cuts).tolist()
-        for w, a, b in zip(words, cuts, cuts[1:]):
-            self[w] = ids[a:b]
-
-    def _encode(self, words: list[bytes]) -> None:
-        latin, plain, mixed = [], [], []
-        for w in words:
-            if self.words.latin and (w.isalpha() or LATIN.fullmatch(w.decode())):
-                latin.append(w)
-            else:
-                (plain if letters_only(w) else mixed).append(w)
-        tokenizer, found = self.words.tokenizer, []
-        for i in range(0, len(latin), TOGETHER):
-            part = latin[i:i + TOGETHER]
-            text = " ".join([w[:-1] + w[-1].upper() for w in b" ".join(part).decode().split(" ")])
-            found.append((part, self.words.latin.encode_ordinary(text)))
-        parts = [plain[i:i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        found += zip(parts, (x.ids for x in tokenizer.encode_batch_fast(
-            [b" ".join(p).decode() for p in parts], add_special_tokens=False)))
-        for part, ids in found:
+        self.words = words_of(path)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.fresh, self.n_ids = numbering(), [], 0
+        self.ids, self.starts, self.sizes = np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these words, and where each word's begin, with the end."""
+        self.ids, self.fresh = np.concatenate([self.ids, *self.fresh]), []
+        sizes = self.sizes[numbers]
+        cuts = np.append(0, np.cumsum(sizes))
+        return self.ids[np.repeat(self.starts[numbers] - cuts[:-1], sizes) + np.arange(cuts[-1])], cuts
+
+    def _keep(self, numbers: list[int], ids: np.ndarray, cuts: np.ndarray) -> None:
+        self.starts[numbers], self.sizes[numbers] = cuts[:-1] + self.n_ids, np.diff(cuts)
+        self.fresh.append(ids)
+        self.n_ids += len(ids)
+
+    def _learn(self) -> None:
+        """Encode the words that have a number but no ids yet."""
+        number = len(self.starts)
+        latin, plain, mixed = ([], []), ([], []), ([], [])  # numbers, words
+        joined, parts_in, of_parts = [], [0], []
+        while number < len(self.numbers):  # the parts of words may be new words
+            words = list(islice(reversed(self.numbers), len(self.numbers) - number))[::-1]
+            smalls = b" ".join(words).decode().lower().split(" ")
+            for word, small in zip(words, smalls):
+                if self.words.latin and LATIN.fullmatch(small):
+                    way = latin
+                elif len(parts := parts_of(word)) == 1:
+                    way, small = plain if word.isascii() or letters_only(word) else mixed, word.decode()
+                else:
+                    joined.append(number)
+                    parts_in.append(len(parts))
+                    of_parts.extend(map(self.numbers.__getitem__, parts))
+                    number += 1
+                    continue
+                way[0].append(number)
+                way[1].append(small)
+                number += 1
+        self.starts, self.sizes = (np.append(x, np.zeros(number - len(x), np.int64)) for x in (self.starts, self.sizes))
+        self._encode(latin, plain, mixed)
+        ids, cuts = self._ids_of(np.array(of_parts, np.int64))
+        self._keep(joined, ids, cuts[np.cumsum(parts_in)])
+
+    def _encode(self, latin: tuple, plain: tuple, mixed: tuple) -> None:
+        """Words with their numbers, by the way that they take."""
+        tokenizer = self.words.tokenizer
+        latin, plain = ([[x[i:i + TOGETHER] for x in way] for i in range(0, len(way[0]), TOGETHER)] for way in (latin, plain))
+        found = []
+        for numbers, words in latin:
+            text = np.frombuffer((" ".join(words) + " ").encode(), np.uint8).copy()
+            text[np.flatnonzero(text == 32) - 1] -= 32  # the last letters as capitals
+            found.append((numbers, words, self.words.latin.encode_ordinary(text.tobytes().decode())))
+        texts = tokenizer.encode_batch_fast([" ".join(words) for _, words in plain], add_special_tokens=False)
+        found += [(*part, text.ids) for part, text in zip(plain, texts)]
+        for numbers, words, ids in found:
+            ids = np.array(ids, "<u4")
             cuts = np.append(0, np.flatnonzero(self.words.closing[ids]) + 1)
-            if len(cuts) == len(part) + 1:
-                self._keep(part, ids, cuts)
+            if len(cuts) == len(words) + 1:
+                self._keep(numbers, ids, cuts)
             else:
-                mixed += part
-        for i in range(0, len(mixed), TOGETHER):
-            part = mixed[i:i + TOGETHER]
-            texts = [w.decode() for w in part]
-            starts = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
-            found = tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            cuts = np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), starts)
-            self._keep(part, found.ids, np.append(cuts, len(found.ids)))
+                mixed = mixed[0] + numbers, mixed[1] + words
+        for i in range(0, len(mixed[0]), TOGETHER):
+            numbers, words = (x[i:i + TOGETHER] for x in mixed)
+            starts = np.cumsum([0, *[len(w) + 1 for w in words[:-1]]])
+            text = tokenizer.encode(" ".join(words), add_special_tokens=False)
+            cuts = np.searchsorted(np.array([a for a, _ in text.offsets], np.int64), starts)
+            self._keep(numbers, np.array(text.ids, "<u4"), np.append(cuts, len(text.ids)))
 
     def of_texts(self, texts: list[str]) -> list[bytes]:
-        if len(self) >= CACHE_WORDS:
-            self.old = dict(self)
-            self.clear()
+        if len(self.numbers) >= CACHE_WORDS:
+            self._forget()
         # a text that may hold a special token, which only exact case makes one, is encoded as it is
-        split = [None if "<|" in t else t.encode().lower().split() for t in texts]
-        words: dict[bytes, None] = {}
-        for ws in split:
-            if ws:
-                words.update(dict.fromkeys(ws))
-        stems, tails, old = {}, [], self.old
-        for w in words:
-            if w in self:
-                continue
-            if w in old:
-                self[w] = old[w]
-            elif len(w) > 1 and w[-1] in b".," and ends_in_letter(w[:-1]):
-                tails.append(w)
-                stems[w[:-1]] = stems[w[-1:]] = None
-            else:
-                stems[w] = None
-        self._encode([w for w in stems if w not in self])
-        for w in tails:
-            self[w] = self[w[:-1]] + self[w[-1:]]
-        ids_of = self.__getitem__
-        return [np.array(self.words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if ws is None
-                else b"".join(map(ids_of, ws)) for text, ws in zip(texts, split)]
+        split = [() if "<|" in t else t.encode().lower().split() for t in texts]
+        ends = np.cumsum([0, *map(len, split)])
+        here = numbering()  # few words, so looked up faster than all words
+        places = np.fromiter(map(here.__getitem__, chain.from_iterable(split)), np.int64, ends[-1])
+        numbers = np.fromiter(map(self.numbers.__getitem__, here), np.int64, len(here))
+        self._learn()
+        ids, cuts = self._ids_of(numbers[places])
+        cuts = cuts[ends].tolist()
+        return [np.array(self.words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if "<|" in text
+                else ids[a:b].tobytes() for text, a, b in zip(texts, cuts, cuts[1:])]
 
 
 _words: Words | None = None
