@@ -224,6 +224,12 @@ def test_word_ids_equal_whole_texts(tokenizer, prose):
         assert [cache.of_texts([t])[0] for t in texts] == want
 
 
+def test_word_ids_of_a_mark_that_joins_small_letters_only(tokenizer):
+    texts = ["T\u0308 t\u0308 H\u0331x J\u030c W\u030a Y\u030a", "T\u0316\u0308.", "E\u0308 e\u0308 u\u0308ber T"]
+    got = packing.WordIds(packing.default_tokenizer()).of_texts(texts)
+    assert got == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_word_ids_encode_a_stem_once(tokenizer, monkeypatch):
     seen = []
     encode = packing.WordIds._encode

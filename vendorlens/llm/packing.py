@@ -55,6 +55,9 @@ def default_tokenizer() -> str:
 
 # Lower-case letters whose capital differs by one bit of their last byte.
 LATIN = re.compile("[a-zà-öø-þ]+")
+# Marks with which a small letter is one character and its capital is not, and such a capital with a mark.
+SMALL_ONLY = "\u0308\u030a\u030c\u0331"
+LOST = re.compile("[HJTWY][^\\0-\u02ff]")
 # The tokenizer's split of a word of ASCII, and marks that join no letter before them.
 ASCII_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 MARKS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
@@ -119,6 +122,13 @@ def numbering() -> defaultdict:
     return defaultdict(count().__next__)
 
 
+def whole_only(text: str) -> bool:
+    """Whether lower-casing the text first might change its ids: it may hold a
+    special token, which only exact case makes one, or a mark that joins the
+    small letter alone."""
+    return "<|" in text or not text.isascii() and any(m in text for m in SMALL_ONLY) and LOST.search(text) is not None
+
+
 class WordIds:
     """ids (little-endian bytes) of ASCII-lower-cased words, remembered.
 
@@ -204,8 +214,8 @@ class WordIds:
     def of_texts(self, texts: list[str]) -> list[bytes]:
         if len(self.numbers) >= CACHE_WORDS:
             self._forget()
-        # a text that may hold a special token, which only exact case makes one, is encoded as it is
-        split = [() if "<|" in t else t.encode().lower().split() for t in texts]
+        whole = [whole_only(t) for t in texts]
+        split = [() if w else t.encode().lower().split() for t, w in zip(texts, whole)]
         ends = np.cumsum([0, *map(len, split)])
         here = numbering()  # few words, so looked up faster than all words
         places = np.fromiter(map(here.__getitem__, chain.from_iterable(split)), np.int64, ends[-1])
@@ -213,8 +223,8 @@ class WordIds:
         self._learn()
         ids, cuts = self._ids_of(numbers[places])
         cuts = cuts[ends].tolist()
-        return [np.array(self.words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if "<|" in text
-                else ids[a:b].tobytes() for text, a, b in zip(texts, cuts, cuts[1:])]
+        return [np.array(self.words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if w
+                else ids[a:b].tobytes() for text, w, a, b in zip(texts, whole, cuts, cuts[1:])]
 
 
 _words: Words | None = None
